@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallystar.plans.columns import ENTITIES, RAW_COLUMNS, raw_columns_of
 from tallystar.plans.staging import SOURCE_IDS, clean, stage, with_needed
@@ -24,8 +25,15 @@ _TABLES = {
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """A table of the folder; its schema is looked up once, not by a job per query."""
+    path = f"{folder}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:

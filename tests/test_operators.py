@@ -1,0 +1,121 @@
+import os
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tallystar.operators import Workspace, dense_ranks, one_row_per_key, with_totals
+from tallystar.operators.workspace import shared_folder
+
+FOLDER = "spark.checkpoint.dir"
+
+
+@pytest.fixture(params=["stored", "persisted"])
+def work(request, spark, monkeypatch):
+    if request.param == "persisted":
+        monkeypatch.setattr("tallystar.operators.workspace.shared_folder", lambda spark: None)
+    with Workspace(spark) as work:
+        yield work
+
+
+@pytest.fixture
+def scores(spark):
+    rng = random.Random(3)
+    rows = [
+        (i, rng.choice([None, 1, 2, 3, 50]), rng.choice([None, 0.5, 1.5, 2.5]),
+         rng.choice(["x", "y", None]))
+        for i in range(3000)
+    ]
+    # A third of all rows tie on one value.
+    rows += [(3000 + i, 7, 7.0, "hot") for i in range(1500)]
+    return spark.createDataFrame(rows, "id int, a int, b double, g string").repartition(5)
+
+
+def test_dense_ranks_equal_the_window(scores, work):
+    orders = {
+        "down": [("a", True), ("b", True)],
+        "up": [("b", False), ("a", True)],
+        "one": [("a", True)],
+    }
+    window = {
+        "down": Window.orderBy(F.desc("a"), F.desc("b")),
+        "up": Window.orderBy(F.asc("b"), F.desc("a")),
+        "one": Window.orderBy(F.desc("a")),
+    }
+    expected = scores.select("id", *(F.dense_rank().over(w).alias(n) for n, w in window.items()))
+    got = dense_ranks(scores, orders, work).select("id", *window)
+    assert sorted(got.collect()) == sorted(expected.collect())
+
+
+def test_rank_over_many_partitions(spark, work):
+    df = spark.range(20000).select((F.col("id") * 7919 % 20000).alias("v"))
+    ranks = dense_ranks(df, {"r": [("v", False)]}, work)
+    assert ranks.where("r != v + 1").count() == 0 and ranks.count() == 20000
+
+
+def test_rank_sorts_no_table_in_one_task(scores, work):
+    plan = dense_ranks(scores, {"r": [("a", True)]}, work)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    for line in text.splitlines():
+        if "Window" in line:
+            assert "_rows" in line, "only the per-partition counts may meet in one task"
+
+
+def test_rank_of_nothing(spark, work):
+    empty = spark.createDataFrame([], "a int")
+    assert dense_ranks(empty, {"r": [("a", True)]}, work).collect() == []
+
+
+def test_totals_equal_the_window(scores, work):
+    held = work.hold(scores, "scores")
+    got = with_totals(held, ["g"], total=F.sum("a"), n=F.count("b"))
+    w = Window.partitionBy("g")
+    expected = scores.select("*", F.sum("a").over(w).alias("total"), F.count("b").over(w).alias("n"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_one_row_per_key_is_the_smallest(spark):
+    rows = [("k", 2, "a"), ("k", 1, "z"), ("k", 1, "b"), ("l", None, "q"), ("l", 0, "a")]
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "key string, n int, t string").repartition(3)
+        assert sorted(one_row_per_key(df, "key").collect()) == [("k", 1, "b"), ("l", None, "q")]
+
+
+def test_workspace_stores_in_the_shared_folder_and_cleans_up(spark):
+    folder = shared_folder(spark)
+    assert folder
+    with Workspace(spark) as work:
+        held = work.hold(spark.range(5).withColumn("x", F.lit("a")), "five")
+        path = held.inputFiles()[0]
+        assert folder in path and held.count() == 5
+        written = os.path.dirname(path.removeprefix("file://"))
+        assert os.path.exists(written)
+    assert not os.path.exists(written)
+
+
+def test_workspace_persists_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr("tallystar.operators.workspace.shared_folder", lambda spark: None)
+    df = spark.range(5)
+    with Workspace(spark) as work:
+        assert work.hold(df, "five") is df and df.is_cached
+    assert not df.is_cached
+
+
+def test_hot_join_key_is_split(spark, settings):
+    """A key that holds most rows is split over tasks by adaptive execution."""
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    settings("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    settings("spark.sql.shuffle.partitions", "16")
+    settings("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
+    sales = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.sha2(F.col("id").cast("string"), 256))
+        .alias("product_key"), F.sha2((F.col("id") + 1).cast("string"), 256).alias("pad"))
+    products = spark.createDataFrame([("hot", "Ball")], "product_key string, name string")
+    joined = sales.join(products, "product_key", "left")
+    assert joined.groupBy("name").count().where("name = 'Ball'").first()["count"] == 20000
+    assert len(joined.collect()) == 60000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
