@@ -20,7 +20,8 @@ def as_column(value: str | Column) -> Column:
 
 def blank_to_null(value: str | Column) -> Column:
     """Trim spaces (not tabs or newlines); nothing left means null."""
-    return F.nullif(F.trim(as_column(value).cast("string")), F.lit(""))
+    text = F.trim(as_column(value).cast("string"))
+    return F.when(text != "", text)
 
 
 def to_int(value: str | Column, width: str = "int") -> Column:

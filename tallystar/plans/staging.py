@@ -4,7 +4,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from tallystar.functions import (
     blank_to_null,
@@ -19,7 +18,7 @@ from tallystar.plans.columns import ENTITIES, KINDS, RENAMED, attributes_of, raw
 
 _CLEANERS = {
     "int": to_int, "decimal": to_decimal, "double": to_double, "date": to_date,
-    "text": F.col,
+    "text": blank_to_null,
 }
 
 # What each key needs besides its own entity.
@@ -46,12 +45,27 @@ def with_needed(entities: Sequence[str]) -> tuple[str, ...]:
 
 
 def clean(name: str, id_type: str = "bigint") -> Column:
-    """One column, already trimmed, as its kind and under its cleaned name."""
+    """One raw column, cleaned by its kind and under its cleaned name."""
     kind = KINDS.get(name, "text")
     cleaned = to_int(name, id_type) if kind == "id" else _CLEANERS[kind](name)
     return cleaned.alias(RENAMED.get(name, name))
 
 
+def _keys(entities: Sequence[str]) -> dict[str, Column]:
+    """Each entity's key. Keys made of other keys repeat their expressions, which
+    Spark evaluates once; layering them would copy every wide row once per layer."""
+    keys: dict[str, Column] = {}
+    for entity in entities:
+        if entity == "sale":
+            parts = [keys.get(part, part) for part in SALE_KEY_PARTS]
+        else:
+            parts = [*attributes_of(entity), *(keys[f"{need}_key"] for need in _NEEDS[entity])]
+        keys[f"{entity}_key"] = hash_cleaned(*parts)
+    if "sale" in entities:
+        keys["date_key"] = date_key("sale_date")
+    return keys
+
+
 def stage(
     raw: DataFrame, entities: Sequence[str] = ENTITIES, id_type: str = "bigint"
 ) -> DataFrame:
@@ -67,18 +81,5 @@ def stage(
         for entity in wanted
         for name in (*raw_columns_of(entity), *filter(None, [SOURCE_IDS.get(entity)]))
     )
-    texts = raw.select(*(blank_to_null(name).alias(name) for name in names))
-    staged = texts.select(*(clean(name, id_type) for name in names))
-    plain = [entity for entity in wanted if entity not in ("product", "sale")]
-    staged = staged.withColumns(
-        {f"{entity}_key": hash_cleaned(*attributes_of(entity)) for entity in plain}
-    )
-    if "product" in wanted:
-        staged = staged.withColumn(
-            "product_key", hash_cleaned(*attributes_of("product"), "supplier_key")
-        )
-    if "sale" in wanted:
-        staged = staged.withColumns(
-            {"date_key": date_key("sale_date"), "sale_key": hash_cleaned(*SALE_KEY_PARTS)}
-        )
-    return staged
+    cleaned = raw.select(*(clean(name, id_type) for name in names))
+    return cleaned.withColumns(_keys(wanted))

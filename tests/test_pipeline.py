@@ -52,7 +52,7 @@ def test_csv_to_reports(spark, raw, stores, tmp_path):
     first = rows_of(stores[0], STAR_KEYS), rows_of(stores[1], MARTS)
     assert len(first[0]["fact_sales"]) == 30
     # A second run over the same sales in another order replaces everything.
-    run_all(raw(*changes[::-1]).repartition(3), *stores)
+    run_all(raw(*changes[::-1]).repartition(3), *stores, hold=True)
     assert (rows_of(stores[0], STAR_KEYS), rows_of(stores[1], MARTS)) == first
 
 
