@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import mixing
+from tallystar.llm import cotraining, licenses, mixing, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,7 +22,39 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op3_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    scored = cotraining.score_quality(
+        table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id", "content_score", "page_score", "score",
+        F.col("good").cast("int").alias("predicted"))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = licenses.scan_licenses(table(spark, folder, "documents"))
+
+    def labels_of(*places):
+        every = F.concat(*(F.transform(p, lambda x: x.label) for p in places))
+        return F.array_join(F.array_sort(F.array_distinct(every)), ",")
+
+    starts = F.transform("base", lambda x: x.start)
+    return scanned.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels_of("base").alias("base_labels"), labels_of("base", "matches").alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda x: x.score)), F.lit(0.0)).alias(
+            "score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op3_cotraining": op3_cotraining,
+    "op4_toxicity": op4_toxicity,
+    "op7_licenses": op7_licenses,
 }
 ORACLES: dict[str, str] = {}
