@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import cotraining, licenses, mixing, toxicity
+from tallystar.llm import cotraining, decontamination, licenses, merkle, mixing, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,10 +51,36 @@ def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
             "score"))
 
 
+def op8_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = merkle.with_next(table(spark, folder, "documents").select("doc_id", "text"))
+    changed = docs.withColumn("edited", merkle.edited(F.col("text"), F.col("next_text")))
+    trees = changed.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        merkle.merkle_tree(F.col("text")).alias("tree"),
+        merkle.merkle_tree(F.col("edited")).alias("edited_tree"),
+        merkle.leaves(merkle.merkle_tree(F.col("next_text"))).alias("next_leaves"))
+    with_leaves = trees.withColumn("own_leaves", merkle.leaves(F.col("tree")))
+    return with_leaves.select(
+        "doc_id", "n_chars", "edited_sha256",
+        merkle.fingerprint(F.col("tree")).alias("fingerprint"),
+        merkle.fingerprint(F.col("edited_tree")).alias("edited_fingerprint"),
+        merkle.likeness(F.col("own_leaves"), merkle.leaves(F.col("edited_tree"))).alias(
+            "near_edited"),
+        merkle.likeness(F.col("own_leaves"), F.col("next_leaves")).alias("near_next"))
+
+
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op3_cotraining": op3_cotraining,
     "op4_toxicity": op4_toxicity,
     "op7_licenses": op7_licenses,
+    "op8_merkle": op8_merkle,
+    "op9_decontamination": op9_decontamination,
 }
 ORACLES: dict[str, str] = {}
