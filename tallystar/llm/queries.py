@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import cotraining, decontamination, licenses, merkle, mixing, toxicity
+from tallystar.llm import cotraining, decontamination, licenses, merkle, mixing, pii, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,23 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, folder, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s.kind != pii.TERM)
+    return found.select(
+        "doc_id", *(count(kind) for kind in pii.PATTERNS),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        count(pii.TERM))
+
+
 def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
     scanned = licenses.scan_licenses(table(spark, folder, "documents"))
 
@@ -79,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op3_cotraining": op3_cotraining,
     "op4_toxicity": op4_toxicity,
+    "op6_pii": op6_pii,
     "op7_licenses": op7_licenses,
     "op8_merkle": op8_merkle,
     "op9_decontamination": op9_decontamination,
