@@ -6,7 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import cotraining, decontamination, licenses, merkle, mixing, pii, toxicity
+from tallystar.llm import (
+    cotraining, decontamination, hyperminhash, licenses, merkle, mixing, pii, suffix_tree, toxicity,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +24,14 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op2_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = suffix_tree.score_texts(docs, toxicity.fold(F.col("doc_id")) != 1)
+    return scored.select(
+        "doc_id", (toxicity.fold(F.col("doc_id")).eqNullSafe(F.lit(1))).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_cotraining(spark: SparkSession, folder: str) -> DataFrame:
     scored = cotraining.score_quality(
         table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -92,13 +102,19 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op10_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, folder, "documents"), size=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_tree": op2_suffix_tree,
     "op3_cotraining": op3_cotraining,
     "op4_toxicity": op4_toxicity,
     "op6_pii": op6_pii,
     "op7_licenses": op7_licenses,
     "op8_merkle": op8_merkle,
     "op9_decontamination": op9_decontamination,
+    "op10_hyperminhash": op10_hyperminhash,
 }
 ORACLES: dict[str, str] = {}
