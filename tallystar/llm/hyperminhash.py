@@ -283,3 +283,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the one with the least
+    id. Of repeated rows of it one stays. Null texts and texts without words all stay, and
+    so do rows without an id that are a copy of nothing with one (one of each kind)."""
+    found = near_duplicates(docs, size, percent).filter("kept").select(
+        F.col("doc_id").alias("_id"), "n_shingles").distinct()
+    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return rows

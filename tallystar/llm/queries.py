@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm import (
-    cotraining, decontamination, hyperminhash, licenses, merkle, mixing, pii, suffix_tree, toxicity,
+    cotraining, decontamination, hyperminhash, licenses, merkle, mixing, pii, suffix_array,
+    suffix_tree, toxicity,
 )
 
 
@@ -45,6 +46,10 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_array.remove_repeats(table(spark, folder, "documents"))
+
+
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, folder, "documents"))
 
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_tree": op2_suffix_tree,
     "op3_cotraining": op3_cotraining,
     "op4_toxicity": op4_toxicity,
+    "op5_suffix_array": op5_suffix_array,
     "op6_pii": op6_pii,
     "op7_licenses": op7_licenses,
     "op8_merkle": op8_merkle,
