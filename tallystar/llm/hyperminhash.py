@@ -16,10 +16,11 @@ groups are compared in full, in blocks, and the pairs found are confirmed likewi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.llm.blocks import (
@@ -85,7 +86,7 @@ def estimate(agree: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``n_shingles``, a 128-bit ``high``, ``low`` digest of the set of shingles
+    """``doc_id``, ``mark`` (a hash of the text), ``n_shingles``, a 128-bit ``high``, ``low`` digest of the set of shingles
     and ``registers`` of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,13 +104,14 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 for i, row in enumerate(registers(found, bounds)):
                     sketched[block.first + i] = row.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts), pa.array(digests[0].view(np.int64)),
-                 pa.array(digests[1].view(np.int64)), pa.array(sketched, pa.binary())],
-                ["doc_id", "n_shingles", "high", "low", "registers"])
+                [batch.column("doc_id"), batch.column("mark"), pa.array(counts),
+                 pa.array(digests[0].view(np.int64)), pa.array(digests[1].view(np.int64)),
+                 pa.array(sketched, pa.binary())],
+                ["doc_id", "mark", "n_shingles", "high", "low", "registers"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        sketch, f"doc_id {kind}, n_shingles long, high long, low long, registers binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(
+        sketch, f"doc_id {kind}, mark long, n_shingles long, high long, low long, registers binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -243,7 +245,8 @@ def _across(bands: DataFrame, classes: DataFrame, labels: DataFrame, least: floa
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row.
+    """``doc_id``, ``mark`` (a hash of the text), ``n_shingles``, ``component_id`` and ``kept``
+    of every row.
 
     Documents are linked if their sets of ``size``-word shingles share at least ``percent``
     hundredths of their union; a text of fewer words is one shingle. The component id is
@@ -281,15 +284,28 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         "high", "low", "n_shingles", F.coalesce("component", "node").alias("component"))
     joined = sketched.drop("registers").join(named, ["high", "low", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return joined.select("doc_id", "mark", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, the one with the least
-    id. Of repeated rows of it one stays. Null texts and texts without words all stay, and
-    so do rows without an id that are a copy of nothing with one (one of each kind)."""
-    found = near_duplicates(docs, size, percent).filter("kept").select(
-        F.col("doc_id").alias("_id"), "n_shingles").distinct()
-    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return rows
+    id; of rows equal in id and text one stays. Null texts and texts without words all
+    stay. Rows without an id stay if they are a copy of nothing that has one. Rows that
+    share the least id of a group but not their text all stay.
+    """
+    found = near_duplicates(docs, size, percent).filter("kept and n_shingles > 0")
+    marked = docs.withColumn("_mark", F.xxhash64("text"))
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    parts = [marked.filter(~worded)]
+    keys = found.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_own")).distinct()
+    once = Window.partitionBy("_mark", "doc_id").orderBy(F.lit(1))
+    for own, match in (
+        (F.col("doc_id").isNotNull(), F.col("doc_id") == F.col("_id")),
+        (F.col("doc_id").isNull(), F.col("_id").isNull()),
+    ):
+        rows = marked.filter(worded & own).join(
+            keys, (F.col("_mark") == F.col("_own")) & match, "left_semi")
+        parts.append(rows.withColumn("_copy", F.row_number().over(once)).filter(
+            "_copy = 1").drop("_copy"))
+    return reduce(DataFrame.unionByName, parts).drop("_mark")

@@ -108,7 +108,8 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
-    return hyperminhash.near_duplicates(table(spark, folder, "documents"), size=4)
+    found = hyperminhash.near_duplicates(table(spark, folder, "documents"), size=4)
+    return found.drop("mark")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
