@@ -1,0 +1,48 @@
+import re
+
+from tallystar.llm import licenses
+
+
+def brute(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+",
+                       re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    places = []
+    for phrase, label in licenses.BASE_PHRASES:
+        own = phrase.split()
+        places += [(i, label) for i in range(len(words)) if words[i:i + len(own)] == own]
+    return len(words), sorted(places)
+
+
+NOTICES = [
+    (1, "Intro. Released under the MIT License.\nmore"), (2, "Licensed under CC BY-NC 4.0."),
+    (3, "This work is licensed under the GNU General Public License, version 3."),
+    (4, "x Licensed under the Apache License, Version 2.0. apache license"),
+    (5, "mit licenseé CC-BY cc,by MIT  LICENSE"), (6, "mit"), (7, None), (8, ""), (9, "license mit"),
+    (10, "mit license " * 50 + "é" * 40), (1, "mit license"), (None, "cc by"),
+    (11, "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+         "software and associated documentation files (the Software)"),
+    (12, "permission is granted to any person, free software"),
+    (13, "mit|license"), (14, "KmIt license İ ſ K"),
+] + [(100 + i, "the licensed work of any person is under this and that") for i in range(30)]
+
+
+def test_brute_force(documents):
+    got = licenses.scan_licenses(documents(NOTICES)).collect()
+    assert len(got) == len(NOTICES)
+    expected = sorted((str(d), *brute(t)) for d, t in NOTICES)
+    assert sorted((str(r.doc_id), r.n_words, sorted((p.start, p.label) for p in r.base))
+                  for r in got) == expected
+
+
+def test_templates(documents):
+    got = {}
+    for row in licenses.scan_licenses(documents(NOTICES)).collect():
+        got.setdefault(row.doc_id, {m.label: m for m in row.matches})
+    assert "cc-by-nc" in got[2] and "gpl" in got[3] and "apache" in got[4]
+    assert got[11]["mit"].start == 0 and got[11]["mit"].score > 0.99
+    for clean in (6, 7, 8, 9, 12, 100):
+        assert not got[clean]
+
+
+def test_nothing(documents):
+    assert licenses.scan_licenses(documents([]).limit(0)).count() == 0
