@@ -1,0 +1,157 @@
+"""The trained operators: language model, quality, toxicity."""
+import math
+import os
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tallystar.llm import cotraining, suffix_tree, toxicity
+from tallystar.llm.blocks import blocks
+
+FOLDER, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
+needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+def low(text):
+    return re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+
+
+def corpus():
+    rows = [(i, f"the Cat {'sat sat' if i % 3 else 'ran'} on the mat{i % 7}. the end") for i in range(80)]
+    return rows + [(100, None), (101, ""), (102, "\x00 é\x0b漢字 THE"), (103, "unseen words only"),
+                   (103, "unseen words only"), (None, "the cat"), (104, "z" * 3000)]
+
+
+def test_base_scores(documents):
+    rows = corpus()
+    learnt = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 != 1
+    tokens = [re.findall(r"[^\x20\x09-\x0D]+", low(t)) + ["\n"] for _, t in rows]
+    seen = Counter(w for (d, _), ws in zip(rows, tokens) if learnt(d) for w in ws)
+    total, kinds = sum(seen.values()), len(seen)
+    expected = sorted(
+        (str(d), len(ws), sum(seen[w] > 0 for w in ws), total,
+         round(sum(math.log10((seen[w] + .5) / (total + .5 * (kinds + 1))) for w in ws), 6))
+        for (d, _), ws in zip(rows, tokens))
+    docs = documents(rows).withColumns({"chunk": F.lit(1), "learnt": F.lit("x")})
+    got = suffix_tree.score_texts(docs, toxicity.fold(F.col("doc_id")) != 1).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6))
+                  for r in got) == expected
+    assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+
+
+def test_tree_and_walk(documents, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "LEAST_COUNT", 3)
+    monkeypatch.setattr(suffix_tree, "LANE", 16)
+    docs = documents(corpus())
+    tree = suffix_tree.train(docs, 3)
+    assert tree.contexts > 10
+    unseen = 256 - (tree.step.shape[1] - 1)
+    chances = 10.0 ** tree.log10.astype(float)
+    assert np.allclose(chances[:, 1:].sum(axis=1) + unseen * chances[:, 0], 1, atol=1e-4)
+    block, = blocks(pa.array([t for _, t in corpus()], pa.string()))
+    out, heads, tails, _ = suffix_tree.spelled(block)
+    total = tree.running_log10(out)
+    for head, tail in list(zip(heads, tails))[::9]:
+        state, expected = 0, 0.0
+        for byte in [0] * suffix_tree.DEPTH + out[head:tail].tolist():
+            symbol = tree.symbol[byte]
+            step = tree.log10[state, symbol]
+            state, expected = tree.step[state, symbol], expected + float(step)
+        pads, state = 0.0, 0
+        for _ in range(suffix_tree.DEPTH):
+            pads += float(tree.log10[state, tree.symbol[0]])
+            state = tree.step[state, tree.symbol[0]]
+        assert total[tail] - total[head] == pytest.approx(expected - pads, abs=1e-3)
+
+
+def test_counts_of_contexts(documents):
+    docs = documents(corpus())
+    counts = suffix_tree._frequent(suffix_tree._grams(docs, (0, 1, 2, 3), None, 4), 1)
+    spelled = [b"\0" * 7 + b"".join(w.encode() + b" " for w in re.findall(
+        r"[^\x20\x09-\x0D]+", low(t))) + b"\n" for _, t in corpus()]
+    for depth in range(4):
+        brute = Counter(s[i - depth:i + 1] for s in spelled for i in range(7, len(s)))
+        keys, sums = counts[depth]
+        assert {int(k).to_bytes(depth + 1, "big"): int(n) for k, n in zip(keys, sums)} == brute
+
+
+def test_nothing_to_learn(documents):
+    assert suffix_tree.score_texts(documents([]).limit(0), F.lit(True)).count() == 0
+    row = suffix_tree.score_texts(documents([(1, "a b")]), F.lit(False)).first()
+    assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0) and row.score < 0
+
+
+@needs_tables
+def test_model_beats_unigrams_on_held_out_text(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = suffix_tree.score_texts(docs, toxicity.fold(F.col("doc_id")) != 1)
+    row = got.filter("not learnt").agg(F.sum("score"), F.sum("base_score")).first()
+    assert row[0] > row[1]
+
+
+@needs_tables
+def test_quality(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 0
+    got = cotraining.score_quality(docs.withColumn("score", F.lit(1)), labels.filter(~held))
+    assert got.count() == docs.count() and got.columns.count("score") == 1
+    judged = got.join(labels.filter(held), "doc_id").select("quality", "good").collect()
+    wrong = sum((r.quality == 1) != r.good for r in judged)
+    assert len(judged) > 60 and wrong <= 0.03 * len(judged)
+
+
+def test_quality_without_labels_or_texts(spark, documents):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = [(1, "some text"), (2, None), (3, ""), (3, ""), (None, "x " * 9000)]
+    got = cotraining.score_quality(documents(rows), labels).collect()
+    assert len(got) == 5 and all(r.good for r in got)
+    assert cotraining.score_quality(documents([]).limit(0), labels).count() == 0
+    known = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (77, 0, 0), (None, 0, 0)], labels.schema)
+    assert len(cotraining.score_quality(documents(rows), known).collect()) == 5
+
+
+@needs_tables
+def test_toxicity(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet")
+    got = toxicity.score_toxicity(docs, labels)
+    assert got.count() == docs.count()
+    judged = got.join(labels, "doc_id").filter("held_out").select("toxic", "score").collect()
+    yes, no = ([r.score for r in judged if r.toxic == k] for k in (1, 0))
+    better = sum((a > b) + 0.5 * (a == b) for a in yes for b in no) / (len(yes) * len(no))
+    assert len(yes) >= 20 and better > 0.95
+
+
+def test_toxicity_edges(spark, documents):
+    rows = [(i, "you vile rotter" if i % 4 == 0 else "a fine day") for i in range(60)]
+    rows += [(70, None), (71, ""), (0, rows[0][1]), (None, "vile rotter")]
+    labels = spark.createDataFrame(
+        [(i, 1, int(i % 4 == 0)) for i in range(60)] + [(None, 1, 1), (999, 1, 1)],
+        "doc_id long, quality int, toxic int")
+    got = toxicity.score_toxicity(documents(rows), labels).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is not None and r.doc_id < 60:
+            assert r.predicted == int(r.doc_id % 4 == 0), r
+    assert {r.predicted for r in got if r.doc_id in (70, 71)} == {0}
+    none = toxicity.score_toxicity(documents(rows), labels.limit(0)).collect()
+    assert {r.predicted for r in none} == {0}
+    assert toxicity.score_toxicity(documents([]).limit(0), labels).count() == 0
+
+
+def test_non_negative_risk_finds_hidden_positives():
+    rng = np.random.RandomState(0)
+    yes = [np.unique(rng.choice(10, 4)).astype(np.int32) for _ in range(200)]
+    no = [np.unique(rng.choice(np.arange(8, 30), 4)).astype(np.int32) for _ in range(300)]
+    hidden = [np.unique(rng.choice(10, 4)).astype(np.int32) for _ in range(100)]
+    kept = np.arange(30, dtype=np.int32)
+    weights, bias = toxicity.fit_non_negative(
+        toxicity._Rows(yes, kept), toxicity._Rows(no + hidden, kept), 0.25, 30, seed=0)
+    score = lambda rows: np.array([weights[r].sum() + bias for r in rows])
+    assert (score(hidden) > 0).mean() > 0.9 and (score(no) < 0).mean() > 0.9
