@@ -11,7 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 21
+# Small enough for the arrays over a block to stay in a core's cache.
+BLOCK_BYTES = 1 << 17
 
 # The ASCII white space that separates words.
 WHITE_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)

@@ -5,13 +5,16 @@ smallest hash as a count of leading zeros and a few bits of mantissa, 16 bits in
 Empty buckets borrow from full ones in an order fixed by hash, so that short texts too
 agree in each register with the chance of their similarity. Documents that agree on a
 whole band of registers are candidates; with 32 bands of 4 a pair at similarity 0.8 is
-missed once in twenty million.
+missed once in twenty million. A second, finer sketch of 1024 registers of 8 bits, in
+which empty buckets stay empty, serves to estimate similarity; it holds most shingles of
+an ordinary text, so its error is about 0.01.
 
 Equal sets are merged first. Then every band bucket links its members to its smallest:
 a bucket of m members gives m - 1 pairs, not m * m / 2. Pairs whose similarity, estimated
-from the registers and corrected for chance collisions, is far too low are dropped, the
-others are confirmed on their full sets. Only buckets whose members then are in different
-groups are compared in full, in blocks, and the pairs found are confirmed likewise.
+from the fine registers and corrected for chance collisions, is too low by several times
+that error are dropped, the others are confirmed on their full sets. Only buckets whose
+members then are in different groups are compared in full, sketch by sketch and in
+blocks; of these too only pairs with a likely similarity leave the task, to be confirmed.
 """
 from __future__ import annotations
 
@@ -33,10 +36,11 @@ PERCENT = 80
 REGISTERS = 128
 BAND = 4
 MANTISSA = 10
-MARGIN = 0.25
+FINE_REGISTERS = 1024
+FINE_MANTISSA = 5
+MARGIN = 0.06
 BLOCK_MEMBERS = 1024
 
-_INDEX_BITS = np.uint64(7)
 _LAST_EXPONENT = np.uint64(1023 + 63)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
@@ -53,19 +57,27 @@ def distinct_shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
     return found, np.searchsorted(owner, np.arange(len(block) + 1))
 
 
-def registers(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """One row of 128 registers for each document; zeros where there are no shingles."""
+def _minima(found: np.ndarray, bounds: np.ndarray, count: int, mantissa_bits: int, most: int):
+    """For each document's full buckets of ``count``: the bucket's place, and leading zeros
+    (at most ``most``) and mantissa of its smallest hash in one number."""
+    bits = np.uint64(count.bit_length() - 1)
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    slot = owner * REGISTERS + (found >> (np.uint64(64) - _INDEX_BITS)).astype(np.int64)
+    slot = owner * count + (found >> (np.uint64(64) - bits)).astype(np.int64)
     if len(slot):
         smallest = np.append(True, slot[1:] != slot[:-1])  # sorted: the first is the least
         slot, found = slot[smallest], found[smallest]
-    rest = ((found << _INDEX_BITS) | np.uint64(1)).astype(np.float64).view(np.uint64)
+    rest = ((found << bits) | np.uint64(1)).astype(np.float64).view(np.uint64)
     zeros = _LAST_EXPONENT - np.minimum(rest >> np.uint64(52), _LAST_EXPONENT)
-    mantissa = (rest >> np.uint64(52 - MANTISSA)) & np.uint64((1 << MANTISSA) - 1)
+    mantissa = (rest >> np.uint64(52 - mantissa_bits)) & np.uint64((1 << mantissa_bits) - 1)
+    return slot, (np.minimum(zeros, np.uint64(most)) << np.uint64(mantissa_bits)) | mantissa
+
+
+def registers(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """One row of 128 registers for each document; zeros where there are no shingles."""
+    slot, minima = _minima(found, bounds, REGISTERS, MANTISSA, 63)
     rows = np.zeros((len(bounds) - 1, REGISTERS), np.uint16)
     full = np.zeros(rows.shape, bool)
-    rows.ravel()[slot] = ((zeros << np.uint64(MANTISSA)) | mantissa).astype(np.uint16)
+    rows.ravel()[slot] = minima.astype(np.uint16)
     full.ravel()[slot] = True
     row, column = np.nonzero(~full & full.any(axis=1)[:, None])
     turn = 0
@@ -78,22 +90,33 @@ def registers(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return rows
 
 
-def estimate(agree: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Similarity from the share of agreeing registers. Two different minima share a
-    register by chance; that chance follows from the sizes and the mantissa bits."""
-    chance = np.log(2) / (1 << MANTISSA) * n_a * n_b / (n_a + n_b) ** 2
-    return (agree - chance) / (1 - chance)
+def fine_registers(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """One row of 1024 registers for each document; 0 is an empty bucket."""
+    slot, minima = _minima(found, bounds, FINE_REGISTERS, FINE_MANTISSA, 6)
+    rows = np.zeros((len(bounds) - 1, FINE_REGISTERS), np.uint8)
+    rows.ravel()[slot] = (minima + np.uint64(1)).astype(np.uint8)
+    return rows
+
+
+def estimate(ours: np.ndarray, theirs: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Similarity from fine registers. Buckets full on both sides agree by chance too; that
+    chance follows from the sizes and the mantissa bits and is taken off."""
+    agree = ((ours == theirs) & (theirs > 0)).sum(axis=1)
+    either = ((ours | theirs) > 0).sum(axis=1)
+    both = (ours > 0).sum(axis=-1) + (theirs > 0).sum(axis=1) - either
+    chance = np.log(2) / (1 << FINE_MANTISSA) * n_a * n_b / (n_a + n_b) ** 2
+    return np.maximum(agree - chance * both, 0) / (1 - chance) / np.maximum(either, 1)
 
 
 def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``mark`` (a hash of the text), ``n_shingles``, a 128-bit ``high``, ``low`` digest of the set of shingles
-    and ``registers`` of every row."""
+    ``registers`` and ``fine`` registers of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = np.zeros(batch.num_rows, np.int64)
             digests = np.zeros((2, batch.num_rows), np.uint64)
-            sketched = [b""] * batch.num_rows
+            sketched, fine = [b""] * batch.num_rows, [b""] * batch.num_rows
             for block in blocks(column_of(batch, "text")):
                 found, bounds = distinct_shingles(block, size)
                 rows = slice(block.first, block.first + len(block))
@@ -101,28 +124,29 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 for k, values in enumerate((found, mixed(found ^ _SECOND))):
                     total = np.append(np.uint64(0), np.cumsum(values, dtype=np.uint64))
                     digests[k, rows] = total[bounds[1:]] - total[bounds[:-1]]
-                for i, row in enumerate(registers(found, bounds)):
-                    sketched[block.first + i] = row.tobytes()
+                sketched[rows] = [row.tobytes() for row in registers(found, bounds)]
+                fine[rows] = [row.tobytes() for row in fine_registers(found, bounds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("mark"), pa.array(counts),
                  pa.array(digests[0].view(np.int64)), pa.array(digests[1].view(np.int64)),
-                 pa.array(sketched, pa.binary())],
-                ["doc_id", "mark", "n_shingles", "high", "low", "registers"])
+                 pa.array(sketched, pa.binary()), pa.array(fine, pa.binary())],
+                ["doc_id", "mark", "n_shingles", "high", "low", "registers", "fine"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(
-        sketch, f"doc_id {kind}, mark long, n_shingles long, high long, low long, registers binary")
+        sketch, f"doc_id {kind}, mark long, n_shingles long, high long, low long, "
+                "registers binary, fine binary")
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+def _matrix(column: pa.Array, kind: type, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
 
 def _bands(classes: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = REGISTERS // BAND
         for batch in batches:
-            keys = _matrix(column_of(batch, "registers")).view(np.int64)
+            keys = _matrix(column_of(batch, "registers"), np.uint16, REGISTERS).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.tile(np.arange(count, dtype=np.int32), len(keys))),
                  pa.array(keys.ravel()),
@@ -135,16 +159,16 @@ def _bands(classes: DataFrame) -> DataFrame:
 def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Pairs ``a``, ``b`` whose estimated similarity is not far below what is asked."""
     ours = classes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"),
-                          F.col("registers").alias("r_a"))
+                          F.col("fine").alias("r_a"))
     theirs = classes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"),
-                            F.col("registers").alias("r_b"))
+                            F.col("fine").alias("r_b"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                agree = (_matrix(column_of(batch, "r_a")) == _matrix(column_of(batch, "r_b")))
-                guess = estimate(agree.mean(axis=1), *(
-                    column_of(batch, n).to_numpy().astype(float) for n in ("n_a", "n_b")))
+                guess = estimate(
+                    *(_matrix(column_of(batch, n), np.uint8, FINE_REGISTERS) for n in ("r_a", "r_b")),
+                    *(column_of(batch, n).to_numpy().astype(float) for n in ("n_a", "n_b")))
                 yield batch.select(["a", "b"]).filter(pa.array(guess >= least))
 
     sized = pairs.join(ours, "a").join(theirs, "b")
@@ -208,7 +232,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _across(bands: DataFrame, classes: DataFrame, labels: DataFrame, least: float) -> DataFrame:
-    """Likely pairs of members of the same band bucket that are in different groups."""
+    """Likely pairs of members of the same band bucket that are in different groups. A pair
+    that meets in several bands comes from the first of them."""
     grouped = bands.join(labels, "node", "left").select(
         "band", "key", "node", F.coalesce("component", "node").alias("component"))
     mixed_buckets = grouped.groupBy("band", "key").agg(
@@ -220,21 +245,25 @@ def _across(bands: DataFrame, classes: DataFrame, labels: DataFrame, least: floa
     dealt = members.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).select(
         "band", "key", "node", "component", "part",
         F.least("part", "other").alias("block_a"), F.greatest("part", "other").alias("block_b"))
-    dealt = dealt.join(classes.select("node", "n_shingles", "registers"), "node")
+    dealt = dealt.join(classes.select("node", "n_shingles", "registers", "fine"), "node")
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         node, group, part = (
             column_of(table, name).to_numpy() for name in ("node", "component", "part"))
-        rows = _matrix(column_of(table, "registers"))
+        rows = _matrix(column_of(table, "fine"), np.uint8, FINE_REGISTERS)
         sizes = column_of(table, "n_shingles").to_numpy().astype(float)
+        bands = _matrix(column_of(table, "registers"), np.uint16, REGISTERS).view(np.int64)
+        earlier = bands[:, :key[0].as_py()]
         first, second = key[2].as_py(), key[3].as_py()
         pairs = []
         for i in np.flatnonzero(part == first):
-            others = np.flatnonzero((part == second) & (group != group[i]) & (
-                (node > node[i]) | (first != second)))
+            others = np.flatnonzero(
+                (part == second) & (group != group[i]) & ((node > node[i]) | (first != second))
+                & (sizes >= least * sizes[i]) & (sizes[i] >= least * sizes))
             if len(others):
-                guess = estimate((rows[others] == rows[i]).mean(axis=1), sizes[i], sizes[others])
+                guess = estimate(rows[i], rows[others], sizes[i], sizes[others])
                 close = others[guess >= least]
+                close = close[~(earlier[close] == earlier[i]).any(axis=1)]
                 pairs.append(np.column_stack([np.full(len(close), node[i]), node[close]]))
         found = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
         return pa.table({"a": found.min(axis=1) if len(found) else found[:, 0],
@@ -259,7 +288,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     sketched = written(sketches(docs, size), "sketches")
     classes = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy(
         "high", "low", "n_shingles").agg(
-        F.min("doc_id").cast("long").alias("node"), F.first("registers").alias("registers"))
+        F.min("doc_id").cast("long").alias("node"), F.first("registers").alias("registers"),
+        F.first("fine").alias("fine"))
     classes = written(classes, "classes")
     bands = written(_bands(classes), "bands")
     leads = bands.groupBy("band", "key").agg(
@@ -282,7 +312,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     dropped(bands)
     named = classes.join(labels, "node", "left").select(
         "high", "low", "n_shingles", F.coalesce("component", "node").alias("component"))
-    joined = sketched.drop("registers").join(named, ["high", "low", "n_shingles"], "left")
+    joined = sketched.drop("registers", "fine").join(named, ["high", "low", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "mark", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

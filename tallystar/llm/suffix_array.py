@@ -35,7 +35,6 @@ from tallystar.llm.blocks import blocks, column_of, mixed, word_hashes
 WINDOW = 50
 GRAM = 16
 CHUNK_BYTES = 16 << 20
-BLOCK = 1 << 17
 BATCH_READS = 4000
 HOT_DOCUMENTS = 4096
 NO_ID = np.iinfo(np.int64).max
@@ -86,7 +85,7 @@ class Chunk:
         column = column_of(table, "text")
         ids = column_of(table, "doc_id")
         self.ids = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-        cut = list(blocks(column, BLOCK))
+        cut = list(blocks(column))
         sizes = [len(block.data) for block in cut]
         heads = np.cumsum([0, *sizes])
         self.data = np.concatenate([b.data for b in cut]) if cut else np.zeros(0, np.uint8)
