@@ -8,11 +8,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from tallystar.operators import Workspace
 from tallystar.plans.columns import ENTITIES, RAW_COLUMNS, raw_columns_of
 from tallystar.plans.staging import SOURCE_IDS, clean, stage, with_needed
-from tallystar.plans.star import BUILDERS, Star
+from tallystar.plans.star import BUILDERS, Star, staged_columns, star_of
 
 # Which other tables an entity's columns come from.
 _TABLES = {
@@ -25,31 +25,28 @@ _TABLES = {
 }
 
 
-_schemas: dict[str, StructType] = {}
+def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A table of the folder; its schema is looked up once, not by a job per query."""
-    path = f"{folder}/{table}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+# Which copy of a line a row is: some lines come twice, and of others a second row gives
+# the customer another number.
+EXACT_COPY, RENUMBERED_COPY = 1, 2
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The line items, spread over all cores when the file has fewer splits than that.
-
-    Small test files are one split; large inputs have far more splits than cores
-    and are read as they are, without a shuffle.
-    """
+    """The line items with their copies, by order: the partitioning that a shuffled join
+    with the orders needs anyway, so that one plan serves every size."""
     lines = _read(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice",
     )
-    cores = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() < cores:
-        lines = lines.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
-    return lines
+    copies = (
+        F.when(_every("l_orderkey", 53), F.array(F.lit(0), F.lit(EXACT_COPY)))
+        .when(_every("l_orderkey", 59), F.array(F.lit(0), F.lit(RENUMBERED_COPY)))
+        .otherwise(F.array(F.lit(0)))
+    )
+    return lines.repartition("l_orderkey").withColumn("copy", F.explode(copies))
 
 
 def _text(value: Column) -> Column:
@@ -96,7 +93,6 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return _read(spark, folder, "orders").select(
         key.alias("l_orderkey"),
         "o_custkey",
-        _text(F.col("o_custkey")).alias("sale_customer_id"),
         F.when(_every("o_orderkey", 83), F.lit("13/45/2021"))
         .when(_every("o_orderkey", 79), F.lit(""))
         .otherwise(written).alias("sale_date"),
@@ -114,7 +110,9 @@ def _parts(spark: SparkSession, folder: str) -> DataFrame:
         "product_weight": _text(size),
         "product_size": _text(size),
         "product_brand": F.col("p_brand"),
-        "product_rating": F.when(_every("p_partkey", 61), F.lit(" ")).otherwise(
+        "product_rating": F.when(_every("p_partkey", 61), F.lit(" "))
+        .when(key == 7, F.lit("10000000000000")).when(key == 11, F.lit("NaN"))
+        .when(key == 13, F.lit("4.1234567")).otherwise(
             _text(((size % 50) / 10).cast("decimal(3,1)"))
         ),
         "product_reviews": _text(key % 1000),
@@ -130,7 +128,7 @@ def _suppliers(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumnRenamed("n_nationkey", "s_nationkey")
     suppliers = _read(spark, folder, "supplier").join(places, "s_nationkey", "left")
     return _named(suppliers, "s_suppkey", "l_suppkey", {
-        "supplier_name": F.col("s_name"),
+        "supplier_name": F.when(_every("s_suppkey", 13), F.lit(" ")).otherwise(F.col("s_name")),
         "supplier_city": F.col("n_name"),
         "supplier_country": F.col("r_name"),
     })
@@ -163,6 +161,8 @@ def _line_columns() -> dict[str, Column]:
         "seller_first_name": F.lit("Seller"),
         "seller_last_name": _text(seller),
         "seller_country": F.concat(F.lit("Country "), _text(seller % 5)),
+        "sale_customer_id": _text(
+            F.col("o_custkey") + (F.col("copy") == RENUMBERED_COPY).cast("int")),
         "sale_seller_id": _text(seller),
         "sale_product_id": _text(F.col("l_partkey")),
         "sale_quantity": F.when(_every("l_orderkey", 101), F.lit("0"))
@@ -227,3 +227,14 @@ def feed_star(spark: SparkSession, folder: str) -> Star:
         return BUILDERS[table](staged)
 
     return Star(open_table)
+
+
+def held_star(
+    spark: SparkSession, folder: str, work: Workspace, tables: Sequence[str]
+) -> Star:
+    """The star over the feed cleaned once: the columns of the named tables are staged and
+    held, and every table is built from there."""
+    staged = staged_sales(spark, folder)
+    columns = dict.fromkeys(
+        name for table in tables for name in staged_columns(table) if name in staged.columns)
+    return star_of(work.hold(staged.select(*columns), "staged"), stored=True)

@@ -7,7 +7,17 @@ from __future__ import annotations
 
 import re
 
-from tallystar.plans.columns import KINDS, RAW_COLUMNS, RENAMED, attributes_of
+from tallystar.contract.oracle_columns import (
+    CLEANED_NAMES as RENAMED,
+)
+from tallystar.contract.oracle_columns import (
+    KIND_OF as KINDS,
+)
+from tallystar.contract.oracle_columns import (
+    cleaned_columns as attributes_of,
+)
+
+RAW_COLUMNS = tuple(KINDS)
 
 # The feed; ``feed.raw_sales`` says the same on Spark.
 _RAW = {
@@ -29,7 +39,7 @@ _RAW = {
     "product_quantity": "cast(p_size * 10 as varchar)",
     "sale_date": "case when l_orderkey % 83 = 0 then '13/45/2021'"
                  " when l_orderkey % 79 = 0 then '' else strftime(o_orderdate, '%-m/%-d/%Y') end",
-    "sale_customer_id": "cast(o_custkey as varchar)",
+    "sale_customer_id": "cast(o_custkey + case when copy = 2 then 1 else 0 end as varchar)",
     "sale_seller_id": "cast(l_orderkey % 50 as varchar)",
     "sale_product_id": "cast(l_partkey as varchar)",
     "sale_quantity": "case when l_orderkey % 101 = 0 then '0' when l_orderkey % 103 = 0 then ' '"
@@ -43,14 +53,16 @@ _RAW = {
     "product_weight": "cast(p_size as varchar)",
     "product_size": "cast(p_size as varchar)",
     "product_brand": "case when l_linenumber = 3 then ' ' || p_brand || '  ' else p_brand end",
-    "product_rating": "case when p_partkey % 61 = 0 then ' '"
+    "product_rating": "case when p_partkey % 61 = 0 then ' ' when p_partkey = 7 then"
+                      " '10000000000000' when p_partkey = 11 then 'NaN' when p_partkey = 13"
+                      " then '4.1234567'"
                       " else cast(cast((p_size % 50) / 10.0 as decimal(3,1)) as varchar) end",
     "product_reviews": "cast(p_partkey % 1000 as varchar)",
     "product_release_date":
         "strftime(date '1990-01-01' + cast(p_partkey % 1000 as int), '%-m/%-d/%Y')",
     "product_expiry_date":
         "strftime(date '1990-01-01' + cast(p_partkey % 1000 + 365 as int), '%-m/%-d/%Y')",
-    "supplier_name": "s_name",
+    "supplier_name": "case when s_suppkey % 13 = 0 then ' ' else s_name end",
     "supplier_city": "sn.n_name",
     "supplier_country": "r_name",
 }
@@ -58,6 +70,9 @@ RAW = (
     "select " + ", ".join(f"{_RAW.get(name, chr(39) * 2)} as {name}" for name in RAW_COLUMNS)
     + """
 from lineitem
+join (values (0, 1), (1, 53), (2, 59)) copies (copy, every)
+    on copy = 0 or (copy = 1 and l_orderkey % 53 = 0)
+    or (copy = 2 and l_orderkey % 59 = 0 and l_orderkey % 53 <> 0)
 left join orders on o_orderkey = l_orderkey
 left join customer on c_custkey = o_custkey
 left join nation cn on cn.n_nationkey = c_nationkey
@@ -85,8 +100,18 @@ def _clean(name: str) -> str:
     return f"{value} as {RENAMED.get(name, name)}"
 
 
+# Large numbers and NaN as keys write them.
+_RATING_TEXT = (
+    "case when isnan(product_rating) then 'NaN' when product_rating = 1e13 then '1.0E13'"
+    " else cast(product_rating as varchar) end"
+)
+
+
 def _key(*parts: str) -> str:
-    shown = ", ".join(f"coalesce(cast({part} as varchar), '')" for part in parts)
+    texts = (
+        _RATING_TEXT if part == "product_rating" else f"cast({part} as varchar)" for part in parts
+    )
+    shown = ", ".join(f"coalesce({text}, '')" for text in texts)
     return f"sha256(concat_ws('||', {shown}))"
 
 
@@ -141,7 +166,11 @@ def _half_up(total: str, count: str, places: int = 2) -> str:
 _MONEY = "cast(sum(sale_total_price) as decimal(38,2))"
 _ITEMS = "cast(sum(sale_quantity) as bigint)"
 _REVIEWS = "cast(sum(product_reviews) as bigint)"
-_RATING = _half_up("cast(product_rating as decimal(18,6))", "product_rating", 6)
+_PLACED = "try_cast(product_rating as decimal(18,6))"
+_RATING = (
+    f"case when bool_or(cast({_PLACED} as double) is distinct from product_rating) then"
+    f" round(avg(product_rating), 2) else {_half_up(_PLACED, 'product_rating', 6)} end"
+)
 _CHECK = _half_up("sale_total_price", "sale_total_price")
 _PRODUCT = "product_name, product_brand, product_category"
 _STORE = "store_name, store_location, store_city, store_state, store_country"
@@ -266,9 +295,12 @@ STEPS = {
         from (select *, dense_rank() over (order by total_revenue desc nulls last,
             order_count desc nulls last) as supplier_rank from supplier_groups)""",
     "correlation": """
-        select round(case when isnan(c) then null else c end, 4) as sales_rating_correlation
-        from (select corr(avg_rating, cast(total_sales_quantity as double)) as c
-            from product_groups)""",
+        select case when bool_or(isnan(avg_rating)) then cast('nan' as double)
+            when min(avg_rating) < max(avg_rating)
+                and min(total_sales_quantity) < max(total_sales_quantity)
+            then round(corr(avg_rating, cast(total_sales_quantity as double))
+                filter (where not isnan(avg_rating)), 4) end as sales_rating_correlation
+        from product_groups""",
     "report_product_quality": f"""
         select {_key("product_name", "product_brand", "product_category")} as product_group_key,
             {_PRODUCT}, avg_rating, total_reviews, total_sales_quantity,
@@ -300,3 +332,77 @@ def sql(body: str) -> str:
         f"{name} as materialized ({text})" for name, text in STEPS.items() if name in wanted
     )
     return f"with {steps} {body}" if steps else body
+
+
+# The columns of the tables that runs store, and how each is filled or shown.
+_STORED = {
+    "dim_customer": ("customer_key", "source_customer_id", "customer_full_name",
+                     *attributes_of("customer")),
+    "dim_seller": ("seller_key", "source_seller_id", "seller_full_name", *attributes_of("seller")),
+    "dim_supplier": ("supplier_key", *attributes_of("supplier")),
+    "dim_store": ("store_key", *attributes_of("store")),
+    "dim_product": ("product_key", "source_product_id", "supplier_key", *attributes_of("product")),
+    "dim_date": ("date_key", "full_date", "day_of_month", "month", "month_name", "quarter", "year"),
+    "fact_sales": (*_FACT, "unit_price"),
+    "report_sales_products": (
+        "product_group_key", "product_name", "product_brand", "product_category",
+        "total_revenue", "total_sales_quantity", "order_count", "avg_rating", "total_reviews",
+        "category_revenue", "sales_rank", "is_top_10_product"),
+    "report_sales_customers": (
+        "customer_key", "customer_full_name", "customer_email", "customer_country",
+        "total_spent", "order_count", "avg_check", "total_items", "country_customer_count",
+        "customer_rank", "is_top_10_customer"),
+    "report_sales_time": (
+        "year", "month", "month_name", "year_month", "total_revenue", "year_total_revenue",
+        "order_count", "avg_order_size", "total_items", "previous_period_revenue",
+        "revenue_diff_prev_period", "revenue_growth_pct"),
+    "report_sales_stores": (
+        "store_key", "store_name", "store_location", "store_city", "store_state",
+        "store_country", "total_revenue", "order_count", "avg_check", "total_items",
+        "city_revenue", "country_revenue", "store_rank", "is_top_5_store"),
+    "report_sales_suppliers": (
+        "supplier_key", "supplier_name", "supplier_country", "total_revenue",
+        "avg_product_price", "order_count", "total_items", "country_revenue",
+        "country_supplier_count", "supplier_rank", "is_top_5_supplier"),
+    "report_product_quality": (
+        "product_group_key", "product_name", "product_brand", "product_category",
+        "avg_rating", "total_reviews", "total_sales_quantity", "total_revenue",
+        "sales_rating_correlation", "highest_rating_rank", "lowest_rating_rank",
+        "reviews_rank", "is_highest_rated", "is_lowest_rated", "has_most_reviews"),
+}
+_DOUBLES = {
+    "product_rating", "total_revenue", "avg_rating", "category_revenue", "total_spent",
+    "avg_check", "year_total_revenue", "avg_order_size", "previous_period_revenue",
+    "revenue_diff_prev_period", "revenue_growth_pct", "city_revenue", "country_revenue",
+    "avg_product_price", "sales_rating_correlation",
+}
+_WORDS = (
+    "_key", "_name", "_brand", "_category", "_email", "_country", "_location", "_city",
+    "_state", "year_month",
+)
+
+
+def _shown(column: str, filled: bool) -> str:
+    text = f"cast({column} as varchar)"
+    if column in _DOUBLES:
+        text = (f"case when isnan({column}) then 'nan'"
+                f" else cast(cast({column} as decimal(38,4)) as varchar) end")
+    if not filled:
+        empty = "~"
+    elif column in _DOUBLES:
+        empty = "0.0000"
+    else:
+        empty = "" if column.endswith(_WORDS) else "0"
+    return f"coalesce({text}, '{empty}')"
+
+
+def contents(*tables: str, filled: bool = False) -> str:
+    """Rows and an order-free hash of the content of each table; ``filled`` as reports are
+    stored, without nulls."""
+    found = []
+    for table in tables:
+        row = ", ".join(_shown(column, filled) for column in sorted(_STORED[table]))
+        hashed = f"cast('0x' || substr(md5(concat_ws('|', {row})), 1, 8) as bigint)"
+        found.append(f"select '{table}' as table_name, count(*) as row_count,"
+                     f" cast(sum({hashed}) as bigint) as content from {table}")
+    return " union all ".join(found)

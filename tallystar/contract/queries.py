@@ -2,13 +2,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.contract import oracle
-from tallystar.contract.feed import feed_star, raw_sales, staged_sales
+from tallystar.contract.feed import feed_star, held_star, raw_sales, staged_sales
 from tallystar.functions import (
     blank_to_null,
     date_key,
@@ -19,8 +18,15 @@ from tallystar.functions import (
     to_double,
     to_int,
 )
-from tallystar.operators import Workspace, dense_ranks, scratch_folder, with_totals
+from tallystar.operators import (
+    Workspace,
+    dense_ranks,
+    run_folder,
+    scratch_folder,
+    with_totals,
+)
 from tallystar.plans import checks, marts
+from tallystar.plans.columns import RAW_COLUMNS
 from tallystar.plans.dataset import attach, measures_by, measures_of, sales_dataset
 from tallystar.plans.pipeline import (
     RAW_TABLE,
@@ -30,9 +36,9 @@ from tallystar.plans.pipeline import (
     star_in,
     write_mart,
 )
+from tallystar.plans.pipeline import ingest_raw as take_in
 from tallystar.plans.star import STAR_KEYS
-from tallystar.session import FAST_WIDE_ROWS
-from tallystar.sources import FolderStore, read_raw_csv
+from tallystar.sources import FolderStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,15 +51,9 @@ def _register(body: str, name: str | None = None) -> Callable[[Query], Query]:
     oracle steps."""
 
     def register(query: Query) -> Query:
-        @wraps(query)
-        def run(spark: SparkSession, folder: str) -> DataFrame:
-            if spark.conf.get(FAST_WIDE_ROWS[0]) == "65535":
-                spark.conf.set(*FAST_WIDE_ROWS)
-            return query(spark, folder)
-
         registered = name or query.__name__
-        QUERIES[registered], ORACLES[registered] = run, oracle.sql(body)
-        return run
+        QUERIES[registered], ORACLES[registered] = query, oracle.sql(body)
+        return query
 
     return register
 
@@ -218,11 +218,22 @@ def sales_dataset_joined(spark, folder):
 # --- groups, totals and ranks -----------------------------------------------------
 
 
+def _work(spark):
+    """Lazy results read what it holds, so it is left to the run folder's end."""
+    return Workspace(spark, run_folder(spark))
+
+
+# The star tables that each entity's reports read.
+_READ = {
+    entity: ("fact_sales", f"dim_{entity}", *(("dim_product",) if entity == "supplier" else ()))
+    for entity in ("product", "customer", "date", "store", "supplier")
+}
+
+
 def _groups(spark, folder, report):
-    chosen = marts.MARTS[report]
-    work = Workspace(spark)
-    measures = measures_by(feed_star(spark, folder), chosen.entity)
-    return work.hold(chosen.groups(measures), report), work
+    chosen, work = marts.MARTS[report], _work(spark)
+    star = held_star(spark, folder, work, _READ[chosen.entity])
+    return work.hold(chosen.groups(measures_by(star, chosen.entity)), report), work
 
 
 @_register("""select product_name, product_brand, product_category,
@@ -256,10 +267,26 @@ def average_check(spark, folder):
     )
 
 
-@_register("select * from correlation")
+@_register("""select round(corr(avg_rating, cast(total_sales_quantity as double)), 4)
+    as sales_rating_correlation from product_groups where avg_rating < 1000""")
 def rating_correlation(spark, folder):
+    """Over ordinary ratings; with the feed's NaN, as in the report, it would be NaN."""
     groups, _ = _groups(spark, folder, "report_product_quality")
-    return marts.rating_correlation(groups)
+    return marts.rating_correlation(groups.where("avg_rating < 1000"))
+
+
+@_register("""select store_country, cast(sum(sale_total_price) as double) as total_revenue,
+    count(distinct sale_key) as order_count, cast(sum(sale_quantity) as bigint) as total_items
+    from (select * from sales union all select * from sales where sale_quantity > 25)
+    group by all""")
+def group_repeated_sales(spark, folder):
+    """A dataset in which sales repeat: every row is summed, every sale is one order."""
+    dataset = sales_dataset(feed_star(spark, folder))
+    doubled = dataset.unionByName(dataset.where("sale_quantity > 25"))
+    groups = marts.store_groups(measures_of(doubled).withColumns(
+        {name: F.lit("") for name in ("store_name", "store_location", "store_city", "store_state")}))
+    return groups.select(
+        "store_country", marts.money("total_revenue"), "order_count", "total_items")
 
 
 _GRAINS = {
@@ -357,7 +384,9 @@ _register_rank("rank_reviews", "report_product_quality", "reviews_rank",
 
 
 def _report(spark, folder, name):
-    return marts.mart(name, feed_star(spark, folder), Workspace(spark))
+    work = _work(spark)
+    return marts.mart(
+        name, held_star(spark, folder, work, _READ[marts.MARTS[name].entity]), work)
 
 
 def _register_report(query_name, report):
@@ -393,6 +422,18 @@ def topn_flags(spark, folder):
     )
 
 
+@_register("""select customer_full_name, customer_country, order_count, order_rank,
+    order_rank <= 10 as is_top_10 from (select *, dense_rank() over
+    (order by order_count desc nulls last) as order_rank from customer_groups)""")
+def topn_ties(spark, folder):
+    """Ranks by a small number, so that many customers share every rank, the tenth too."""
+    groups, work = _groups(spark, folder, "report_sales_customers")
+    ranked = dense_ranks(groups, {"order_rank": [("order_count", marts.DESCENDING)]}, work)
+    return ranked.select(
+        "customer_full_name", "customer_country", "order_count", "order_rank",
+        (F.col("order_rank") <= marts.TOP_CUSTOMERS).alias("is_top_10"))
+
+
 # --- checks -----------------------------------------------------------------------
 
 
@@ -407,7 +448,8 @@ def _counts(*tables: str) -> str:
 def check_row_counts(spark, folder):
     star = feed_star(spark, folder)
     return checks.row_counts({
-        "raw": raw_sales(spark, folder, ["store"]),
+        # Every text is looked at, so that no join of the feed is left out.
+        "raw": raw_sales(spark, folder).where(F.xxhash64(*RAW_COLUMNS).isNotNull()),
         "fact_sales": star["fact_sales"],
         "dim_product": star["dim_product"],
     })
@@ -435,34 +477,79 @@ def check_rating_extremes(spark, folder):
     return checks.rating_extremes(_report(spark, folder, "report_product_quality"))
 
 
+# Faults for the checks to find: stores and dates that come twice, and customers and
+# suppliers that are missing.
+_TWICE = {"dim_store": "store_city = 'City 3'", "dim_date": "month = 2"}
+_MISSING = {"dim_customer": "customer_age < 30", "dim_supplier": "supplier_name is null"}
+
+
+def _faulty(spark, folder):
+    star = dict(feed_star(spark, folder))
+    for table, rows in _TWICE.items():
+        star[table] = star[table].unionByName(star[table].where(rows))
+    for table, rows in _MISSING.items():
+        star[table] = star[table].where(f"not coalesce({rows}, false)")
+    return star
+
+
+def _faulty_sql(table: str) -> str:
+    if table in _TWICE:
+        return f"(select * from {table} union all select * from {table} where {_TWICE[table]})"
+    if table in _MISSING:
+        return f"(select * from {table} where not coalesce({_MISSING[table]}, false))"
+    return table
+
+
 @_register(" union all ".join(
     f"""select '{table}' as table_name, cast({key} as varchar) as key, count(*) as row_count
-    from {table} group by {key} having count(*) > 1""" for table, key in STAR_KEYS.items()))
+    from {_faulty_sql(table)} group by {key} having count(*) > 1"""
+    for table, key in STAR_KEYS.items()))
 def check_repeated_keys(spark, folder):
-    return checks.repeated_keys(feed_star(spark, folder))
+    return checks.repeated_keys(_faulty(spark, folder))
 
 
 @_register(" union all ".join(
     f"""select distinct '{table}' as table_name, '{target}' as missing_from,
-    cast(t.{key} as varchar) as key from {table} t left join {target} d on t.{key} = d.{key}
+    cast(t.{key} as varchar) as key from {_faulty_sql(table)} t
+    left join {_faulty_sql(target)} d on t.{key} = d.{key}
     where t.{key} is not null and d.{key} is null"""
     for table, key, target in checks.REFERENCES))
 def check_dangling_keys(spark, folder):
-    return checks.dangling_keys(feed_star(spark, folder))
+    return checks.dangling_keys(_faulty(spark, folder))
 
 
 # --- sources, sinks and whole runs ------------------------------------------------
 
 
-@_register("select * from raw")
+# Text that CSV has to quote, and text that is empty rather than missing.
+_DIRT = {
+    "store_phone": ("concat('+1, ', id, chr(34), 'x', chr(34))",
+                    "'+1, ' || id || chr(34) || 'x' || chr(34)"),
+    "store_email": ("concat('line one', chr(10), 'line two of ', id)",
+                    "'line one' || chr(10) || 'line two of ' || id"),
+    "product_material": ("if(id % 3 = 0, '', concat(' padded ', id))",
+                         "case when cast(id as bigint) % 3 = 0 then '' else ' padded ' || id end"),
+}
+
+
+@_register("select {} from raw".format(", ".join(
+    f"nullif({_DIRT[name][1] if name in _DIRT else name}, '') as {name}"
+    for name in oracle.RAW_COLUMNS)))
 def ingest_raw(spark, folder):
-    """The feed written as CSV files and read back with the ingest rules."""
+    """Feed text with commas, quotes and line breaks, written as CSV files and taken into a
+    raw table that already holds something else. Empty text comes in as null."""
     path = scratch_folder(spark, "csv")
-    raw_sales(spark, folder).write.options(
-        header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
+    dirty = raw_sales(spark, folder).withColumns(
+        {name: F.expr(text) for name, (text, _) in _DIRT.items()})
+    dirty.write.options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False, quoteAll=True, emptyValue="",
     ).csv(path)
-    return read_raw_csv(spark, path).na.fill("")
+    store = FolderStore(spark, scratch_folder(spark, "raw"))
+    store.write(dirty.limit(3), RAW_TABLE)
+    for _ in range(2):
+        take_in(spark, path, store)
+    return store.read(RAW_TABLE)
 
 
 @_register("""select product_group_key, coalesce(product_name, '') as product_name,
@@ -495,29 +582,54 @@ def _star_store(spark, folder):
     return store
 
 
-@_register(_counts(*STAR_KEYS), "build_star")
+def _contents(tables):
+    """``table_name``, ``row_count`` and ``content``: a sum over all rows of a hash of every
+    column, which no order of rows changes."""
+    found = None
+    for name, df in tables.items():
+        shown = []
+        for column, kind in sorted(df.dtypes):
+            value = F.col(column)
+            if kind == "double":
+                value = F.when(F.isnan(value), "nan").otherwise(
+                    value.cast("decimal(38,4)").cast("string"))
+            shown.append(F.coalesce(value.cast("string"), F.lit("~")))
+        row = F.conv(F.substring(F.md5(F.concat_ws("|", *shown)), 1, 8), 16, 10).cast("bigint")
+        one = df.agg(F.count("*").alias("row_count"), F.sum(row).alias("content")).select(
+            F.lit(name).alias("table_name"), "row_count", "content")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@_register(oracle.contents(*STAR_KEYS), "build_star")
 def build_star_tables(spark, folder):
-    return checks.row_counts(star_in(_star_store(spark, folder)))
+    """What all seven stored tables hold."""
+    stored = star_in(_star_store(spark, folder))
+    return _contents({name: stored[name].drop("loaded_at") for name in STAR_KEYS})
 
 
-@_register(_counts(*marts.MARTS), "build_marts")
+@_register(oracle.contents(*marts.MARTS, filled=True), "build_marts")
 def build_mart_tables(spark, folder):
+    """What all six stored reports hold."""
     reports = FolderStore(spark, scratch_folder(spark, "marts"))
     build_marts(star_in(_star_store(spark, folder)), reports)
-    return checks.row_counts({name: reports.read(name) for name in marts.MARTS})
+    return _contents({name: reports.read(name) for name in marts.MARTS})
 
 
-@_register("""select coalesce(year, 0) as year, coalesce(month, 0) as month,
-    coalesce(month_name, '') as month_name, year_month,
-    coalesce(total_revenue, 0) as total_revenue,
-    coalesce(year_total_revenue, 0) as year_total_revenue, order_count,
-    coalesce(avg_order_size, 0) as avg_order_size, coalesce(total_items, 0) as total_items,
-    previous_period_revenue, coalesce(revenue_diff_prev_period, 0)
-    as revenue_diff_prev_period, coalesce(revenue_growth_pct, 0) as revenue_growth_pct
-    from report_sales_time""", "run_all")
+@_register(oracle.contents(*STAR_KEYS) + " union all " + oracle.contents(
+    *marts.MARTS, filled=True), "run_all")
 def run_everything(spark, folder):
-    """Raw table to star to reports through stored tables; the time report as stored."""
+    """Raw table to star to reports through stored tables: what all thirteen hold."""
     star = FolderStore(spark, scratch_folder(spark, "star"))
     reports = FolderStore(spark, scratch_folder(spark, "marts"))
     run_all(_raw_table(spark, folder), star, reports)
-    return reports.read("report_sales_time")
+    stored = {name: star.read(name).drop("loaded_at") for name in STAR_KEYS}
+    return _contents(stored | {name: reports.read(name) for name in marts.MARTS})
+
+
+@_register("select sale_key, true as is_loaded from fact_sales")
+def loaded_at(spark, folder):
+    """When a sale was loaded: within this hour, and not in the future."""
+    stored = _star_store(spark, folder).read("fact_sales")
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("loaded_at")
+    return stored.select("sale_key", age.between(0, 3600).alias("is_loaded"))

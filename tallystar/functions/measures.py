@@ -1,10 +1,19 @@
-"""Exact averages."""
+"""Exact sums and averages."""
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def exact(value: Column, kind: str) -> Column:
+    """``value`` as a decimal type. A value that does not fit, NaN included, stops the query
+    under either ANSI setting rather than leaving the sums."""
+    fitted = value.try_cast(kind)
+    lost = value.isNotNull() & fitted.isNull()
+    message = F.concat(F.lit(f"does not fit {kind}: "), value.cast("string"))
+    return F.when(lost, F.raise_error(message).cast(kind)).otherwise(fitted)
+
+
 def mean_in_cents(total: Column, count: Column) -> Column:
     """``total / count`` rounded half up to two places, as a double.
 

@@ -2,6 +2,14 @@
 from tallystar.operators.dedupe import one_row_per_key
 from tallystar.operators.ranking import dense_ranks
 from tallystar.operators.totals import with_totals
-from tallystar.operators.workspace import Workspace, scratch_folder
+from tallystar.operators.workspace import (
+    Workspace,
+    remove_run_folder,
+    run_folder,
+    scratch_folder,
+)
 
-__all__ = ["Workspace", "dense_ranks", "one_row_per_key", "scratch_folder", "with_totals"]
+__all__ = [
+    "Workspace", "dense_ranks", "one_row_per_key", "remove_run_folder", "run_folder",
+    "scratch_folder", "with_totals",
+]

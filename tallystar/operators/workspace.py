@@ -1,59 +1,68 @@
 """Intermediate results that are read more than once."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder the cluster names for durable intermediate data, if any."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_root(spark: SparkSession) -> str:
+    """A folder that driver and executors share: ``spark.checkpoint.dir``, and where that is
+    unset the session's warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def _hadoop(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This session's folder for intermediate data. It goes when the driver's JVM ends, or
+    earlier with ``remove_run_folder``."""
+    folder = f"{shared_root(spark)}/tallystar-{spark.sparkContext.applicationId}"
+    files, path = _hadoop(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    files, path = _hadoop(spark, folder)
+    files.delete(path, True)
+
+
+def remove_run_folder(spark: SparkSession) -> None:
+    remove(spark, run_folder(spark))
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder for written output: shared storage, or local in local mode."""
-    folder = shared_folder(spark)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tallystar-")
-    return f"{folder.rstrip('/')}/tallystar/{label}-{uuid.uuid4().hex}"
+    """A name for a new folder below the run folder."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 class Workspace:
-    """Holds frames for reuse and lets go of them on ``close``.
+    """Holds frames as Parquet tables in ``folder`` and deletes them on ``close``.
 
-    With ``spark.checkpoint.dir`` set, a held frame becomes a Parquet table in
-    that folder: lost executors cost nothing, lineage ends there, and later
-    readers prune columns. Without it the frame is persisted and spills to disk.
+    The folder has to be one that all executors share. Lost executors then cost
+    nothing, lineage ends at the table, and later readers prune columns.
     """
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self._persisted: list[DataFrame] = []
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
         self._written: list[str] = []
 
     def hold(self, df: DataFrame, label: str) -> DataFrame:
-        if shared_folder(self.spark) is None:
-            self._persisted.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-            return df
-        path = scratch_folder(self.spark, label)
+        path = f"{self.folder}/{label}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         self._written.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
-        for df in self._persisted:
-            df.unpersist()
-        if self._written:
-            jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-            for written in self._written:
-                path = jvm.org.apache.hadoop.fs.Path(written)
-                path.getFileSystem(conf).delete(path, True)
-        self._persisted, self._written = [], []
+        for path in self._written:
+            remove(self.spark, path)
+        self._written = []
 
     def __enter__(self) -> Workspace:
         return self

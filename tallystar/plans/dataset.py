@@ -6,6 +6,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystar.functions import exact
+from tallystar.plans.star import sales_of
+
 # The dataset's columns, and the type of those that are widened.
 DATASET_COLUMNS = (
     "sale_key", "sale_quantity", "sale_total_price", "unit_price",
@@ -69,15 +72,23 @@ def sales_dataset(star: Mapping[str, DataFrame]) -> DataFrame:
 _SALE_SUMS = ("sales", "priced_sales", "revenue", "items")
 
 
+MONEY = "decimal(22,2)"
+
+
 def _product_sums(columns: list[str]) -> dict[str, Column]:
-    """Product values counted once per sale, as exact decimals."""
-    sales, weight = F.col("sales"), F.col("sales").cast("decimal(18,0)")
-    rating = F.col("product_rating").try_cast("decimal(18,6)")
-    price = F.col("product_price").cast("decimal(18,2)")
+    """Product values counted once per sale, as exact decimals. Ratings that have no exact
+    form with six places are counted apart and summed as doubles."""
+    sales, weight = F.col("sales"), F.col("sales").cast("decimal(16,0)")
+    rating = F.col("product_rating").cast("double")
+    placed = rating.try_cast("decimal(18,6)")
+    fits = F.coalesce(placed.cast("double") == rating, F.lit(False))
+    price = exact(F.col("product_price"), MONEY)
     sums = {
         "product_rating": {
-            "rating_sum": rating * weight,
+            "rating_sum": F.when(fits, placed * weight),
+            "rating_double": rating * sales,
             "rated_sales": F.when(rating.isNotNull(), sales),
+            "odd_ratings": F.when(rating.isNotNull() & ~fits, sales),
         },
         "product_reviews": {"reviews": F.col("product_reviews") * sales},
         "product_price": {
@@ -97,8 +108,9 @@ def _weighted(df: DataFrame) -> DataFrame:
 
 
 def measures_of(dataset: DataFrame) -> DataFrame:
-    """Summable columns for a dataset with one row per sale (``sale_key`` unique)."""
-    total = F.col("sale_total_price").cast("decimal(18,2)")
+    """Summable columns for a dataset with a row per sale. Where a ``sale_key`` repeats, every
+    row is summed and the reports count one order."""
+    total = exact(F.col("sale_total_price"), MONEY)
     return _weighted(
         dataset.withColumns({
             "sales": F.lit(1).cast("bigint"),
@@ -122,7 +134,8 @@ def measures_by(star: Mapping[str, DataFrame], entity: str) -> DataFrame:
     """
     carrier = "product" if entity == "supplier" else entity
     total = F.col("sale_total_price")
-    added = star["fact_sales"].groupBy(f"{carrier}_key").agg(
+    sold = sales_of(star, f"{carrier}_key", "sale_total_price", "sale_quantity")
+    added = sold.groupBy(f"{carrier}_key").agg(
         F.count("*").alias("sales"),
         F.count(total).alias("priced_sales"),
         F.sum(total).alias("revenue"),

@@ -1,8 +1,8 @@
 """The six reports.
 
 Each takes sales as ``measures_by`` gives them (added up per dimension key) or
-as ``measures_of`` does (one row per sale); the results are equal. One sale
-counts as one order, since the fact holds each sale once.
+as ``measures_of`` does (one row per sale); the results are equal. Orders are distinct
+sale keys: the fact holds each once, so there they are the number of sales.
 """
 from __future__ import annotations
 
@@ -39,6 +39,19 @@ def _mean(total: str, count: str) -> Column:
     return mean_in_cents(F.sum(total), F.sum(count))
 
 
+def _mean_rating() -> Column:
+    """Exact where all ratings of a group are; otherwise the mean of the doubles, so that no
+    rating is left out however large, NaN included."""
+    doubles = F.round(F.sum("rating_double") / F.sum("rated_sales"), 2)
+    return F.when(F.sum("odd_ratings") > 0, doubles).otherwise(
+        _mean("rating_sum", "rated_sales"))
+
+
+def _orders(sales: DataFrame) -> Column:
+    """Distinct sales; for sales already added up by a key of the fact, their number."""
+    return F.count_distinct("sale_key") if "sale_key" in sales.columns else F.sum("sales")
+
+
 def money(name: str) -> Column:
     """Sums stay exact until here; reports show money as a double."""
     return F.col(name).cast("double").alias(name)
@@ -50,8 +63,8 @@ def product_groups(sales: DataFrame) -> DataFrame:
         sales, PRODUCT_GRAIN,
         total_revenue=F.sum("revenue"),
         total_sales_quantity=F.sum("items"),
-        order_count=F.sum("sales"),
-        avg_rating=_mean("rating_sum", "rated_sales"),
+        order_count=_orders(sales),
+        avg_rating=_mean_rating(),
         total_reviews=F.sum("reviews"),
     )
 
@@ -85,7 +98,7 @@ def customer_groups(sales: DataFrame) -> DataFrame:
     return add_up(
         sales, CUSTOMER_GRAIN,
         total_spent=F.sum("revenue"),
-        order_count=F.sum("sales"),
+        order_count=_orders(sales),
         avg_check=_mean("revenue", "priced_sales"),
         total_items=F.sum("items"),
     )
@@ -122,7 +135,7 @@ def period_groups(sales: DataFrame) -> DataFrame:
     return add_up(
         sales, PERIOD_GRAIN,
         total_revenue=F.sum("revenue"),
-        order_count=F.sum("sales"),
+        order_count=_orders(sales),
         avg_order_size=_mean("revenue", "priced_sales"),
         total_items=F.sum("items"),
     )
@@ -166,7 +179,7 @@ def store_groups(sales: DataFrame) -> DataFrame:
     return add_up(
         sales, STORE_GRAIN,
         total_revenue=F.sum("revenue"),
-        order_count=F.sum("sales"),
+        order_count=_orders(sales),
         avg_check=_mean("revenue", "priced_sales"),
         total_items=F.sum("items"),
     )
@@ -204,7 +217,7 @@ def supplier_groups(sales: DataFrame) -> DataFrame:
         sales, SUPPLIER_GRAIN,
         total_revenue=F.sum("revenue"),
         avg_product_price=_mean("price_sum", "listed_sales"),
-        order_count=F.sum("sales"),
+        order_count=_orders(sales),
         total_items=F.sum("items"),
     )
 

@@ -1,7 +1,7 @@
 """Staging to six dimensions and one fact."""
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import cache
 
 from pyspark.sql import Column, DataFrame
@@ -34,9 +34,9 @@ def key_splits(parts: int) -> dict[str, HexSplit]:
 def _dimension(staged: DataFrame, entity: str, *determined: str) -> DataFrame:
     """One row per key of an entity without a number in its source file.
 
-    ``determined`` are further columns the key is made of. The first grouping
-    hashes plain columns, which removes nearly all repeats before any sort; the
-    second settles the few rows that share a key all the same.
+    ``determined`` are further columns the key is made of. The first grouping combines
+    copies by hash where they are read; the second settles the few rows that share a
+    key all the same.
     """
     key = f"{entity}_key"
     rows = staged.select(key, *determined, *attributes_of(entity)).distinct()
@@ -101,26 +101,34 @@ def unit_price() -> Column:
     return F.round(F.when(F.col("sale_quantity") > 0, each), 2)
 
 
+# What a sale's key is made of, or follows from it: equal on all copies of a sale.
+SETTLED = (
+    "source_row_id", "customer_key", "seller_key", "store_key", "product_key", "date_key",
+    "sale_quantity", "sale_total_price",
+)
+_NUMBERS = ("source_customer_id", "source_seller_id", "source_product_id")
+
+
+def settled_sales(staged: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per sale with some of its ``SETTLED`` columns, which alone are moved."""
+    return staged.select("sale_key", *columns).distinct()
+
+
 def fact_sales(staged: DataFrame) -> DataFrame:
     """One row per sale.
 
     The sale key is made of values that hold no separator, so it settles every
     column but the three source numbers; those are kept together as the smallest
     of the copies. Each column is its own minimum, so readers that need few
-    columns shuffle few.
+    columns shuffle few, and copies of a sale are combined before the shuffle.
     """
-    numbers = ("source_customer_id", "source_seller_id", "source_product_id")
-    settled = (
-        "customer_key", "seller_key", "store_key", "product_key", "date_key",
-        "sale_quantity", "sale_total_price",
-    )
     sales = staged.groupBy("sale_key").agg(
         F.min("source_row_id").alias("source_row_id"),
-        F.min(F.struct(*numbers)).alias("_numbers"),
-        *(F.min(name).alias(name) for name in settled),
+        F.min(F.struct(*_NUMBERS)).alias("_numbers"),
+        *(F.min(name).alias(name) for name in SETTLED[1:]),
     )
     return sales.select(
-        "sale_key", "source_row_id", *(f"_numbers.{name}" for name in numbers), *settled,
+        "sale_key", "source_row_id", *(f"_numbers.{name}" for name in _NUMBERS), *SETTLED[1:],
         unit_price().alias("unit_price"), F.current_timestamp().alias("loaded_at"),
     )
 
@@ -136,11 +144,31 @@ BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def staged_columns(table: str) -> tuple[str, ...]:
+    """The staged columns that a table is built from."""
+    if table == "dim_date":
+        return ("sale_date",)
+    if table == "fact_sales":
+        return ("sale_key", *SETTLED, *_NUMBERS)
+    entity = table.removeprefix("dim_")
+    numbers = [name for name in _NUMBERS if name == f"source_{entity}_id"]
+    determined = ("supplier_key",) if entity == "product" else ()
+    return (f"{entity}_key", *numbers, *determined, *attributes_of(entity))
+
+
 class Star(Mapping):
-    """The seven tables by name, each opened when first asked for."""
+    """The seven tables by name, each opened when first asked for.
 
-    def __init__(self, open_table: Callable[[str], DataFrame]):
-        self._open = cache(open_table)
+    ``open_sales``, where given, opens some settled columns of the fact in a cheaper way
+    than the whole fact.
+    """
+
+    def __init__(
+        self,
+        open_table: Callable[[str], DataFrame],
+        open_sales: Callable[[Sequence[str]], DataFrame] | None = None,
+    ):
+        self._open, self._open_sales = cache(open_table), open_sales
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in BUILDERS:
@@ -153,6 +181,24 @@ class Star(Mapping):
     def __len__(self) -> int:
         return len(BUILDERS)
 
+    def sales(self, *columns: str) -> DataFrame:
+        """``sale_key`` and settled columns of the fact, one row per sale."""
+        if self._open_sales is None:
+            return self["fact_sales"].select("sale_key", *columns)
+        return self._open_sales(columns)
+
 
-def star_of(staged: DataFrame) -> Star:
-    return Star(lambda table: BUILDERS[table](staged))
+def sales_of(star: Mapping[str, DataFrame], *columns: str) -> DataFrame:
+    """The same of any mapping of tables."""
+    if isinstance(star, Star):
+        return star.sales(*columns)
+    return star["fact_sales"].select("sale_key", *columns)
+
+
+def star_of(staged: DataFrame, stored: bool = False) -> Star:
+    """The star over staging. Where that is ``stored``, reports group the few columns of
+    the fact that they need straight from it."""
+    return Star(
+        lambda table: BUILDERS[table](staged),
+        (lambda columns: settled_sales(staged, columns)) if stored else None,
+    )

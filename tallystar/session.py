@@ -16,9 +16,11 @@ CLASSPATH = "SPARK_JDBC_CLASSPATH"
 # only after measuring the side; zstd about halves shuffled hex keys. A generated
 # method over 8000 bytes is never compiled by the JVM: staging's 57 columns run
 # about a quarter faster when such a stage falls back to split projections.
-FAST_WIDE_ROWS = ("spark.sql.codegen.hugeMethodLimit", "8000")
+# Adaptive execution merges small shuffle partitions but splits only skewed joins, so it
+# starts from many unless the caller says how many.
+PARTITIONS, MANY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4000"
 _DEFAULTS = {
-    FAST_WIDE_ROWS[0]: FAST_WIDE_ROWS[1],
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -36,15 +38,20 @@ def build_session(
     options: Mapping[str, str] | None = None,
     environ: Mapping[str, str] | None = None,
 ) -> SparkSession:
-    """A session from the environment; ``options`` win over every default."""
+    """A session from the environment; ``options`` win over every default.
+
+    The class path setting reaches the executors. A driver that already runs cannot take
+    it in: name the jars when launching it.
+    """
     configured = {
         **_DEFAULTS,
         "spark.sql.session.timeZone": setting(TIME_ZONE, TIME_ZONE_DEFAULT, environ),
     }
     jars = setting(CLASSPATH, "", environ)
     if jars:
-        configured["spark.driver.extraClassPath"] = jars
         configured["spark.executor.extraClassPath"] = jars
+    if "spark.sql.shuffle.partitions" not in (options or {}):
+        configured[PARTITIONS] = MANY
     configured.update(options or {})
     builder = SparkSession.builder.appName(app_name).master(
         setting(MASTER, MASTER_DEFAULT, environ)

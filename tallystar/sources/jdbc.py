@@ -12,6 +12,9 @@ from tallystar.session import setting
 # Fixed value: the environment setting for the number of JDBC write partitions.
 WRITE_PARTITIONS = "JDBC_WRITE_PARTITIONS"
 
+# Rows per round trip. Without it some drivers buffer a whole partition.
+FETCH_ROWS = 10_000
+
 
 @dataclass(frozen=True)
 class JdbcTarget:
@@ -76,13 +79,16 @@ def read_jdbc(
     target: JdbcTarget,
     table: str,
     split: RangeSplit | HexSplit | None = None,
+    fetch_rows: int = FETCH_ROWS,
 ) -> DataFrame:
     """Scan a table; without ``split`` the whole table comes through one connection."""
+    fetch = {"fetchsize": str(fetch_rows)}
     if isinstance(split, HexSplit):
         return spark.read.jdbc(
-            target.url, table, predicates=split.predicates(), properties=target.properties()
+            target.url, table, predicates=split.predicates(),
+            properties={**target.properties(), **fetch},
         )
-    reader = spark.read.format("jdbc").options(**target.options(), dbtable=table)
+    reader = spark.read.format("jdbc").options(**target.options(), **fetch, dbtable=table)
     if split is not None:
         reader = reader.options(
             partitionColumn=split.column,

@@ -6,12 +6,14 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tallystar.operators import remove_run_folder  # noqa: E402
 from tallystar.plans.columns import RAW_COLUMNS  # noqa: E402
 from tallystar.sources.csv_folder import RAW_SCHEMA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tallystar-tests")
@@ -19,12 +21,14 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.checkpoint.dir", shared)
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_run_folder(session)
+    assert not [name for name in os.listdir(shared) if name.startswith("tallystar-")]
     session.stop()
 
 

@@ -3,9 +3,11 @@ from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tallystar.functions import hash_key
-from tallystar.operators import Workspace
+from tallystar.operators import Workspace, run_folder
 from tallystar.plans import checks, marts
 from tallystar.plans.dataset import measures_by, measures_of, sales_dataset
 from tallystar.plans.marts import MARTS, mart
@@ -17,7 +19,7 @@ CENT = Decimal("0.01")
 
 @pytest.fixture
 def work(spark):
-    with Workspace(spark) as work:
+    with Workspace(spark, run_folder(spark)) as work:
         yield work
 
 
@@ -252,3 +254,35 @@ def test_mart_keys(star, work, spark):
         report = mart(name, star, work)
         key = report.columns[0]
         assert report.where(report[key] != hash_key(*columns)).count() == 0
+
+
+def test_every_rating_and_total_counts(raw, work, settings):
+    """Ratings too large for exact sums, NaN, and long ones: under either ANSI setting."""
+    rows = [("Huge", "1"), ("Huge", "10000000000000"), ("Odd", "3"), ("Odd", "NaN"),
+            ("Long", "4.1234567"), ("Long", "4.1234567"), ("Plain", "4.5"), ("Plain", "")]
+    sales = raw(*({"id": str(i), "product_name": name, "product_rating": rating}
+                  for i, (name, rating) in enumerate(rows)))
+    for ansi in ("true", "false"):
+        settings("spark.sql.ansi.enabled", ansi)
+        star = star_of(stage(sales))
+        for measures in (measures_by(star, "product"), measures_of(sales_dataset(star))):
+            got = {r.product_name: r.avg_rating for r in marts.product_groups(measures).collect()}
+            assert got.pop("Odd") != got.get("Odd")  # NaN
+            assert got == {"Huge": 5000000000000.5, "Long": 4.12, "Plain": 4.5}
+
+
+def test_large_totals_count_and_impossible_ones_stop(spark, raw, settings):
+    dataset = sales_dataset(star_of(stage(raw({}, {"id": "2"}))))
+    large = dataset.withColumn("sale_total_price", F.lit(1e17))
+    impossible = dataset.withColumn("sale_total_price", F.lit(float("nan")))
+    for ansi in ("true", "false"):
+        settings("spark.sql.ansi.enabled", ansi)
+        assert float(marts.store_groups(measures_of(large)).first().total_revenue) == 2e17
+        with pytest.raises(PySparkException, match="does not fit"):
+            marts.store_groups(measures_of(impossible)).collect()
+
+
+def test_repeated_sales_are_one_order(raw):
+    dataset = sales_dataset(star_of(stage(raw({}, {"id": "2"}))))
+    row = marts.store_groups(measures_of(dataset.unionByName(dataset))).first()
+    assert (row.order_count, row.total_items, float(row.total_revenue)) == (2, 8, 40.0)

@@ -5,17 +5,21 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallystar.operators import Workspace, dense_ranks, one_row_per_key, with_totals
-from tallystar.operators.workspace import shared_folder
+from tallystar.operators import (
+    Workspace,
+    dense_ranks,
+    one_row_per_key,
+    remove_run_folder,
+    run_folder,
+    scratch_folder,
+    with_totals,
+)
+from tallystar.operators.workspace import shared_root
 
-FOLDER = "spark.checkpoint.dir"
 
-
-@pytest.fixture(params=["stored", "persisted"])
-def work(request, spark, monkeypatch):
-    if request.param == "persisted":
-        monkeypatch.setattr("tallystar.operators.workspace.shared_folder", lambda spark: None)
-    with Workspace(spark) as work:
+@pytest.fixture
+def work(spark):
+    with Workspace(spark, run_folder(spark)) as work:
         yield work
 
 
@@ -83,24 +87,27 @@ def test_one_row_per_key_is_the_smallest(spark):
         assert sorted(one_row_per_key(df, "key").collect()) == [("k", 1, "b"), ("l", None, "q")]
 
 
-def test_workspace_stores_in_the_shared_folder_and_cleans_up(spark):
-    folder = shared_folder(spark)
-    assert folder
-    with Workspace(spark) as work:
+def local(path):
+    return os.path.dirname(path.removeprefix("file://"))
+
+
+def test_workspace_stores_where_it_is_told_and_cleans_up(spark, tmp_path):
+    with Workspace(spark, f"file://{tmp_path}/held/") as work:
         held = work.hold(spark.range(5).withColumn("x", F.lit("a")), "five")
         path = held.inputFiles()[0]
-        assert folder in path and held.count() == 5
-        written = os.path.dirname(path.removeprefix("file://"))
-        assert os.path.exists(written)
-    assert not os.path.exists(written)
-
-
-def test_workspace_persists_without_a_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr("tallystar.operators.workspace.shared_folder", lambda spark: None)
-    df = spark.range(5)
-    with Workspace(spark) as work:
-        assert work.hold(df, "five") is df and df.is_cached
-    assert not df.is_cached
+        assert f"{tmp_path}/held/five-" in path and held.count() == 5
+        assert os.path.exists(local(path))
+    assert not os.path.exists(local(path))
+
+
+def test_run_folder_is_shared_and_goes(spark, tmp_path, settings):
+    assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    folder = run_folder(spark)
+    assert folder.startswith(shared_root(spark)) and folder == run_folder(spark)
+    spark.range(3).write.parquet(scratch_folder(spark, "three"))
+    assert any(name.startswith("three-") for name in os.listdir(folder))
+    remove_run_folder(spark)
+    assert not os.path.exists(folder)
 
 
 def test_hot_join_key_is_split(spark, settings):

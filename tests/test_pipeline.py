@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.errors import PySparkException
 
-from tallystar.operators.workspace import shared_folder
+from tallystar.operators.workspace import run_folder
 from tallystar.plans.columns import RAW_COLUMNS
 from tallystar.plans.dataset import measures_by
 from tallystar.plans.marts import MARTS
@@ -68,7 +68,7 @@ def test_reports_hold_no_nulls(raw, stores):
 
 
 def test_no_intermediate_table_is_left(spark, raw, stores):
-    folder = f"{shared_folder(spark)}/tallystar"
+    folder = run_folder(spark)
     before = set(os.listdir(folder)) if os.path.exists(folder) else set()
     run_all(raw({}), *stores)
     assert set(os.listdir(folder)) == before

@@ -134,7 +134,8 @@ class TestJdbc:
     def test_whole_table_scan(self, spark, asked):
         read_jdbc(spark, self.target, "dwh.t")
         assert asked == {"format": "jdbc", "url": "jdbc:x://host/db", "user": "me",
-                         "password": "pw", "driver": "org.x.Driver", "dbtable": "dwh.t"}
+                         "password": "pw", "driver": "org.x.Driver", "dbtable": "dwh.t",
+                         "fetchsize": "10000"}
 
     def test_range_scan(self, spark, asked):
         read_jdbc(spark, self.target, "t", RangeSplit("date_key", "20200101", "20220101", 8))
@@ -144,6 +145,7 @@ class TestJdbc:
     def test_key_scan(self, spark, asked):
         read_jdbc(spark, self.target, "t", HexSplit("sale_key", 4))
         assert asked["a"] == ("jdbc:x://host/db", "t")
+        assert asked["properties"]["fetchsize"] == "10000"
         assert asked["predicates"] == [
             "(sale_key < '4000' OR sale_key IS NULL)",
             "sale_key >= '4000' AND sale_key < '8000'",
@@ -214,7 +216,12 @@ def test_session_takes_its_settings_from_the_environment(monkeypatch):
         "SPARK_LOG_LEVEL": "ERROR", "SPARK_JDBC_CLASSPATH": "/jars/x.jar"})
     assert (asked["name"], asked["master"], asked["level"]) == ("job", "local[2]", "ERROR")
     assert asked["spark.sql.session.timeZone"] == "Asia/Tokyo"
-    assert asked["spark.driver.extraClassPath"] == "/jars/x.jar"
+    assert asked["spark.executor.extraClassPath"] == "/jars/x.jar"
+    assert "spark.driver.extraClassPath" not in asked
+    assert int(asked["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 2000
     assert asked["spark.a"] == "b" and asked["spark.sql.adaptive.enabled"] == "false"
+    asked.clear()
+    build_session("job", {"spark.sql.shuffle.partitions": "8"}, {})
+    assert "spark.sql.adaptive.coalescePartitions.initialPartitionNum" not in asked
     build_session("job", None, {})
     assert (asked["master"], asked["spark.sql.session.timeZone"]) == ("local[*]", "UTC")

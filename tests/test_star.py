@@ -167,9 +167,15 @@ def test_dataset_keeps_every_sale(raw):
         F.col("product_name").isNull() & F.col("supplier_name").isNull()).count() == 3
 
 
-def test_few_fact_columns_shuffle_few(raw):
+def test_few_fact_columns_shuffle_few(spark, raw, tmp_path):
     """Reading three columns of a lazily built fact groups only those."""
     fact = star_of(stage(raw({})))["fact_sales"].select("date_key", "sale_quantity")
     plan = fact._jdf.queryExecution().optimizedPlan().toString()
     aggregate = next(line for line in plan.splitlines() if "Aggregate" in line)
     assert "source_customer_id" not in aggregate and "min(sale_quantity" in aggregate
+    stage(raw({}, {}, {"sale_customer_id": "9"}, {"id": "2"})).write.parquet(f"{tmp_path}/staged")
+    star = star_of(spark.read.parquet(f"{tmp_path}/staged"), stored=True)
+    sales = star.sales("date_key", "sale_quantity")
+    assert sales.columns == ["sale_key", "date_key", "sale_quantity"] and sales.count() == 2
+    plan = sales._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
