@@ -1,42 +1,24 @@
 """Tables in the folder that driver and executors share."""
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-_own_folders: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own where it is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        app = spark.sparkContext.applicationId
-        if app not in _own_folders:
-            _own_folders[app] = tempfile.mkdtemp(prefix="tallystar-llm-")
-        folder = _own_folders[app]
-    return folder.rstrip("/")
+from tallystar.operators.workspace import remove, scratch_folder
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+    """Write ``df`` as a table in the shared run folder and read it back.
 
     This cuts the lineage: what is read later survives lost executors, and steps that
-    read it twice do not compute it twice. The folder's owner clears it.
+    read it twice do not compute it twice. The folder goes at the end of the run.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tallystar-llm/{label}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(df: DataFrame) -> None:
     """Delete the files of a table that ``written`` returned and nothing reads any more."""
-    spark = df.sparkSession
-    conf = spark._jsc.hadoopConfiguration()
     for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(conf).delete(folder, True)
+        remove(df.sparkSession, path)
