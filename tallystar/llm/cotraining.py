@@ -128,7 +128,7 @@ def described(docs: DataFrame) -> DataFrame:
     ).mapInArrow(describe, f"_row long, doc_id {kind}, views array<float>")
 
 
-def fit_logistic(rows: np.ndarray, marks: np.ndarray, penalty: float = 1e-3,
+def fit_logistic(rows: np.ndarray, marks: np.ndarray, penalty: float = 5e-3,
                  steps: int = 25) -> np.ndarray:
     """Weights (intercept last) by Newton's method; without both kinds, the constant."""
     x = np.column_stack([rows, np.ones(len(rows))])
@@ -216,7 +216,7 @@ def train(described_docs: DataFrame, labels: DataFrame, labelled: int = LABELLED
     """Co-train both views. At most ``labelled`` labelled documents are used, taken by hash
     of their ids; a fifth of them is kept for calibration. In each of ``rounds`` rounds
     each view hands the other at most ``2 * per_round`` documents, the surest of all that
-    have no label."""
+    have no label, and no more than a fifth of the labelled ones."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.max("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(labelled)
@@ -231,8 +231,9 @@ def train(described_docs: DataFrame, labels: DataFrame, labelled: int = LABELLED
         pools = [(np.zeros((1, CONTENT + PAGE)), np.ones(1, bool)) for _ in columns]
     views = [View(c, *pool) for c, pool in zip(columns, pools, strict=True)]
     seen = known.select("doc_id")
-    for _ in range(rounds if len(marks) else 0):
-        gifts = [surest(described_docs, seen, view, per_round) for view in views]
+    gift_size = min(per_round, len(marks) // 10)
+    for _ in range(rounds if gift_size else 0):
+        gifts = [surest(described_docs, seen, view, gift_size) for view in views]
         for k, gift in enumerate(gifts):
             other = 1 - k
             logits = np.array(gift.column("logit").to_pylist(), float)
