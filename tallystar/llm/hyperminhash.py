@@ -171,7 +171,8 @@ def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
                     *(column_of(batch, n).to_numpy().astype(float) for n in ("n_a", "n_b")))
                 yield batch.select(["a", "b"]).filter(pa.array(guess >= least))
 
-    sized = pairs.join(ours, "a").join(theirs, "b")
+    # One plan at every size: pairs are never sent to all tasks.
+    sized = pairs.hint("merge").join(ours, "a").hint("merge").join(theirs, "b")
     return sized.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(judge, "a long, b long")
 
 
@@ -193,8 +194,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     joined = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.hint("merge")
+        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        .hint("merge").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     )
     return joined.mapInArrow(judge, "a long, b long").distinct()
 
@@ -301,7 +303,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     members = stars.select(F.col("a").alias("node")).unionByName(
         stars.select(F.col("b").alias("node"))).distinct()
     texts = written(docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(
-        members, "node"), "texts")
+        members.hint("merge"), "node"), "texts")
     links = written(_confirmed(likely, texts, size, percent), "links")
     labels = components(links)
     more = written(_across(bands, classes, labels, least), "across")
