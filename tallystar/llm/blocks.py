@@ -49,6 +49,18 @@ def powers(count: int) -> np.ndarray:
     return _powers
 
 
+_inverse = np.ones(1, np.uint64)
+
+
+def _inverse_powers(count: int) -> np.ndarray:
+    global _inverse
+    if len(_inverse) < count:
+        steps = np.full(count, np.uint64(pow(int(_BASE), -1, 1 << 64)), np.uint64)
+        steps[0] = 1
+        _inverse = np.cumprod(steps)
+    return _inverse
+
+
 class Block:
     """Documents ``first`` to ``first + len(self)`` of a column, end to end.
 
@@ -111,6 +123,16 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(np.add.reduceat(values, heads))
 
 
+def stretch_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The same kind of hash of stretches that overlap a lot: from running sums, so that a
+    stretch costs no more for being long."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    running = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * powers(len(data))[:len(data)], out=running[1:])
+    return mixed((running[ends] - running[starts]) * _inverse_powers(len(data))[starts])
+
+
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int):
     """Hashes of each document's runs of ``size`` words, and the document of each.
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.blocks import blocks, column_of, mixed, word_hashes
+from tallystar.llm.blocks import blocks, column_of, mixed, stretch_hashes, word_hashes
 
 WINDOW = 50
 GRAM = 16
@@ -96,15 +96,19 @@ class Chunk:
         self.first, self.last = (
             np.concatenate([f[k] + h for f, h in zip(found, heads, strict=False)])
             if cut else np.zeros(0, np.int64) for k in (1, 2))
+        self.hashes = np.concatenate([
+            stretch_hashes(b.data, f[1], f[2] + WINDOW) for b, f in zip(cut, found, strict=True)
+        ]) if cut else np.zeros(0, np.uint64)
         self.anchor &= ~_COUNT
         self.owner = np.searchsorted(self.offsets, self.first, "right") - 1
 
     def anchors(self, parts: int):
-        """Distinct anchors by part, with the number of documents in their low bits."""
-        order = np.lexsort((self.owner, self.anchor))
+        """Distinct anchors by part, with the number of documents in their low bits; their
+        parts; and the place of each run's anchor among them."""
+        if not len(self.anchor):
+            return self.anchor, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        order = np.argsort(self.anchor, kind="stable")  # documents stay in order
         key, owner = self.anchor[order], self.owner[order]
-        if not len(key):
-            return key, np.zeros(0, np.int64), key
         new_key = np.append(True, key[1:] != key[:-1])
         heads = np.flatnonzero(new_key)
         fresh = new_key | np.append(True, owner[1:] != owner[:-1])
@@ -112,22 +116,25 @@ class Chunk:
         distinct = key[heads]
         part = (mixed(distinct) % np.uint64(parts)).astype(np.int64)
         by_part = np.argsort(part, kind="stable")
+        place = np.empty(len(heads), np.int64)
+        place[by_part] = np.arange(len(heads))
+        number = np.empty(len(order), np.int64)
+        number[order] = place[np.cumsum(new_key) - 1]
         counted = distinct | np.minimum(documents, 0xFFFF).astype(np.uint64)
-        return counted[by_part], part[by_part], distinct[by_part]
+        return counted[by_part], part[by_part], number
 
     def reads(self, parts: int, replies: pa.Table):
         """Distinct reads of shared anchors, by part; and for every occurrence its read.
 
         ``replies`` has what each part knows about the anchors sent to it.
         """
-        _, part, distinct = self.anchors(parts)
-        codes = np.zeros(len(distinct), np.uint8)
+        _, part, anchor_number = self.anchors(parts)
+        codes = np.zeros(len(part), np.uint8)
         for p, code in zip(replies.column("part").to_pylist(), replies.column("codes").to_pylist(),
                            strict=True):
             own = slice(*np.searchsorted(part, [p, p + 1]))
             codes[own] = np.frombuffer(code, np.uint8)
-        order = np.argsort(distinct)
-        code = codes[order][np.searchsorted(distinct[order], self.anchor)]
+        code = codes[anchor_number]
         plain, hot = np.flatnonzero(code == 1), np.flatnonzero(code == 2)
         counts = (self.last - self.first + 1)[hot]
         each = np.repeat(hot, counts)
@@ -136,20 +143,25 @@ class Chunk:
         starts = np.concatenate([self.first[plain], start])
         ends = np.concatenate([self.last[plain], start]) + WINDOW
         owner = np.concatenate([self.owner[plain], self.owner[each]])
-        hashes = np.concatenate([
-            word_hashes(self.data, starts[i:i + 20000], ends[i:i + 20000])
-            for i in range(0, len(starts), 20000)] or [np.zeros(0, np.uint64)])
+        hashes = np.concatenate([self.hashes[plain], *(
+            word_hashes(self.data, start[i:i + 20000], start[i:i + 20000] + WINDOW)
+            for i in range(0, len(start), 20000))])
         key = np.concatenate([self.anchor[plain], hashes[len(plain):] & ~_COUNT])
-        part = (mixed(key) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((hashes, key, part))
-        same = (key[order][1:] == key[order][:-1]) & (hashes[order][1:] == hashes[order][:-1])
-        heads = np.flatnonzero(np.append(True, ~same)) if len(order) else order
-        number = np.empty(len(order), np.int64)
-        number[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(order))))
+        both = mixed(hashes ^ mixed(key))  # equal reads have equal anchors
+        order = np.argsort(both, kind="stable")
+        ranked = both[order]
+        heads = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(order) else order
         least = (np.minimum.reduceat(self.ids[owner[order]], heads) if len(heads)
                  else np.zeros(0, np.int64))
         pick = order[heads]
-        return (part[pick], key[pick], hashes[pick], least, starts[pick], ends[pick],
+        part = (mixed(key[pick]) % np.uint64(parts)).astype(np.int64)
+        by_part = np.argsort(part, kind="stable")
+        place = np.empty(len(heads), np.int64)
+        place[by_part] = np.arange(len(heads))
+        number = np.empty(len(order), np.int64)
+        number[order] = np.repeat(place, np.diff(np.append(heads, len(order))))
+        pick, part, least = pick[by_part], part[by_part], least[by_part]
+        return (part, key[pick], hashes[pick], least, starts[pick], ends[pick],
                 starts, owner, number)
 
 
