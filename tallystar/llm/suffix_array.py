@@ -34,7 +34,7 @@ from tallystar.llm.blocks import blocks, column_of, mixed, stretch_hashes, word_
 
 WINDOW = 50
 GRAM = 16
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 BATCH_READS = 4000
 HOT_DOCUMENTS = 4096
 NO_ID = np.iinfo(np.int64).max
@@ -409,7 +409,14 @@ def _covered(chunk: Chunk, parts: int, codes: pa.Table, replies: pa.Table) -> np
         begin = all_starts[each] + offset[run]
         np.add.at(change, begin, 1)
         np.add.at(change, begin + spans[run] - 1 + WINDOW, -1)
-    return np.cumsum(change[:-1]) > 0
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
+
+
+def _running(flags: np.ndarray) -> np.ndarray:
+    """How many are set before each place; a chunk is far below 2 GB."""
+    total = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=total[1:])
+    return total
 
 
 def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
@@ -456,17 +463,18 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
         filled = replies.column("codes").is_valid()
         covered = _covered(chunk, parts, replies.filter(filled),
                            replies.filter(replies.column("counts").is_valid()))
-        total = np.append(0, np.cumsum(covered))
+        total = _running(covered)
         edge = covered.copy()
         edge[1:] &= ~covered[:-1]
         inner = chunk.offsets[:-1][np.diff(chunk.offsets) > 0]
         edge[inner] = covered[inner]
-        spans = np.append(0, np.cumsum(edge))
+        spans = _running(edge)
         first, last = chunk.offsets[:-1], chunk.offsets[1:]
         kept = [chunk.data[a:b][~covered[a:b]].tobytes() for a, b in zip(first, last, strict=True)]
         out = {
             "doc_id": ours.column("doc_id"), "n_bytes": last - first,
-            "n_removed": total[last] - total[first], "n_spans": spans[last] - spans[first],
+            "n_removed": (total[last] - total[first]).astype(np.int64),
+            "n_spans": (spans[last] - spans[first]).astype(np.int64),
             "kept_sha256": [hashlib.sha256(x).hexdigest() for x in kept]}
         return pa.table({**out, "kept": pa.array(kept, pa.binary())} if texts else out)
 
