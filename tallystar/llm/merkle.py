@@ -17,6 +17,7 @@ PIECE = r"[^.\n]{0,63}+\.?\n|[^.\n]{0,63}+\.|[^.\n]{1,64}+"
 SECTION_PARAGRAPHS = 8
 LEAF_HEX = 16
 BUCKET_BYTES = 16 << 20
+MOST_BUCKETS = 20000
 _NULL_BUCKETS = 10
 
 
@@ -104,9 +105,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 def _bucket(docs: DataFrame) -> Column:
     """Number of the range of ids that a row is in, about ``BUCKET_BYTES`` of text each;
-    rows without id come below all others, by hash of the text."""
+    rows without id come below all others, by hash of the text. There are at most
+    ``MOST_BUCKETS`` ranges, which bounds the cuts and the table of their first ids; beyond
+    that they grow, and Spark sorts them with what spills."""
     size, ids = docs.agg(F.sum(F.octet_length("text")), F.count("doc_id")).first()
-    count = max(1, math.ceil((size or 0) / BUCKET_BYTES))
+    count = min(max(1, math.ceil((size or 0) / BUCKET_BYTES)), MOST_BUCKETS)
     cuts: list[int] = []
     if ids and count > 1:
         shares = [i / count for i in range(1, count)]

@@ -124,10 +124,10 @@ def disclosing_terms(
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
     counts = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    n_docs = docs.agg(F.count("*").alias("n_docs"))
-    known = together.join(counts, "term").crossJoin(F.broadcast(n_docs))  # one row
-    own = F.log2(F.col("n_docs") / F.col("n_entity"))
-    shared = F.log2(F.col("n_both") * F.col("n_docs") / (F.col("n_entity") * F.col("n_term")))
+    n_docs = F.lit(float(docs.count()))
+    known = together.join(counts, "term")
+    own = F.log2(n_docs / F.col("n_entity"))
+    shared = F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term")))
     return known.withColumn("share", F.when(own > 0, shared / own).otherwise(0.0)).filter(
         F.col("share") >= generalise).select("entity", "term", "share")
 
