@@ -70,7 +70,6 @@ TEMPLATES = (
     Template("unlicense", "this is free and unencumbered software released into the public domain",
              ("unencumbered software",)),
 )
-RARE_WORDS = 3
 LEAST_WEIGHT = 0.6
 SLACK = 3
 
@@ -96,6 +95,8 @@ def _words(block: Block) -> tuple[np.ndarray, np.ndarray]:
 
 def _among(words: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Index into sorted ``known``, or -1."""
+    if not len(known):
+        return np.full(len(words), -1)
     place = np.searchsorted(known, words)
     place[place == len(known)] = 0
     place[known[place] != words] = -1
@@ -138,13 +139,16 @@ class Index:
             weights = np.array([
                 math.log((1 + rows) / (1 + frequencies.get(int(w), 0))) + 1e-3
                 for w in words.view(np.int64)])
-            ranked = sorted(range(len(words)), key=lambda i: (-weights[i], i))
-            rare = set(words[ranked[:RARE_WORDS]].tolist())
-            for place, word in enumerate(words.tolist()):
-                if word in rare:
-                    self.postings[word].append((number, place))
+            weights /= weights.sum()
+            present = [i for i, w in enumerate(words.view(np.int64)) if frequencies.get(int(w), 0)]
+            rest = float(weights[present].sum())
+            for i in sorted(present, key=lambda i: (-weights[i], i)):
+                if rest < LEAST_WEIGHT - 1e-9:
+                    break
+                self.postings[int(words[i])].append((number, i))
+                rest -= float(weights[i])
             keys = [_hashed(_cut(phrase)) for phrase in template.key_phrases]
-            self.templates.append((template.label, words, weights / weights.sum(), keys))
+            self.templates.append((template.label, words, weights, keys))
         self.known = np.array(sorted(self.postings), np.uint64)
 
     def places(self, words: np.ndarray, hits: np.ndarray) -> list[dict]:

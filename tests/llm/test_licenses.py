@@ -44,5 +44,23 @@ def test_templates(documents):
         assert not got[clean]
 
 
+def test_rarest_words_changed_or_left_out(documents):
+    isc = next(t for t in licenses.TEMPLATES if t.label == "isc").text
+    notice = ("you may copy modify and or distribute this software for any purpose "
+              "with or without fee is hereby granted")
+    rare = isc.replace("modify", "alter").replace("distribute", "share").replace("fee", "cost")
+    rows = [(1, notice), (2, f"first some words then {notice} and more"), (3, rare)]
+    rows += [(10 + i, "other text of many lines") for i in range(20)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(documents(rows)).collect()}
+    for i, start in ((1, 0), (2, 3)):
+        assert [(m.label, m.start) for m in got[i].matches] == [("isc", start)]
+    assert not got[3].matches and not got[10].matches
+
+
+def test_no_template_word_occurs(documents):
+    got = licenses.scan_licenses(documents([(1, "zzz yyy"), (2, "")])).collect()
+    assert sorted((r.doc_id, r.n_words, len(r.matches)) for r in got) == [(1, 2, 0), (2, 0, 0)]
+
+
 def test_nothing(documents):
     assert licenses.scan_licenses(documents([]).limit(0)).count() == 0
