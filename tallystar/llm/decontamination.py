@@ -2,8 +2,10 @@
 
 A window can only be as similar to an item as asked if it shares most of the item's
 shingles. So of each item a few shingles more than may be missing are looked for, those
-with the longest words; where one stands in a document, the windows that align with it
-are candidates, and no similar window is lost. Windows get a SimHash over their words.
+with the longest words. Every item-sized window of a document that contains one of them,
+wherever in the window, is counted; a similar window lacks few of the item's shingles, so
+it holds at least a known number of those looked for, and windows with fewer are dropped.
+The others get a SimHash over their words.
 Hashes are cut into one block more than the radius; two within the radius agree on a
 whole block, so joining on blocks (and the size in words) finds all of them. Pairs within
 the radius are verified by the exact weighted similarity of their shingles: shared over
@@ -21,7 +23,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 15
 BITS = 64
-SHIFTS = 2
 
 
 def words_of(text: Column) -> Column:
@@ -84,6 +85,18 @@ def _anchors(items: DataFrame, similarity: float) -> DataFrame:
         F.col("p.long.a").alias("a"), F.col("p.j").alias("j")).distinct()
 
 
+def _least_hits(similarity: float) -> str:
+    """SQL for how many places of shingles looked for a similar window holds at least.
+
+    Of an item's m shingles and a window's w, both count as often as they occur, a share
+    of ``similarity`` of all means that at least ``similarity`` * (m + w) / (1 +
+    ``similarity``) are in both. The item's others may all be among those looked for.
+    """
+    m, w = "(n - k + 1)", "(least(n, n_words) - k + 1)"
+    return f"""greatest(1, {m} - cast(ceil({similarity} * {m}) as int) + 1 - {m}
+        + cast(ceil({similarity}D * ({m} + {w}) / (1 + {similarity}D) - 1e-6D) as int))"""
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS,
 ) -> DataFrame:
@@ -98,18 +111,31 @@ def contaminated(
     """
     known = written(benchmark_items(items), "decontam-items")
     anchors = written(_anchors(known, similarity).coalesce(1), "decontam-anchors")
-    cut = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    placed = cut.select("doc_id", "words", F.posexplode("words").alias("at", "anchor"))
+    cut = docs.select(
+        "doc_id", F.xxhash64("text").alias("mark"), words_of(F.col("text")).alias("words"))
+    placed = cut.select("doc_id", "mark", "words", F.posexplode("words").alias("at", "anchor"))
     # Spark broadcasts the anchors while their table is below its own size limit.
     hits = placed.join(anchors, "anchor").filter(
-        "at >= a and xxhash64(slice(words, greatest(at - a, 0) + 1, k)) = hash")
+        "at >= a and xxhash64(slice(words, greatest(at - a, 0) + 1, k)) = hash").select(
+        "doc_id", "mark", "words", "n", "k", F.expr("at - a").alias("place"))
+    # With each place, the words of all windows that hold it.
+    hits = written(hits.select(
+        "doc_id", "mark", "n", "k", "place", F.size("words").alias("n_words"),
+        F.expr("slice(words, greatest(place + k - n, 0) + 1, least(place, n - k) + n)").alias(
+            "around")).distinct(), "decontam-hits")
     starts = hits.select(
-        "doc_id", "words", "n", "k",
-        F.explode(F.expr(
-            f"array_distinct(transform(sequence(-{SHIFTS}, {SHIFTS}), d -> "
-            "greatest(0, least(at - a - j + d, size(words) - n))))")).alias("start"))
+        "doc_id", "mark", "n", "k", "n_words", "place",
+        F.explode(F.expr("""sequence(greatest(0, least(place + k, n_words) - n),
+            greatest(0, least(place, n_words - n)))""")).alias("start"))
+    held = starts.groupBy("doc_id", "mark", "n", "k", "n_words", "start").agg(
+        F.count("*").alias("hits"), F.min("place").alias("place")).filter(
+        f"hits >= {_least_hits(similarity)}").select(
+        F.col("doc_id").alias("_id"), "mark", "n", "k", "place", "start")
+    whole = held.join(hits, ["mark", "n", "k", "place"]).filter(
+        F.col("doc_id").eqNullSafe(F.col("_id")))
     found = written(
-        starts.select("doc_id", "n", "k", "start", F.expr("slice(words, start + 1, n)").alias(
+        whole.select("doc_id", "n", "k", "start", F.expr(
+            "slice(around, start - greatest(place + k - n, 0) + 1, n)").alias(
             "words")).distinct(), "decontam-windows")
     windows = _simhash(found.select("n", "k", "words").distinct())
     theirs = known.select(

@@ -71,6 +71,23 @@ def test_brute_force(tables):
     assert len(found) == len(got) and found == pytest.approx(expected)
 
 
+def test_reordered_passages(spark, documents):
+    rng = random.Random(4)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    a, b, c = text(30), text(30), text(20)
+    items = [(1, " ".join(a + b)), (2, " ".join(c + a + b))]
+    docs = [(i, " ".join(text(cut_a) + second + first + text(cut_b)))
+            for i, (cut_a, first, second, cut_b) in enumerate([
+                (200, a, b, 200), (0, a, b, 90), (90, a, b, 0), (0, a, b, 0), (70, a, a, 70),
+                (50, c + a, b, 50), (50, a + b, c, 50), (5, a[:28], b, 100)])]
+    docs += [(None, docs[0][1]), (None, " ".join(text(80)))]
+    expected = brute(docs, items)
+    assert {(i, 1) for i in range(4)} <= set(expected)
+    got = decontamination.contaminated(
+        documents(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.similarity for r in got} == pytest.approx(expected)
+
+
 def test_clean_documents_stay(tables):
     docs, items, docs_df, items_df = tables
     bad = {d for d, _ in brute(docs, items)}
