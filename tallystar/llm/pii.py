@@ -1,9 +1,9 @@
 """Personal data: fixed patterns, and terms that give a protected entity away.
 
 Patterns find emails, IP addresses, card and phone numbers. Each distinct value is a
-protected entity. The corpus says how strongly a word near an entity reveals it: the
-pointwise mutual information of the two, counted in documents, as a share of the entity's
-own information. At a share of 1 whoever reads the word knows the entity. In documents
+protected entity. The corpus says how strongly a word reveals an entity: the pointwise
+mutual information of the two, counted in whole documents, as a share of the entity's own
+information. Words in too many documents to reach the lower threshold are left out first. At a share of 1 whoever reads the word knows the entity. In documents
 that mention the entity, words over the upper threshold are removed and words between the
 thresholds are generalised to what kind of word they are. Everything is SQL expressions.
 """
@@ -28,7 +28,6 @@ NEEDED = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-
 TERM = "term"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-case text
 
-NEARBY = 96
 SUPPORT = 3
 GENERALISE = 0.7
 REMOVE = 0.9
@@ -90,42 +89,41 @@ def _entity(span: Column) -> Column:
     return F.concat(span.kind, F.lit(":"), F.lower(span.value))
 
 
-def _nearby_terms(text: str, start: str, end: str) -> Column:
-    """Distinct words within ``NEARBY`` characters of a span. Words cut by the edge of that
-    stretch are left out."""
-    return F.expr(f"""
-        array_distinct(concat(
-          regexp_extract_all(regexp_replace(
-            lower(substring({text}, greatest({start} - {NEARBY}, 0) + 1, least({start}, {NEARBY}))),
-            case when {start} > {NEARBY} then r'^{WORD}' else r'^(?!)' end, ''), r'{WORD}', 0),
-          regexp_extract_all(regexp_replace(
-            lower(substring({text}, {end} + 1, {NEARBY})),
-            case when length({text}) > {end} + {NEARBY} then r'{WORD}$' else r'(?!)$' end, ''),
-            r'{WORD}', 0)))""")
+def _words_of(text: str) -> Column:
+    """One row for each distinct word of a text."""
+    return F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))))
 
 
 def disclosing_terms(
     docs: DataFrame, found: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
 ) -> DataFrame:
     """``entity``, ``term`` and ``share``: how much of the entity's information the term
-    gives away, for terms near the entity in at least ``support`` documents and with a
-    share of at least ``generalise``. Counted over all documents.
+    gives away, for terms that stand in at least ``support`` documents with the entity and
+    have a share of at least ``generalise``. Counted over all documents.
 
     ``found`` has the documents with spans: ``doc_id``, ``mark``, ``text`` and ``spans``.
+    A term of n documents shares at most log2(all / n) with an entity, which bounds n.
     """
-    spans = found.select("doc_id", "mark", "text", F.explode("spans").alias("s"))
-    mentions = spans.select("doc_id", "mark", _entity(F.col("s")).alias("entity"), F.explode(
-        _nearby_terms("text", "s.start", "s.end")).alias("term"))
-    together = mentions.distinct().groupBy("entity", "term").agg(
-        F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
-    entities = spans.select("doc_id", "mark", _entity(F.col("s")).alias("entity")).distinct(
-        ).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    together = written(together.join(entities, "entity"), "pii-together")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    counts = words.groupBy("term").agg(F.count("*").alias("n_term"))
     n_docs = F.lit(float(docs.count()))
-    known = together.join(counts, "term")
+    mentions = found.select("doc_id", "mark", F.explode("spans").alias("s")).select(
+        "doc_id", "mark", _entity(F.col("s")).alias("entity")).distinct()
+    entities = mentions.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(
+        F.col("n_entity") >= support).withColumn("most", (1 + 1e-9) * F.pow(
+            n_docs, F.lit(1.0 - generalise)) * F.pow("n_entity", F.lit(generalise)))
+    mentions = written(mentions.join(entities, "entity"), "pii-mentions")
+    most = mentions.agg(F.max("most")).first()[0] or 0.0
+    counts = docs.select(_words_of("text").alias("term")).groupBy("term").agg(
+        F.count("*").alias("n_term")).filter(F.col("n_term").between(support, most))
+    words = found.join(
+        mentions.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(),
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left_semi",
+    ).select("doc_id", "mark", _words_of("text").alias("term")).join(counts, "term").select(
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "term", "n_term")
+    known = mentions.join(
+        words, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
+        & (F.col("n_term") <= F.col("most"))).groupBy(
+        "entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both")).filter(
+        F.col("n_both") >= support)
     own = F.log2(n_docs / F.col("n_entity"))
     shared = F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term")))
     return known.withColumn("share", F.when(own > 0, shared / own).otherwise(0.0)).filter(

@@ -67,6 +67,21 @@ def test_terms_that_reveal(documents):
     assert found[10] == found[51] == found[52] == []
 
 
+def test_terms_far_from_the_entity(documents):
+    far = " common words" * 40
+    rows = [(i, f"write to x@y.zz{far} codename") for i in range(5)]
+    rows += [(10 + i, f"mail to p@q.rr {'' if i < 3 else far} mixed") for i in range(10)]
+    rows += [(30 + i, f"the{far} {'often' if i < 30 else ''}") for i in range(60)]
+    rows += [(100 + i, f"write to x@y.zz{far} often codename") for i in range(2)]
+    found = {r.doc_id: r for r in pii.find_personal_data(documents(rows)).collect()}
+    texts = dict(rows)
+    for i, r in found.items():
+        terms = {texts[i][s.start:s.end]: s.action for s in r.spans if s.kind == pii.TERM}
+        assert terms.get("codename") == ("remove" if "codename" in texts[i] else None)
+        assert terms.get("mixed") == ("remove" if "mixed" in texts[i] else None)
+        assert "often" not in terms and "common" not in terms
+
+
 def test_rare_pairs_reveal_nothing(documents):
     rows = [(1, "qwxyz a@b.cd"), (2, "qwxyz a@b.cd"), (3, "nothing")]
     assert all(s.kind == "email" for r in pii.find_personal_data(documents(rows)).collect()
