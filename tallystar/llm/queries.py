@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm import (
-    cotraining, decontamination, hyperminhash, licenses, merkle, mixing, pii, suffix_array,
-    suffix_tree, toxicity,
+    cotraining, decontamination, hyperminhash, licenses, merkle, mixing, pii, recompression,
+    suffix_array, suffix_tree, toxicity, wavelet,
 )
 
 
@@ -112,6 +112,19 @@ def op10_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("mark")
 
 
+def op11_recompression(spark: SparkSession, folder: str) -> DataFrame:
+    cut = recompression.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_wavelet(spark: SparkSession, folder: str) -> DataFrame:
+    cut = wavelet.fill_in_middle(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(wavelet.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_suffix_tree": op2_suffix_tree,
@@ -123,5 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_merkle": op8_merkle,
     "op9_decontamination": op9_decontamination,
     "op10_hyperminhash": op10_hyperminhash,
+    "op11_recompression": op11_recompression,
+    "op12_wavelet": op12_wavelet,
 }
 ORACLES: dict[str, str] = {}

@@ -11,11 +11,11 @@ would have to be moved around.
 Equal passages are named alike except near their ends, where neighbours outside the passage
 can take part. So each symbol carries its context: the stretch of words that fixes it. A
 symbol whose context lies within a window stands in every copy of that window at the same
-place. After the last round the symbol of least hash among those is the window's anchor, a
-window without one is its own. Neighbouring windows with one anchor make a read. Spark
-counts the anchors of all documents: windows of an anchor that occurs once are unique; if
-all reads of an anchor are equal, their windows are repeated; the windows of other reads are
-compared one by one, by 128 bits of hash.
+place. After the last round the longest symbol among those is the window's anchor, a window without
+one is its own. Neighbouring windows with one anchor make a read. Spark counts the anchors
+of all documents: windows of an anchor that occurs once are unique; if all reads of an
+anchor are equal, their windows are repeated; the windows of other reads are compared one by
+one, by 128 bits of hash.
 
 Documents are dealt into chunks of bounded size as they are read, whatever they hold. A
 chunk sends an anchor or window once however often it holds it, so that a passage in very
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +39,9 @@ from tallystar.llm.blocks import (
 from tallystar.llm.shared import dropped, written
 
 WINDOW = 35
-ROUNDS = 5
+ROUNDS = 4
 CHUNK_BYTES = 4 << 20
-SIDES = 8  # bits of a name's hash that a round chooses from
+SIDES = 4  # bits of a name's hash that a round chooses from
 
 _RUN = np.uint64(0x9FB21C651E98DF25)
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
@@ -48,8 +49,12 @@ _SECOND = 0xA24BAED4963EE407
 _MANY = np.uint64(0)
 _FAR = 65535
 
-TEXTS = "chunk long, ids array<bigint>, counts array<int>, vocabulary array<binary>, codes binary"
+# Binary columns hold arrays of numbers. A chunk is one row.
+TEXTS = ("chunk long, ids array<bigint>, counts binary, vocabulary array<binary>, hashes binary, "
+         "codes binary")
 SYMBOLS = "chunk long, names binary, lengths binary, before binary, after binary, heads binary"
+GAINS = ", gains array<bigint>"
+READS = ", anchors binary, hashed binary, firsts binary, spans binary"
 
 
 class Symbols(NamedTuple):
@@ -138,7 +143,13 @@ def pairs_by_side(s: Symbols, number: int) -> np.ndarray:
                      for b in range(SIDES)], np.int64)
 
 
+def _gains(s: Symbols, number: int) -> pa.Array:
+    return pa.array([pairs_by_side(s, number)], pa.list_(pa.int64()))
+
+
 def _packed(chunk: int, s: Symbols, number: int) -> pa.RecordBatch:
+    """A row of ``SYMBOLS``, with what each side would bring in round ``number``."""
+
     def near(distance):
         return np.minimum(distance, _FAR).astype(np.uint16).tobytes()
 
@@ -147,7 +158,7 @@ def _packed(chunk: int, s: Symbols, number: int) -> pa.RecordBatch:
         "lengths": [np.diff(s.start, append=s.total).astype(np.int32).tobytes()],
         "before": [near(s.start - s.low)], "after": [near(s.high - s.start)],
         "heads": [np.packbits(s.head).tobytes()],
-        "gains": pa.array([pairs_by_side(s, number)], pa.list_(pa.int64()))})
+        "gains": _gains(s, number)})
 
 
 def _unpacked(row: dict) -> Symbols:
@@ -160,98 +171,112 @@ def _unpacked(row: dict) -> Symbols:
                    int(length.sum()))
 
 
+def _distinct(hashes: np.ndarray):
+    """The distinct values, where each stands first, and the place of every value among them."""
+    codes, found = pd.factorize(hashes)
+    first = np.empty(len(found), np.int64)
+    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    return found, first, codes
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks of whole documents: their ids and word counts, the distinct words and the
-    words as numbers of those."""
+    """Chunks of whole documents: their ids and word counts, the distinct words with their
+    hashes, and the words as numbers of those."""
     number = 0
     for batch in batches:
         column = column_of(batch, "text")
         ids, tasks = column_of(batch, "doc_id"), column_of(batch, "task")
         for chunk in blocks(column, CHUNK_BYTES):
-            own = column.slice(chunk.first, len(chunk))
             hashes, counts, starts, ends, done = [], [], [], [], 0
-            for block in blocks(own):
+            for block in blocks(column.slice(chunk.first, len(chunk))):
                 first, last, bounds = block.words(VISIBLE)
                 hashes.append(word_hashes(block.data, first, last))
                 counts.append(np.diff(bounds))
                 starts.append(first + done)
                 ends.append(last + done)
                 done += len(block.data)
-            _, first, codes = np.unique(
-                np.concatenate(hashes), return_index=True, return_inverse=True)
+            counts = np.concatenate(counts)
+            found, first, codes = _distinct(np.concatenate(hashes))
             starts, ends = np.concatenate(starts)[first], np.concatenate(ends)[first]
             data = chunk.data.tobytes()
             yield pa.RecordBatch.from_pydict({
                 "chunk": pa.array([(tasks[0].as_py() << 32) + number], pa.int64()),
                 "ids": pa.array([ids.slice(chunk.first, len(chunk))], pa.list_(pa.int64())),
-                "counts": pa.array([np.concatenate(counts)], pa.list_(pa.int32())),
+                "counts": [counts.astype(np.int32).tobytes()],
                 "vocabulary": pa.array([[data[a:b] for a, b in zip(starts, ends, strict=True)]],
                                        pa.list_(pa.binary())),
-                "codes": [codes.astype(np.int32).tobytes()]})
+                "hashes": [found.tobytes()], "codes": [codes.astype(np.int32).tobytes()],
+                "gains": _gains(word_symbols(found[codes], counts), 0)})
             number += 1
 
 
 class Words:
-    """The words of a chunk of ``TEXTS``."""
+    """The words of a chunk, as names."""
 
     def __init__(self, row: dict):
-        self.ids, self.counts = row["ids"], np.array(row["counts"], np.int64)
-        self.vocabulary = row["vocabulary"]
+        self.counts = np.frombuffer(row["counts"], np.int32).astype(np.int64)
         self.codes = np.frombuffer(row["codes"], np.int32)
-        lengths = np.array([len(w) for w in self.vocabulary], np.int64)
-        ends = np.cumsum(lengths)
-        data = np.frombuffer(b"".join(self.vocabulary), np.uint8)
-        self.names = word_hashes(data, ends - lengths, ends)[self.codes]
+        self.names = np.frombuffer(row["hashes"], np.uint64)[self.codes]
 
     def windows(self, size: int) -> np.ndarray:
-        """Which words a window of their document starts at."""
+        """The words at which a window of their document starts."""
         left = np.repeat(np.cumsum(self.counts), self.counts) - np.arange(len(self.codes))
-        return left >= size
+        return np.flatnonzero(left >= size)
 
 
-def _first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for at in range(batch.num_rows):
-            row = batch.slice(at, 1).to_pylist()[0]
-            words = Words({**row, "ids": None})
-            yield _packed(row["chunk"], word_symbols(words.names, words.counts), 0)
+            yield batch.slice(at, 1).to_pylist()[0]
 
 
-def _round(number: int, bit: int):
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                yield _packed(row["chunk"], name_pairs(name_runs(_unpacked(row)), number, bit),
-                              number + 1)
-    return shorten
+def _shortened(s: Symbols, number: int, bit: int) -> Symbols:
+    return name_pairs(name_runs(s), number, bit)
 
 
 def name_rounds(texts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """The symbols of all chunks after ``rounds`` Spark rounds, as a written table."""
-    schema = SYMBOLS + ", gains array<bigint>"
-    table = texts.select("chunk", "counts", "vocabulary", "codes").mapInArrow(_first_round, schema)
-    table = written(table, "recompression-0")
+
+    def round_of(number: int, bit: int):
+        def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _rows(batches):
+                if number:
+                    s = _unpacked(row)
+                else:
+                    words = Words(row)
+                    s = word_symbols(words.names, words.counts)
+                yield _packed(row["chunk"], _shortened(s, number, bit), number + 1)
+        return shorten
+
+    table = texts
     for number in range(rounds):
         gains = table.select(F.posexplode("gains").alias("bit", "pairs")).groupBy("bit").agg(
             F.sum("pairs").alias("pairs")).orderBy(F.desc("pairs"), "bit").first()
-        shorter = written(table.mapInArrow(_round(number, gains.bit if gains else 0), schema),
-                          f"recompression-{number + 1}")
-        dropped(table)
+        shorter = written(
+            table.drop("gains", "ids", "vocabulary").mapInArrow(
+                round_of(number, gains.bit if gains else 0), SYMBOLS + GAINS),
+            f"recompression-{number + 1}")
+        if number:
+            dropped(table)
         table = shorter
     return table.drop("gains")
 
 
-def anchors(s: Symbols, windows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window start the symbol of least hash among those whose context lies in the
-    window (the first of equals), or -1."""
-    starts = np.flatnonzero(windows)
+def anchors(s: Symbols, starts: np.ndarray, size: int) -> np.ndarray:
+    """For each window start the longest symbol among those whose context lies in the
+    window (of equals the one of least hash, then the first), or -1."""
     if not len(s.name):
-        return starts, np.full(len(starts), -1)
-    first = np.searchsorted(s.low, starts)
-    last = np.searchsorted(s.high, starts + size, "right")
+        return np.full(len(starts), -1)
+    # Symbols before ``first`` begin too early, those from ``last`` on end too late.
+    first = np.cumsum(np.bincount(s.low + 1, minlength=s.total + 1))[starts]
+    ends = np.minimum(s.high, s.total + 1)
+    last = np.cumsum(np.bincount(ends, minlength=s.total + 2))[starts + size]
+    fresh = np.ones(len(starts), bool)
+    fresh[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])
+    first, last = first[fresh], last[fresh]
     count = last - first
-    rank = mixed(s.name ^ _RUN)
+    length = np.minimum(s.ends() - s.start, 255).astype(np.uint64)
+    rank = (mixed(s.name ^ _RUN) >> np.uint64(8)) | ((np.uint64(255) - length) << np.uint64(56))
     best = np.where(count > 0, first, -1)
     found = np.flatnonzero(count > 1)
     for step in range(1, int(count.max(initial=0))):
@@ -259,7 +284,7 @@ def anchors(s: Symbols, windows: np.ndarray, size: int) -> tuple[np.ndarray, np.
         other = first[found] + step
         better = rank[other] < rank[best[found]]
         best[found[better]] = other[better]
-    return starts, best
+    return best[np.cumsum(fresh) - 1]
 
 
 class Reads(NamedTuple):
@@ -273,7 +298,8 @@ class Reads(NamedTuple):
 
 
 def reads(words: Words, s: Symbols, size: int) -> Reads:
-    starts, symbol = anchors(s, words.windows(size), size)
+    starts = words.windows(size)
+    symbol = anchors(s, starts, size)
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (symbol[1:] != symbol[:-1]) | (symbol[1:] < 0) | (starts[1:] != starts[:-1] + 1)
     heads = np.flatnonzero(fresh)
@@ -285,6 +311,31 @@ def reads(words: Words, s: Symbols, size: int) -> Reads:
     return Reads(anchor, (one | np.uint64(2)) & ~np.uint64(1), first, last)
 
 
+def _with_reads(texts: DataFrame, symbols: DataFrame, size: int) -> DataFrame:
+    """Texts with their reads, a chunk a row."""
+
+    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        text = next(i for i, row in enumerate(rows) if row["codes"] is not None)
+        found = reads(Words(rows[text]), _unpacked(rows[1 - text]), size)
+        own = table.slice(text, 1).select(["chunk", "ids", "counts", "vocabulary", "hashes", "codes"])
+        for name, values in (
+                ("anchors", found.anchor), ("hashed", found.hashed),
+                ("firsts", found.first.astype(np.int32)),
+                ("spans", (found.last - found.first).astype(np.int32))):
+            own = own.append_column(name, pa.array([values.tobytes()], pa.binary()))
+        return own
+
+    both = texts.unionByName(symbols, allowMissingColumns=True)
+    return both.groupBy("chunk").applyInArrow(add, TEXTS + READS)
+
+
+def _reads_of(row: dict) -> Reads:
+    first = np.frombuffer(row["firsts"], np.int32).astype(np.int64)
+    return Reads(np.frombuffer(row["anchors"], np.uint64), np.frombuffer(row["hashed"], np.uint64),
+                 first, first + np.frombuffer(row["spans"], np.int32))
+
+
 def _groups(keys: np.ndarray, values: np.ndarray, pairs: bool):
     """Order of the entries by key and value, and where in it a new key begins (with
     ``pairs``: a new key or value)."""
@@ -363,13 +414,6 @@ def _in_parts(replies: list[dict], part: np.ndarray) -> np.ndarray:
     return codes
 
 
-def _both(table: pa.Table) -> tuple[Words, Symbols]:
-    """Words and symbols of a chunk from its rows of the two tables."""
-    rows = table.to_pylist()
-    return (Words(next(r for r in rows if r["codes"] is not None)),
-            _unpacked(next(r for r in rows if r["names"] is not None)))
-
-
 def _spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """The places ``first[i]`` to ``last[i]`` of all i, one after another."""
     lengths = last - first + 1
@@ -396,54 +440,56 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS) ->
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.spark_partition_id().cast("long").alias("task"))
-    texts = written(rows.mapInArrow(_chunks, TEXTS), "recompression-texts")
-    symbols = name_rounds(texts, rounds)
-    words = texts.select(F.sum(F.aggregate(
-        "counts", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
-    parts = max(1, math.ceil(words * 8 / CHUNK_BYTES))
-    base = texts.unionByName(symbols, allowMissingColumns=True)
-
-    def send_anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        found = reads(*_both(table), size)
-        keys, only, part, _ = _entries(found.anchor, found.hashed, parts)
-        return _sent(key[0].as_py(), keys, only, part)
+    dealt = written(rows.mapInArrow(_chunks, TEXTS + GAINS), "recompression-texts")
+    symbols = name_rounds(dealt, rounds)
+    texts = written(_with_reads(dealt.drop("gains"), symbols, size), "recompression-reads")
+    dropped(dealt)
+    dropped(symbols)
+    sent = texts.select(F.sum(F.octet_length("anchors"))).first()[0] or 0
+    parts = max(1, math.ceil(2 * sent / CHUNK_BYTES))
+
+    def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            keys, only, part, _ = _entries(
+                np.frombuffer(row["anchors"], np.uint64), np.frombuffer(row["hashed"], np.uint64),
+                parts)
+            yield from _sent(row["chunk"], keys, only, part).to_batches()
 
     def judged_reads(table: pa.Table, replies: list[dict]):
-        own, s = _both(table)
-        found = reads(own, s, size)
+        row = table.to_pylist()[0]
+        found = _reads_of(row)
         _, _, part, number = _entries(found.anchor, found.hashed, parts)
-        return own, found, _in_parts(replies, part)[number]
+        return row, Words(row), found, _in_parts(replies, part)[number]
 
-    def send_windows(key, table: pa.Table, replies: pa.Table) -> pa.Table:
-        own, found, code = judged_reads(table, replies.to_pylist())
-        _, (keys, only, part, _) = _compared(own, found, code, size, parts)
+    def send_windows(key: tuple[pa.Scalar, ...], table: pa.Table, replies: pa.Table) -> pa.Table:
+        _, words, found, code = judged_reads(table, replies.to_pylist())
+        _, (keys, only, part, _) = _compared(words, found, code, size, parts)
         return _sent(key[0].as_py(), keys, only, part)
 
-    def finish(key, table: pa.Table, replies: pa.Table) -> pa.Table:
+    def finish(key: tuple[pa.Scalar, ...], table: pa.Table, replies: pa.Table) -> pa.Table:
         replies = replies.to_pylist()
-        own, found, code = judged_reads(table, [r for r in replies if r["step"] == 1])
-        starts, (_, _, part, number) = _compared(own, found, code, size, parts)
+        row, words, found, code = judged_reads(table, [r for r in replies if r["step"] == 1])
+        starts, (_, _, part, number) = _compared(words, found, code, size, parts)
         again = _in_parts([r for r in replies if r["step"] == 2], part)[number] > 0
         repeated = np.concatenate([_spread(found.first[code == 1], found.last[code == 1]),
                                    starts[again]])
-        change = np.zeros(len(own.codes) + 1, np.int32)
-        np.add.at(change, repeated, 1)
-        np.add.at(change, repeated + size, -1)
+        change = np.bincount(repeated, minlength=len(words.codes) + 1)
+        change -= np.bincount(repeated + size, minlength=len(words.codes) + 1)
         gone = np.cumsum(change[:-1]) > 0
         total = np.append(0, np.cumsum(gone))
-        last = np.cumsum(own.counts)
-        first = last - own.counts
-        vocabulary = np.empty(len(own.vocabulary), object)
-        vocabulary[:] = own.vocabulary
-        kept = [b" ".join(vocabulary[own.codes[a:b][~gone[a:b]]].tolist())
+        last = np.cumsum(words.counts)
+        first = last - words.counts
+        vocabulary = np.empty(len(row["vocabulary"]), object)
+        vocabulary[:] = row["vocabulary"]
+        kept = [b" ".join(vocabulary[words.codes[a:b][~gone[a:b]]].tolist())
                 for a, b in zip(first, last, strict=True)]
         return pa.table({
-            "doc_id": pa.array(own.ids, pa.int64()), "n_words": own.counts,
+            "doc_id": pa.array(row["ids"], pa.int64()), "n_words": words.counts,
             "n_removed": pa.array(total[last] - total[first], pa.int64()),
             "kept": pa.array(kept, pa.binary()).cast(pa.string())})
 
-    chunks = base.groupBy("chunk")
-    codes = _judged(chunks.applyInArrow(send_anchors, SENT))
+    chunks = texts.groupBy("chunk")
+    codes = _judged(texts.select("chunk", "anchors", "hashed").mapInArrow(send_anchors, SENT))
     windows = _judged(chunks.cogroup(codes.groupBy("chunk")).applyInArrow(send_windows, SENT),
                       pairs=True)
     replies = codes.withColumn("step", F.lit(1)).unionByName(windows.withColumn("step", F.lit(2)))
