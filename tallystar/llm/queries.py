@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from tallystar.llm import (
     cotraining, decontamination, hyperminhash, licenses, merkle, mixing, pii, recompression,
-    suffix_array, suffix_tree, toxicity, wavelet,
+    spelling, suffix_array, suffix_tree, toxicity, wavelet,
 )
+from tallystar.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -125,6 +128,10 @@ def op12_wavelet(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(wavelet.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_suffix_tree": op2_suffix_tree,
@@ -138,5 +145,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_hyperminhash": op10_hyperminhash,
     "op11_recompression": op11_recompression,
     "op12_wavelet": op12_wavelet,
+    "op13_spelling": op13_spelling,
 }
-ORACLES: dict[str, str] = {}
