@@ -133,11 +133,11 @@ def stretch_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mixed((running[ends] - running[starts]) * _inverse_powers(len(data))[starts])
 
 
-def stretch_sums(names: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    """Two independent 64-bit hashes of each stretch of a sequence of names, from running
-    sums: a stretch costs no more for being long."""
+def stretch_sums(names: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds: int = 2):
+    """Up to two independent 64-bit hashes of each stretch of a sequence of names, from
+    running sums: a stretch costs no more for being long."""
     every = []
-    for salt in (0x8CB92BA72F3D8DD7, 0xC6A4A7935BD1E995):
+    for salt in (0x8CB92BA72F3D8DD7, 0xC6A4A7935BD1E995)[:kinds]:
         running = np.zeros(len(names) + 1, np.uint64)
         np.cumsum(mixed(names ^ np.uint64(salt)) * powers(len(names))[:len(names)],
                   out=running[1:])

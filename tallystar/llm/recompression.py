@@ -49,12 +49,29 @@ _SECOND = 0xA24BAED4963EE407
 _MANY = np.uint64(0)
 _FAR = 65535
 
-# Binary columns hold arrays of numbers. A chunk is one row.
-TEXTS = ("chunk long, ids array<bigint>, counts binary, vocabulary array<binary>, hashes binary, "
-         "codes binary")
+# A chunk is one row; binary columns hold packed arrays.
+TEXTS = "chunk long, ids array<bigint>, counts binary, vocabulary binary, codes binary"
 SYMBOLS = "chunk long, names binary, lengths binary, before binary, after binary, heads binary"
 GAINS = ", gains array<bigint>"
-READS = ", anchors binary, hashed binary, firsts binary, spans binary"
+READS = "chunk long, anchors binary, owned binary, firsts binary, spans binary"
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """An array, compressed; numbers below 8 bytes byte by byte, as most of theirs are zero."""
+    raw = values.view(np.uint8)
+    if 1 < values.itemsize < 8:
+        raw = raw.reshape(-1, values.itemsize).T
+    return len(values).to_bytes(8, "little") + pa.compress(
+        raw.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, kind: type) -> np.ndarray:
+    width, count = np.dtype(kind).itemsize, int.from_bytes(packed[:8], "little")
+    raw = np.frombuffer(pa.decompress(
+        packed[8:], decompressed_size=count * width, codec="zstd", asbytes=True), np.uint8)
+    if 1 < width < 8:
+        raw = np.ascontiguousarray(raw.reshape(width, count).T).ravel()
+    return raw.view(kind)
 
 
 class Symbols(NamedTuple):
@@ -151,24 +168,23 @@ def _packed(chunk: int, s: Symbols, number: int) -> pa.RecordBatch:
     """A row of ``SYMBOLS``, with what each side would bring in round ``number``."""
 
     def near(distance):
-        return np.minimum(distance, _FAR).astype(np.uint16).tobytes()
+        return _pack(np.minimum(distance, _FAR).astype(np.uint16))
 
     return pa.RecordBatch.from_pydict({
-        "chunk": pa.array([chunk], pa.int64()), "names": [s.name.tobytes()],
-        "lengths": [np.diff(s.start, append=s.total).astype(np.int32).tobytes()],
+        "chunk": pa.array([chunk], pa.int64()), "names": [_pack(s.name)],
+        "lengths": [_pack(np.diff(s.start, append=s.total).astype(np.int32))],
         "before": [near(s.start - s.low)], "after": [near(s.high - s.start)],
-        "heads": [np.packbits(s.head).tobytes()],
-        "gains": _gains(s, number)})
+        "heads": [_pack(s.head)], "gains": _gains(s, number)})
 
 
 def _unpacked(row: dict) -> Symbols:
-    name = np.frombuffer(row["names"], np.uint64)
-    length = np.frombuffer(row["lengths"], np.int32)
+    length = _unpack(row["lengths"], np.int32)
     start = np.cumsum(length, dtype=np.int32) - length
-    head = np.unpackbits(np.frombuffer(row["heads"], np.uint8), count=len(name)).astype(bool)
-    return Symbols(name, start, start - np.frombuffer(row["before"], np.uint16).astype(np.int32),
-                   start + np.frombuffer(row["after"], np.uint16).astype(np.int32), head,
-                   int(length.sum()))
+    return Symbols(
+        _unpack(row["names"], np.uint64), start,
+        start - _unpack(row["before"], np.uint16).astype(np.int32),
+        start + _unpack(row["after"], np.uint16).astype(np.int32),
+        _unpack(row["heads"], np.bool_), int(length.sum()))
 
 
 def _distinct(hashes: np.ndarray):
@@ -180,8 +196,8 @@ def _distinct(hashes: np.ndarray):
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks of whole documents: their ids and word counts, the distinct words with their
-    hashes, and the words as numbers of those."""
+    """Chunks of whole documents: their ids and word counts, the distinct words between
+    spaces, and the words as numbers of those."""
     number = 0
     for batch in batches:
         column = column_of(batch, "text")
@@ -202,10 +218,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({
                 "chunk": pa.array([(tasks[0].as_py() << 32) + number], pa.int64()),
                 "ids": pa.array([ids.slice(chunk.first, len(chunk))], pa.list_(pa.int64())),
-                "counts": [counts.astype(np.int32).tobytes()],
-                "vocabulary": pa.array([[data[a:b] for a, b in zip(starts, ends, strict=True)]],
-                                       pa.list_(pa.binary())),
-                "hashes": [found.tobytes()], "codes": [codes.astype(np.int32).tobytes()],
+                "counts": [_pack(counts.astype(np.int32))],
+                "vocabulary": [_pack(np.frombuffer(b" ".join(
+                    data[a:b] for a, b in zip(starts, ends, strict=True)), np.uint8))],
+                "codes": [_pack(codes.astype(np.int32))],
                 "gains": _gains(word_symbols(found[codes], counts), 0)})
             number += 1
 
@@ -214,14 +230,19 @@ class Words:
     """The words of a chunk, as names."""
 
     def __init__(self, row: dict):
-        self.counts = np.frombuffer(row["counts"], np.int32).astype(np.int64)
-        self.codes = np.frombuffer(row["codes"], np.int32)
-        self.names = np.frombuffer(row["hashes"], np.uint64)[self.codes]
+        self.counts = _unpack(row["counts"], np.int32).astype(np.int64)
+        self.codes = _unpack(row["codes"], np.int32)
+        self.joined = _unpack(row["vocabulary"], np.uint8)
+        gaps = np.flatnonzero(self.joined == ord(" "))
+        hashes = word_hashes(self.joined, np.append(0, gaps + 1), np.append(
+            gaps, len(self.joined))) if len(self.codes) else np.zeros(0, np.uint64)
+        self.names = hashes[self.codes]
 
-    def windows(self, size: int) -> np.ndarray:
-        """The words at which a window of their document starts."""
-        left = np.repeat(np.cumsum(self.counts), self.counts) - np.arange(len(self.codes))
-        return np.flatnonzero(left >= size)
+    def vocabulary(self) -> np.ndarray:
+        words = self.joined.tobytes().split(b" ")
+        out = np.empty(len(words), object)
+        out[:] = words
+        return out
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -234,10 +255,12 @@ def _shortened(s: Symbols, number: int, bit: int) -> Symbols:
     return name_pairs(name_runs(s), number, bit)
 
 
-def name_rounds(texts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The symbols of all chunks after ``rounds`` Spark rounds, as a written table."""
+def name_rounds(texts: DataFrame, rounds: int, size: int) -> DataFrame:
+    """Shorten all sequences in ``rounds`` Spark rounds; the reads of each chunk, written."""
 
     def round_of(number: int, bit: int):
+        last = number == rounds - 1
+
         def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in _rows(batches):
                 if number:
@@ -245,21 +268,33 @@ def name_rounds(texts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 else:
                     words = Words(row)
                     s = word_symbols(words.names, words.counts)
-                yield _packed(row["chunk"], _shortened(s, number, bit), number + 1)
+                s = name_pairs(name_runs(s), number, bit)
+                yield _reads_row(row["chunk"], s, size) if last else _packed(
+                    row["chunk"], s, number + 1)
+
         return shorten
 
-    table = texts
+    table = texts.drop("ids")
     for number in range(rounds):
         gains = table.select(F.posexplode("gains").alias("bit", "pairs")).groupBy("bit").agg(
             F.sum("pairs").alias("pairs")).orderBy(F.desc("pairs"), "bit").first()
         shorter = written(
-            table.drop("gains", "ids", "vocabulary").mapInArrow(
-                round_of(number, gains.bit if gains else 0), SYMBOLS + GAINS),
-            f"recompression-{number + 1}")
+            table.drop("gains").mapInArrow(
+                round_of(number, gains.bit if gains else 0),
+                READS if number == rounds - 1 else SYMBOLS + GAINS),
+            f"recompression-{number + 1}", compression="none")
         if number:
             dropped(table)
         table = shorter
-    return table.drop("gains")
+    return table
+
+
+def window_starts(s: Symbols, size: int) -> np.ndarray:
+    """The words at which a window of their document starts."""
+    first = s.start[s.head]
+    length = np.diff(first, append=s.total)
+    left = np.repeat(np.cumsum(length), length) - np.arange(s.total)
+    return np.flatnonzero(left >= size)
 
 
 def anchors(s: Symbols, starts: np.ndarray, size: int) -> np.ndarray:
@@ -288,7 +323,7 @@ def anchors(s: Symbols, starts: np.ndarray, size: int) -> np.ndarray:
 
 
 class Reads(NamedTuple):
-    """Neighbouring windows with one anchor: anchor name, hash of all their words, first and
+    """Neighbouring windows with one anchor: its name, hash of all their words, first and
     last window start. The hash is even; its low bit is for ``_entries``."""
 
     anchor: np.ndarray
@@ -297,43 +332,37 @@ class Reads(NamedTuple):
     last: np.ndarray
 
 
-def reads(words: Words, s: Symbols, size: int) -> Reads:
-    starts = words.windows(size)
+def _reads_row(chunk: int, s: Symbols, size: int) -> pa.RecordBatch:
+    starts = window_starts(s, size)
     symbol = anchors(s, starts, size)
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (symbol[1:] != symbol[:-1]) | (symbol[1:] < 0) | (starts[1:] != starts[:-1] + 1)
     heads = np.flatnonzero(fresh)
     first = starts[heads]
     last = starts[np.append(heads[1:], len(starts)) - 1] if len(heads) else first
-    one, two = stretch_sums(words.names, first, last + size)
-    own = symbol[heads] < 0
-    anchor = np.where(own, two, s.name[symbol[heads]] if len(s.name) else two)
-    return Reads(anchor, (one | np.uint64(2)) & ~np.uint64(1), first, last)
-
-
-def _with_reads(texts: DataFrame, symbols: DataFrame, size: int) -> DataFrame:
-    """Texts with their reads, a chunk a row."""
+    owned = symbol[heads] < 0
+    return pa.RecordBatch.from_pydict({
+        "chunk": pa.array([chunk], pa.int64()),
+        "anchors": [_pack(s.name[symbol[heads][~owned]])], "owned": [_pack(owned)],
+        "firsts": [_pack(np.diff(first, prepend=0).astype(np.int32))],
+        "spans": [_pack((last - first).astype(np.int32))]})
 
-    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        text = next(i for i, row in enumerate(rows) if row["codes"] is not None)
-        found = reads(Words(rows[text]), _unpacked(rows[1 - text]), size)
-        own = table.slice(text, 1).select(["chunk", "ids", "counts", "vocabulary", "hashes", "codes"])
-        for name, values in (
-                ("anchors", found.anchor), ("hashed", found.hashed),
-                ("firsts", found.first.astype(np.int32)),
-                ("spans", (found.last - found.first).astype(np.int32))):
-            own = own.append_column(name, pa.array([values.tobytes()], pa.binary()))
-        return own
 
-    both = texts.unionByName(symbols, allowMissingColumns=True)
-    return both.groupBy("chunk").applyInArrow(add, TEXTS + READS)
+def reads(words: Words, row: dict, size: int) -> Reads:
+    """The reads of a chunk from its row of ``READS``. A window without an anchor has a hash
+    of its own in its place."""
+    first = np.cumsum(_unpack(row["firsts"], np.int32), dtype=np.int64)
+    last = first + _unpack(row["spans"], np.int32)
+    owned = _unpack(row["owned"], np.bool_)
+    one, = stretch_sums(words.names, first, last + size, kinds=1)
+    anchor = np.empty(len(first), np.uint64)
+    anchor[~owned] = _unpack(row["anchors"], np.uint64)
+    anchor[owned] = stretch_sums(words.names, first[owned], last[owned] + size)[1]
+    return Reads(anchor, _value(one), first, last)
 
 
-def _reads_of(row: dict) -> Reads:
-    first = np.frombuffer(row["firsts"], np.int32).astype(np.int64)
-    return Reads(np.frombuffer(row["anchors"], np.uint64), np.frombuffer(row["hashed"], np.uint64),
-                 first, first + np.frombuffer(row["spans"], np.int32))
+def _value(hashed: np.ndarray) -> np.ndarray:
+    return (hashed | np.uint64(2)) & ~np.uint64(1)
 
 
 def _groups(keys: np.ndarray, values: np.ndarray, pairs: bool):
@@ -425,7 +454,7 @@ def _compared(words: Words, found: Reads, code: np.ndarray, size: int, parts: in
     """Windows of reads that differ under one anchor, as entries."""
     starts = _spread(found.first[code == 2], found.last[code == 2])
     one, two = stretch_sums(words.names, starts, starts + size)
-    return starts, _entries(two, (one | np.uint64(2)) & ~np.uint64(1), parts, pairs=True)
+    return starts, _entries(two, _value(one), parts, pairs=True)
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
@@ -440,38 +469,40 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS) ->
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.spark_partition_id().cast("long").alias("task"))
-    dealt = written(rows.mapInArrow(_chunks, TEXTS + GAINS), "recompression-texts")
-    symbols = name_rounds(dealt, rounds)
-    texts = written(_with_reads(dealt.drop("gains"), symbols, size), "recompression-reads")
-    dropped(dealt)
-    dropped(symbols)
-    sent = texts.select(F.sum(F.octet_length("anchors"))).first()[0] or 0
+    texts = written(rows.mapInArrow(_chunks, TEXTS + GAINS), "recompression-texts",
+                    compression="none")
+    found = name_rounds(texts, max(rounds, 1), size)
+    sent = found.select(F.sum(F.octet_length("anchors"))).first()[0] or 0
     parts = max(1, math.ceil(2 * sent / CHUNK_BYTES))
+    chunks = texts.drop("gains").unionByName(found, allowMissingColumns=True).groupBy("chunk")
 
-    def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            keys, only, part, _ = _entries(
-                np.frombuffer(row["anchors"], np.uint64), np.frombuffer(row["hashed"], np.uint64),
-                parts)
-            yield from _sent(row["chunk"], keys, only, part).to_batches()
+    def both(table: pa.Table) -> tuple[dict, Words, Reads]:
+        rows = table.to_pylist()
+        row = next(r for r in rows if r["codes"] is not None)
+        words = Words(row)
+        return row, words, reads(words, next(r for r in rows if r["firsts"] is not None), size)
+
+    def send_anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        _, _, own = both(table)
+        keys, only, part, _ = _entries(own.anchor, own.hashed, parts)
+        return _sent(key[0].as_py(), keys, only, part)
 
     def judged_reads(table: pa.Table, replies: list[dict]):
-        row = table.to_pylist()[0]
-        found = _reads_of(row)
-        _, _, part, number = _entries(found.anchor, found.hashed, parts)
-        return row, Words(row), found, _in_parts(replies, part)[number]
+        row, words, own = both(table)
+        _, _, part, number = _entries(own.anchor, own.hashed, parts)
+        return row, words, own, _in_parts(replies, part)[number]
 
     def send_windows(key: tuple[pa.Scalar, ...], table: pa.Table, replies: pa.Table) -> pa.Table:
-        _, words, found, code = judged_reads(table, replies.to_pylist())
-        _, (keys, only, part, _) = _compared(words, found, code, size, parts)
+        _, words, own, code = judged_reads(table, replies.to_pylist())
+        _, (keys, only, part, _) = _compared(words, own, code, size, parts)
         return _sent(key[0].as_py(), keys, only, part)
 
     def finish(key: tuple[pa.Scalar, ...], table: pa.Table, replies: pa.Table) -> pa.Table:
         replies = replies.to_pylist()
-        row, words, found, code = judged_reads(table, [r for r in replies if r["step"] == 1])
-        starts, (_, _, part, number) = _compared(words, found, code, size, parts)
+        row, words, own, code = judged_reads(table, [r for r in replies if r["step"] == 1])
+        starts, (_, _, part, number) = _compared(words, own, code, size, parts)
         again = _in_parts([r for r in replies if r["step"] == 2], part)[number] > 0
-        repeated = np.concatenate([_spread(found.first[code == 1], found.last[code == 1]),
+        repeated = np.concatenate([_spread(own.first[code == 1], own.last[code == 1]),
                                    starts[again]])
         change = np.bincount(repeated, minlength=len(words.codes) + 1)
         change -= np.bincount(repeated + size, minlength=len(words.codes) + 1)
@@ -479,8 +510,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS) ->
         total = np.append(0, np.cumsum(gone))
         last = np.cumsum(words.counts)
         first = last - words.counts
-        vocabulary = np.empty(len(row["vocabulary"]), object)
-        vocabulary[:] = row["vocabulary"]
+        vocabulary = words.vocabulary()
         kept = [b" ".join(vocabulary[words.codes[a:b][~gone[a:b]]].tolist())
                 for a, b in zip(first, last, strict=True)]
         return pa.table({
@@ -488,8 +518,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS) ->
             "n_removed": pa.array(total[last] - total[first], pa.int64()),
             "kept": pa.array(kept, pa.binary()).cast(pa.string())})
 
-    chunks = texts.groupBy("chunk")
-    codes = _judged(texts.select("chunk", "anchors", "hashed").mapInArrow(send_anchors, SENT))
+    codes = _judged(chunks.applyInArrow(send_anchors, SENT))
     windows = _judged(chunks.cogroup(codes.groupBy("chunk")).applyInArrow(send_windows, SENT),
                       pairs=True)
     replies = codes.withColumn("step", F.lit(1)).unionByName(windows.withColumn("step", F.lit(2)))

@@ -1,12 +1,18 @@
-"""Tables in the folder that driver and executors share."""
+"""Tables in the folder that driver and executors share, and joins that keep user columns
+apart."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tallystar.operators.workspace import remove, scratch_folder
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as a table in the shared run folder and read it back.
 
     This cuts the lineage: what is read later survives lost executors, and steps that
@@ -14,7 +20,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -22,3 +28,27 @@ def dropped(df: DataFrame) -> None:
     """Delete the files of a table that ``written`` returned and nothing reads any more."""
     for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         remove(df.sparkSession, path)
+
+
+def packed(df: DataFrame, **extra: Column) -> DataFrame:
+    """All columns of ``df`` in one struct, ``row``, beside the columns given: whatever a
+    user's columns are called, they meet none of ours."""
+    return df.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in extra.items()))
+
+
+def unpacked(df: DataFrame, columns: Sequence[str], **changed: Column) -> DataFrame:
+    """The user's columns again, some of them with another value."""
+    return df.select(*(changed.get(name, F.col("row").getField(name)).alias(name)
+                       for name in columns))
+
+
+def keyed(df: DataFrame, other: DataFrame, keys: Sequence[str] | Mapping[str, Column],
+          how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` with (or without: ``left_anti``) a row of ``other`` equal in all keys,
+    null to null. ``keys`` are columns of both, or expressions over ``df`` by the names that
+    ``other`` has for them."""
+    own = keys if isinstance(keys, Mapping) else {name: F.col(name) for name in keys}
+    left = packed(df, **{f"key_{i}": c for i, c in enumerate(own.values())})
+    right = other.select(*(F.col(name).alias(f"of_{i}") for i, name in enumerate(own)))
+    match = reduce(and_, (F.col(f"key_{i}").eqNullSafe(F.col(f"of_{i}")) for i in range(len(own))))
+    return unpacked(left.join(right, match, how), df.columns)
