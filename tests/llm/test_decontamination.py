@@ -106,15 +106,58 @@ def test_empty_tables(tables, documents):
 def test_blocks_find_all_within_the_radius(spark):
     rng = random.Random(6)
     rows = []
-    for i in range(400):
-        a, flips = rng.getrandbits(64), rng.sample(range(64), i % 20)
-        rows.append((i, a - 2**63, sum(1 << b for b in flips)))
-    df = spark.createDataFrame([(i, a, a ^ (f - 2**64 if f >= 2**63 else f), len(
-        [1 for k in range(64) if f >> k & 1])) for i, a, f in rows],
-        "i int, a long, b long, flips int")
-    cut_a = df.select("i", "flips", F.col("a").alias("simhash")).select(
-        "i", "flips", F.explode(decontamination._blocks(15)).alias("k"))
-    cut_b = df.select("i", F.col("b").alias("simhash")).select(
-        "i", F.explode(decontamination._blocks(15)).alias("k"))
-    met = {r.i for r in cut_a.join(cut_b, ["i", "k"]).select("i").distinct().collect()}
-    assert {i for i, _, f in rows if bin(f).count("1") <= 15} <= met
+    for i in range(300):
+        halves = [rng.getrandbits(64), rng.getrandbits(64)]
+        flips = rng.sample(range(128), i % 40)
+        other = [h ^ sum(1 << b % 64 for b in flips if b // 64 == k) for k, h in enumerate(halves)]
+        rows.append((i, len(flips), *(h - 2**64 if h >= 2**63 else h for h in halves + other)))
+    df = spark.createDataFrame(rows, "i int, flips int, a long, b long, c long, d long")
+
+    def cut(one, two, flips):
+        return df.select("i", F.col(one).alias("one"), F.col(two).alias("two")).select(
+            "i", F.explode(decontamination._blocks(flips)).alias("k"))
+
+    met = {r.i for r in cut("a", "b", 1).join(cut("c", "d", 2), ["i", "k"]).select(
+        "i").distinct().collect()}
+    assert {r[0] for r in rows if r[1] <= decontamination.RADIUS} <= met
+
+
+def test_fingerprints_of_windows_are_those_of_their_words(spark, documents):
+    """Differences of running sums give the same bits as counting a window's words."""
+    rng = random.Random(8)
+    words = [rng.choice(WORDS) for _ in range(90)]
+    texts = spark.createDataFrame([(1, words)], "doc long, words array<string>")
+    starts = spark.createDataFrame(
+        [(1, 20, 5, 90, s) for s in (0, 1, 33, 70)] + [(1, 200, 5, 90, 0)],
+        "doc long, n int, k int, n_words int, start int")
+    items = spark.createDataFrame(
+        [(i, " ".join(words[s:s + 20])) for i, s in enumerate((0, 1, 33, 70))]
+        + [(9, " ".join(words))], "item_id long, text string")
+    got = {(r.one, r.two) for r in decontamination._fingerprints(texts, starts).collect()}
+    expected = {(r.one, r.two) for r in decontamination.benchmark_items(items).collect()}
+    assert got == expected and len(got) == 5
+
+
+def test_cost_grows_with_the_item_and_not_its_square(spark, documents):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    shifted = words[:1400] + [f"o{i}" for i in range(40)] + words[1440:]
+    docs = documents([(1, " ".join(["x"] * 50 + words)), (2, " ".join(shifted)), (3, "x y z")])
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    got = {r.doc_id: r for r in decontamination.contaminated(docs, items).collect()}
+    assert set(got) == {1, 2}
+    assert got[1].similarity == 1 and got[1].first_word == 0 and got[1].windows == 51
+    assert got[2].similarity == pytest.approx((2996 - 44) / (2996 + 44))
+
+
+@pytest.mark.parametrize("names", [
+    ("row", "mark", "doc", "words", "at", "key_0", "of_0"), ("item", "n", "k", "_bad", "_id", "b")])
+def test_clashing_names(tables, names):
+    docs, items, docs_df, items_df = tables
+    extra = docs_df.withColumns({name: F.lit(name) for name in names})
+    bad = {d for d, _ in brute(docs, items)}
+    got = decontamination.without_contaminated(
+        extra, items_df.withColumns({name: F.lit(name) for name in names}))
+    assert got.columns == extra.columns
+    assert sorted((r.doc_id, *(r[n] for n in names)) for r in got.collect()) == sorted(
+        (d, *names) for d, _ in docs if d not in bad)
