@@ -219,12 +219,12 @@ _ENTITY_OF = {
 def feed_star(spark: SparkSession, folder: str) -> Star:
     """The star over the feed, each table from only the columns it needs."""
 
-    def open_table(table: str) -> DataFrame:
+    def open_table(table: str, columns: Sequence[str] | None) -> DataFrame:
         if table == "dim_date":
             staged = _dates(spark, folder)
         else:
             staged = staged_sales(spark, folder, [_ENTITY_OF[table]])
-        return BUILDERS[table](staged)
+        return BUILDERS[table](staged, columns)
 
     return Star(open_table)
 
@@ -237,4 +237,4 @@ def held_star(
     staged = staged_sales(spark, folder)
     columns = dict.fromkeys(
         name for table in tables for name in staged_columns(table) if name in staged.columns)
-    return star_of(work.hold(staged.select(*columns), "staged"), stored=True)
+    return star_of(work.hold(staged.select(*columns), "staged"))

@@ -167,8 +167,7 @@ def unit_price(spark, folder):
 
 def _fact_with(spark, folder, entity):
     star = feed_star(spark, folder)
-    sales = star["fact_sales"].select("sale_key", f"{entity}_key")
-    return attach(sales, {f"dim_{entity}": star[f"dim_{entity}"]}, entity)
+    return attach(star.columns("fact_sales", f"{entity}_key"), star, entity)
 
 
 @_register("""select sale_key, customer_key, customer_full_name, customer_email,
@@ -188,7 +187,7 @@ def join_fact_product(spark, folder):
     from dim_product left join dim_supplier using (supplier_key)""")
 def join_product_supplier(spark, folder):
     star = feed_star(spark, folder)
-    return attach(star["dim_product"].select("product_key", "supplier_key"), star, "supplier")
+    return attach(star.columns("dim_product", "supplier_key"), star, "supplier")
 
 
 @_register("""select sale_key, store_key, store_name, store_location, store_city, store_state,
@@ -252,7 +251,7 @@ def group_products(spark, folder):
 def count_distinct_orders(spark, folder):
     """The exact distinct count, which reports replace by a sum of unique sales."""
     star = feed_star(spark, folder)
-    sales = attach(star["fact_sales"].select("sale_key", "store_key"), star, "store")
+    sales = attach(star.columns("fact_sales", "store_key"), star, "store")
     return sales.groupBy("store_country").agg(
         F.count_distinct("sale_key").alias("order_count")
     )

@@ -6,10 +6,11 @@ from tallystar.operators.workspace import (
     Workspace,
     remove_run_folder,
     run_folder,
+    run_workspace,
     scratch_folder,
 )
 
 __all__ = [
     "Workspace", "dense_ranks", "one_row_per_key", "remove_run_folder", "run_folder",
-    "scratch_folder", "with_totals",
+    "run_workspace", "scratch_folder", "with_totals",
 ]

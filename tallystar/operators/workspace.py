@@ -53,9 +53,11 @@ class Workspace:
         self.spark, self.folder = spark, folder.rstrip("/")
         self._written: list[str] = []
 
-    def hold(self, df: DataFrame, label: str) -> DataFrame:
+    def hold(self, df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+        """Write and read back; ``by`` names a column by whose values files are kept apart."""
         path = f"{self.folder}/{label}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        writer = df.write.partitionBy(by) if by else df.write
+        writer.parquet(path)
         self._written.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -69,3 +71,8 @@ class Workspace:
 
     def __exit__(self, *exc) -> None:
         self.close()
+
+
+def run_workspace(spark: SparkSession) -> Workspace:
+    """One for lazy results that go on reading what it holds: it goes with the run folder."""
+    return Workspace(spark, run_folder(spark))

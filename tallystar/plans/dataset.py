@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.functions import exact
-from tallystar.plans.star import sales_of
+from tallystar.plans.star import columns_of, unit_price
 
 # The dataset's columns, and the type of those that are widened.
 DATASET_COLUMNS = (
@@ -37,26 +37,23 @@ def attach(
     df: DataFrame, star: Mapping[str, DataFrame], entity: str, *extra: str
 ) -> DataFrame:
     """Left join one dimension's reporting columns; rows without a match stay."""
-    key = f"{entity}_key"
-    dimension = star[f"dim_{entity}"].select(key, *_ATTRIBUTES[entity], *extra)
-    return df.join(dimension, key, "left")
+    dimension = columns_of(star, f"dim_{entity}", *_ATTRIBUTES[entity], *extra)
+    return df.join(dimension, f"{entity}_key", "left")
 
 
 def products_with_suppliers(star: Mapping[str, DataFrame]) -> DataFrame:
     """The supplier is found through the product, so it joins there: the sales
     themselves are not moved for it."""
-    products = star["dim_product"].select(
-        "product_key", "supplier_key", *_ATTRIBUTES["product"]
-    )
+    products = columns_of(star, "dim_product", "supplier_key", *_ATTRIBUTES["product"])
     return attach(products, star, "supplier").drop("supplier_key")
 
 
 def sales_dataset(star: Mapping[str, DataFrame]) -> DataFrame:
     """Every sale with its customer, product, supplier, store and date: 24 columns."""
-    sales = star["fact_sales"].select(
-        "sale_key", "sale_quantity", "sale_total_price", "unit_price",
+    sales = columns_of(
+        star, "fact_sales", "sale_quantity", "sale_total_price",
         "customer_key", "product_key", "store_key", "date_key",
-    )
+    ).withColumn("unit_price", unit_price())
     joined = sales.join(products_with_suppliers(star), "product_key", "left")
     for entity in ("customer", "store", "date"):
         joined = attach(joined, star, entity)
@@ -134,7 +131,8 @@ def measures_by(star: Mapping[str, DataFrame], entity: str) -> DataFrame:
     """
     carrier = "product" if entity == "supplier" else entity
     total = F.col("sale_total_price")
-    sold = sales_of(star, f"{carrier}_key", "sale_total_price", "sale_quantity")
+    sold = columns_of(
+        star, "fact_sales", f"{carrier}_key", "sale_total_price", "sale_quantity")
     added = sold.groupBy(f"{carrier}_key").agg(
         F.count("*").alias("sales"),
         F.count(total).alias("priced_sales"),
@@ -143,7 +141,7 @@ def measures_by(star: Mapping[str, DataFrame], entity: str) -> DataFrame:
     )
     if entity != "supplier":
         return _weighted(attach(added, star, entity))
-    products = star["dim_product"].select("product_key", "supplier_key", "product_price")
+    products = columns_of(star, "dim_product", "supplier_key", "product_price")
     by_supplier = _add_up(
         _weighted(added.join(products, "product_key", "left")),
         "supplier_key",

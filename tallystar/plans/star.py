@@ -2,14 +2,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from functools import cache
+from functools import cache, reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.functions import date_key
-from tallystar.operators import one_row_per_key
-from tallystar.plans.columns import attributes_of
+from tallystar.functions.keys import KEY_SEPARATOR
+from tallystar.operators import Workspace, one_row_per_key, run_workspace
+from tallystar.plans.columns import KINDS, attributes_of
+from tallystar.plans.staging import SOURCE_IDS
 from tallystar.sources.jdbc import HexSplit
 
 # The table names and the column each is unique on.
@@ -31,6 +34,10 @@ def key_splits(parts: int) -> dict[str, HexSplit]:
     }
 
 
+def _shown(dimension: DataFrame, entity: str, columns: Sequence[str] | None) -> DataFrame:
+    return dimension if columns is None else dimension.select(f"{entity}_key", *columns)
+
+
 def _dimension(staged: DataFrame, entity: str, *determined: str) -> DataFrame:
     """One row per key of an entity without a number in its source file.
 
@@ -60,27 +67,57 @@ def _with_full_name(dimension: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def dim_customer(staged: DataFrame) -> DataFrame:
-    return _with_full_name(_numbered_dimension(staged, "customer"), "customer")
+def dim_customer(staged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    named = _with_full_name(_numbered_dimension(staged, "customer"), "customer")
+    return _shown(named, "customer", columns)
+
 
+def dim_seller(staged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    named = _with_full_name(_numbered_dimension(staged, "seller"), "seller")
+    return _shown(named, "seller", columns)
 
-def dim_seller(staged: DataFrame) -> DataFrame:
-    return _with_full_name(_numbered_dimension(staged, "seller"), "seller")
 
+def dim_supplier(staged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    return _shown(_dimension(staged, "supplier"), "supplier", columns)
 
-def dim_supplier(staged: DataFrame) -> DataFrame:
-    return _dimension(staged, "supplier")
 
+def dim_store(staged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    return _shown(_dimension(staged, "store"), "store", columns)
 
-def dim_store(staged: DataFrame) -> DataFrame:
-    return _dimension(staged, "store")
 
+def _holds_separator(entity: str) -> Column:
+    """Rows of which another one can have the same key and yet be different: parts of a key
+    are joined by a separator that texts are free to hold. Without any of its characters in
+    a text, the key tells all of them."""
+    texts = [name for name in attributes_of(entity) if KINDS.get(name, "text") == "text"]
+    return reduce(or_, (
+        F.coalesce(F.contains(name, F.lit(KEY_SEPARATOR[0])), F.lit(False)) for name in texts))
 
-def dim_product(staged: DataFrame) -> DataFrame:
-    return _numbered_dimension(staged, "product", "supplier_key")
 
+def dim_product(staged: DataFrame, columns: Sequence[str] | None = None,
+                work: Workspace | None = None) -> DataFrame:
+    """One row per product, of which there are nearly as many as sales.
 
-def dim_date(staged: DataFrame) -> DataFrame:
+    Rows whose key tells all their columns are settled by one grouping by hash, which moves
+    only the columns wanted. The others, if there are any, are settled first and held by
+    ``work`` (by default in the run folder).
+    """
+    columns = columns or ("source_product_id", "supplier_key", *attributes_of("product"))
+    doubtful = _holds_separator("product")
+    work = work or run_workspace(staged.sparkSession)
+    few = work.hold(
+        _numbered_dimension(staged.where(doubtful), "product", "supplier_key"), "products")
+    clear = few.isEmpty()
+    number = [name for name in columns if name == "source_product_id"]
+    rows = (staged if clear else staged.where(~doubtful)).groupBy(
+        "product_key", *(name for name in columns if name not in number))
+    settled = (rows.agg(*(F.min(name).alias(name) for name in number)) if number
+               else rows.agg(F.lit(1).alias("one")))
+    settled = settled.select("product_key", *columns)
+    return settled if clear else settled.unionByName(few.select("product_key", *columns))
+
+
+def dim_date(staged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The dates that occur. The calendar parts are worked out once per date."""
     day = F.col("full_date")
     days = staged.select(F.col("sale_date").alias("full_date")).where(day.isNotNull())
@@ -114,26 +151,68 @@ def settled_sales(staged: DataFrame, columns: Sequence[str]) -> DataFrame:
     return staged.select("sale_key", *columns).distinct()
 
 
-def fact_sales(staged: DataFrame) -> DataFrame:
+# The parts of a sale's key that cost no hashing.
+_PLAIN_PARTS = ("source_row_id", "date_key", "sale_quantity", "sale_total_price")
+
+
+def renumbered(staged: DataFrame) -> DataFrame:
+    """Where copies of a sale can differ in their source numbers: the plain key parts of
+    rows that agree on them and not on the numbers. No key is worked out for this."""
+    copies = staged.groupBy(*_PLAIN_PARTS).agg(
+        F.count("*").alias("rows"),
+        *(f(name).alias(f"{label}_{name}") for name in _NUMBERS
+          for label, f in (("least", F.min), ("most", F.max), ("known", F.count))))
+    differ = " or ".join(
+        f"least_{name} < most_{name} or known_{name} between 1 and rows - 1" for name in _NUMBERS)
+    return copies.where(differ).select(*_PLAIN_PARTS)
+
+
+def _fact(sales: DataFrame, numbers: Sequence[Column]) -> DataFrame:
+    return sales.groupBy("sale_key", *SETTLED).agg(*numbers)
+
+
+def fact_sales(staged: DataFrame, columns: Sequence[str] | None = None,
+               work: Workspace | None = None) -> DataFrame:
     """One row per sale.
 
-    The sale key is made of values that hold no separator, so it settles every
-    column but the three source numbers; those are kept together as the smallest
-    of the copies. Each column is its own minimum, so readers that need few
-    columns shuffle few, and copies of a sale are combined before the shuffle.
+    The sale key is made of values that hold no separator, so it settles every column but
+    the three source numbers; those are kept together as the smallest of the copies. A
+    first narrow pass finds out where copies differ in them. Those few sales are settled
+    apart and held by ``work`` (by default in the run folder); all other copies agree, so
+    one grouping by hash settles them.
     """
-    sales = staged.groupBy("sale_key").agg(
-        F.min("source_row_id").alias("source_row_id"),
-        F.min(F.struct(*_NUMBERS)).alias("_numbers"),
-        *(F.min(name).alias(name) for name in SETTLED[1:]),
-    )
-    return sales.select(
-        "sale_key", "source_row_id", *(f"_numbers.{name}" for name in _NUMBERS), *SETTLED[1:],
+    if columns is not None and not {*columns} & {*_NUMBERS, "unit_price", "loaded_at"}:
+        return settled_sales(staged, columns)
+    work = work or run_workspace(staged.sparkSession)
+    # Stored tables, so Spark broadcasts the places only while they are few.
+    places = work.hold(renumbered(staged), "renumbered")
+    each = [F.min(name).alias(name) for name in _NUMBERS]
+    if places.isEmpty():
+        sales = _fact(staged, each)
+    else:
+        together = [F.min(F.struct(*_NUMBERS)).alias("numbers")]
+        few = work.hold(_fact(_at(staged, places, "left_semi"), together).select(
+            "sale_key", *SETTLED, "numbers.*"), "renumbered-sales")
+        sales = _fact(_at(staged, places, "left_anti"), each).unionByName(few)
+    sales = sales.select(
+        "sale_key", "source_row_id", *_NUMBERS, *SETTLED[1:],
         unit_price().alias("unit_price"), F.current_timestamp().alias("loaded_at"),
     )
+    return sales if columns is None else sales.select("sale_key", *columns)
+
+
+def _at(staged: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    """Rows at the places, or elsewhere. The join comes before any key is worked out."""
+    renamed = places.withColumnsRenamed({name: f"place_{name}" for name in _PLAIN_PARTS})
+    match = reduce(and_, (
+        F.col(name).eqNullSafe(F.col(f"place_{name}")) for name in _PLAIN_PARTS))
+    return staged.join(renamed, match, how)
 
 
-BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+# Each takes staging and, optionally, the columns wanted beside the key. Those in ``HOLDING``
+# also take a workspace.
+HOLDING = ("dim_product", "fact_sales")
+BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "dim_customer": dim_customer,
     "dim_seller": dim_seller,
     "dim_supplier": dim_supplier,
@@ -159,21 +238,17 @@ def staged_columns(table: str) -> tuple[str, ...]:
 class Star(Mapping):
     """The seven tables by name, each opened when first asked for.
 
-    ``open_sales``, where given, opens some settled columns of the fact in a cheaper way
-    than the whole fact.
+    ``open_table`` takes a table's name and the columns wanted beside its key, or none for
+    all of them: a table that is built when read then moves no others.
     """
 
-    def __init__(
-        self,
-        open_table: Callable[[str], DataFrame],
-        open_sales: Callable[[Sequence[str]], DataFrame] | None = None,
-    ):
-        self._open, self._open_sales = cache(open_table), open_sales
+    def __init__(self, open_table: Callable[[str, Sequence[str] | None], DataFrame]):
+        self._open, self._whole = open_table, cache(lambda table: open_table(table, None))
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in BUILDERS:
             raise KeyError(table)
-        return self._open(table)
+        return self._whole(table)
 
     def __iter__(self) -> Iterator[str]:
         return iter(BUILDERS)
@@ -181,24 +256,40 @@ class Star(Mapping):
     def __len__(self) -> int:
         return len(BUILDERS)
 
-    def sales(self, *columns: str) -> DataFrame:
-        """``sale_key`` and settled columns of the fact, one row per sale."""
-        if self._open_sales is None:
-            return self["fact_sales"].select("sale_key", *columns)
-        return self._open_sales(columns)
+    def columns(self, table: str, *columns: str) -> DataFrame:
+        """The key of a table and some of its columns."""
+        return self._open(table, columns).select(STAR_KEYS[table], *columns)
 
 
-def sales_of(star: Mapping[str, DataFrame], *columns: str) -> DataFrame:
+def columns_of(star: Mapping[str, DataFrame], table: str, *columns: str) -> DataFrame:
     """The same of any mapping of tables."""
     if isinstance(star, Star):
-        return star.sales(*columns)
-    return star["fact_sales"].select("sale_key", *columns)
+        return star.columns(table, *columns)
+    return star[table].select(STAR_KEYS[table], *columns)
 
 
-def star_of(staged: DataFrame, stored: bool = False) -> Star:
-    """The star over staging. Where that is ``stored``, reports group the few columns of
-    the fact that they need straight from it."""
-    return Star(
-        lambda table: BUILDERS[table](staged),
-        (lambda columns: settled_sales(staged, columns)) if stored else None,
-    )
+def star_of(staged: DataFrame) -> Star:
+    return Star(lambda table, columns: BUILDERS[table](staged, columns))
+
+
+def combined(staged: DataFrame) -> DataFrame:
+    """What all seven tables are built from, in one pass over staging: for each ``table`` the
+    distinct rows of its columns, others null. Copies are combined where they are read.
+    """
+    whole = {table: staged_columns(table) for table in BUILDERS}
+    numbers = {f"dim_{entity}": f"source_{entity}_id" for entity in SOURCE_IDS}
+    # The smallest number of a dimension's rows is an aggregate, not part of its group.
+    sets = {table: [c for c in columns if c != numbers.get(table)]
+            for table, columns in whole.items()}
+    every = list(dict.fromkeys(c for columns in sets.values() for c in columns))
+    masks = {sum((c not in columns) << (len(every) - 1 - i) for i, c in enumerate(every)): table
+             for table, columns in sets.items()}
+    which = F.create_map(*(F.lit(x) for pair in masks.items() for x in pair))
+    grouped = staged.groupingSets(list(sets.values()), *every).agg(
+        which[F.grouping_id()].alias("table"),
+        *(F.min(name).alias(f"least_{name}") for name in numbers.values()))
+    return grouped.select(
+        "table", *(c for c in every if c not in numbers.values()),
+        *(F.when(F.col("table") == "fact_sales", F.col(name)).when(
+            F.col("table") == table, F.col(f"least_{name}")).alias(name)
+          for table, name in numbers.items()))
