@@ -38,7 +38,7 @@ from tallystar.plans.pipeline import (
 )
 from tallystar.plans.pipeline import ingest_raw as take_in
 from tallystar.plans.star import STAR_KEYS
-from tallystar.sources import FolderStore
+from tallystar.sources import FolderStore, PublishedStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -266,10 +266,17 @@ def average_check(spark, folder):
     )
 
 
+@_register("select * from correlation")
+def rating_correlation(spark, folder):
+    """Over all groups, as the report has it; with the feed's NaN it is NaN."""
+    groups, _ = _groups(spark, folder, "report_product_quality")
+    return marts.rating_correlation(groups)
+
+
 @_register("""select round(corr(avg_rating, cast(total_sales_quantity as double)), 4)
     as sales_rating_correlation from product_groups where avg_rating < 1000""")
-def rating_correlation(spark, folder):
-    """Over ordinary ratings; with the feed's NaN, as in the report, it would be NaN."""
+def rating_correlation_of_ordinary(spark, folder):
+    """Over ordinary ratings."""
     groups, _ = _groups(spark, folder, "report_product_quality")
     return marts.rating_correlation(groups.where("avg_rating < 1000"))
 
@@ -626,6 +633,31 @@ def run_everything(spark, folder):
     return _contents(stored | {name: reports.read(name) for name in marts.MARTS})
 
 
+@_register(oracle.contents(*STAR_KEYS), "build_star_in_one_pass")
+def build_star_held(spark, folder):
+    """All seven tables from one pass over the raw table."""
+    store = FolderStore(spark, scratch_folder(spark, "star"))
+    build_star(_raw_table(spark, folder), store, hold=True)
+    return _contents({name: store.read(name).drop("loaded_at") for name in STAR_KEYS})
+
+
+@_register(oracle.contents(*STAR_KEYS) + " union all " + oracle.contents(
+    *marts.MARTS, filled=True), "publish_all")
+def publish_everything(spark, folder):
+    """What readers see after a published run and another one that failed halfway."""
+    store = PublishedStore(spark, scratch_folder(spark, "published"))
+    with store.draft() as draft:
+        run_all(_raw_table(spark, folder), draft, draft)
+    try:
+        with store.draft() as draft:
+            build_star(raw_sales(spark, folder).limit(9), draft)
+            raise InterruptedError
+    except InterruptedError:
+        pass
+    stored = {name: store.read(name).drop("loaded_at") for name in STAR_KEYS}
+    return _contents(stored | {name: store.read(name) for name in marts.MARTS})
+
+
 @_register("select sale_key, true as is_loaded from fact_sales")
 def loaded_at(spark, folder):
     """When a sale was loaded: within this hour, and not in the future."""

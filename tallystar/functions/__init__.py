@@ -8,10 +8,10 @@ from tallystar.functions.clean import (
     to_int,
 )
 from tallystar.functions.keys import date_key, hash_cleaned, hash_key
-from tallystar.functions.measures import exact, mean_in_cents
+from tallystar.functions.measures import decimal_parts, exact, mean_in_cents, sum_of_parts
 from tallystar.functions.nulls import null_fill
 
 __all__ = [
-    "as_column", "blank_to_null", "date_key", "exact", "hash_cleaned", "hash_key", "mean_in_cents",
-    "null_fill", "to_date", "to_decimal", "to_double", "to_int",
+    "as_column", "blank_to_null", "date_key", "decimal_parts", "exact", "hash_cleaned", "hash_key",
+    "mean_in_cents", "null_fill", "sum_of_parts", "to_date", "to_decimal", "to_double", "to_int",
 ]

@@ -6,7 +6,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.functions import exact
+from tallystar.functions import decimal_parts, exact
+from tallystar.functions.measures import COUNT
 from tallystar.plans.star import columns_of, unit_price
 
 # The dataset's columns, and the type of those that are widened.
@@ -74,18 +75,21 @@ MONEY = "decimal(22,2)"
 
 def _product_sums(columns: list[str]) -> dict[str, Column]:
     """Product values counted once per sale, as exact decimals. Ratings that have no exact
-    form with six places are counted apart and summed as doubles."""
+    form with six places come as digits, to be added up for each power of ten."""
     sales, weight = F.col("sales"), F.col("sales").cast("decimal(16,0)")
     rating = F.col("product_rating").cast("double")
     placed = rating.try_cast("decimal(18,6)")
     fits = F.coalesce(placed.cast("double") == rating, F.lit(False))
+    odd = rating.isNotNull() & ~fits
+    digits, power = decimal_parts(F.when(odd, rating))
     price = exact(F.col("product_price"), MONEY)
     sums = {
         "product_rating": {
             "rating_sum": F.when(fits, placed * weight),
-            "rating_double": rating * sales,
+            "rating_power": power,
+            "rating_digits": digits * sales.cast(COUNT),
             "rated_sales": F.when(rating.isNotNull(), sales),
-            "odd_ratings": F.when(rating.isNotNull() & ~fits, sales),
+            "endless_rating": F.when(odd & power.isNull(), rating),
         },
         "product_reviews": {"reviews": F.col("product_reviews") * sales},
         "product_price": {

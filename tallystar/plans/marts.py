@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.functions import hash_key, mean_in_cents
+from tallystar.functions import hash_key, mean_in_cents, sum_of_parts
 from tallystar.operators import Workspace, dense_ranks, with_totals
+from tallystar.operators.joins import lookup
 from tallystar.plans.dataset import measures_by
 
 PRODUCT_GRAIN = ("product_name", "product_brand", "product_category")
@@ -28,9 +29,9 @@ TOP_PRODUCTS, TOP_CUSTOMERS, TOP_STORES, TOP_SUPPLIERS = 10, 10, 5, 5
 DESCENDING, ASCENDING = True, False
 
 
-def add_up(sales: DataFrame, grain: tuple[str, ...], **measures: Column) -> DataFrame:
+def add_up(rows: DataFrame, grain: tuple[str, ...], /, **measures: Column) -> DataFrame:
     """One row per group, with revenue as an exact decimal."""
-    return sales.groupBy(*grain).agg(
+    return rows.groupBy(*grain).agg(
         *(measure.alias(name) for name, measure in measures.items())
     )
 
@@ -40,11 +41,17 @@ def _mean(total: str, count: str) -> Column:
 
 
 def _mean_rating() -> Column:
-    """Exact where all ratings of a group are; otherwise the mean of the doubles, so that no
-    rating is left out however large, NaN included."""
-    doubles = F.round(F.sum("rating_double") / F.sum("rated_sales"), 2)
-    return F.when(F.sum("odd_ratings") > 0, doubles).otherwise(
-        _mean("rating_sum", "rated_sales"))
+    """Exact where all ratings of a group are; otherwise the mean of all, added up by powers
+    of ten, so that no rating is left out however large or long, and no order of rows
+    changes it. NaN, or both infinities, give NaN."""
+    total = sum_of_parts(F.col("rating_parts")) + F.coalesce(
+        F.col("rating_sum").cast("double"), F.lit(0.0))
+    least, most = F.col("least_endless"), F.col("most_endless")
+    endless = F.when(least == most, least).otherwise(F.lit(float("nan")))
+    return (
+        F.when(most.isNotNull(), endless)
+        .when(F.size("rating_parts") > 0, F.round(total / F.col("rated_sales"), 2))
+        .otherwise(mean_in_cents(F.col("rating_sum"), F.col("rated_sales"))))
 
 
 def _orders(sales: DataFrame) -> Column:
@@ -58,15 +65,33 @@ def money(name: str) -> Column:
 
 
 def product_groups(sales: DataFrame) -> DataFrame:
-    """What the product and the quality report share."""
-    return add_up(
-        sales, PRODUCT_GRAIN,
-        total_revenue=F.sum("revenue"),
-        total_sales_quantity=F.sum("items"),
-        order_count=_orders(sales),
-        avg_rating=_mean_rating(),
-        total_reviews=F.sum("reviews"),
-    )
+    """What the product and the quality report share.
+
+    Groups are first added up by the power of ten of odd ratings as well; ordinary ones
+    have none.
+    """
+    orders = None
+    if "sale_key" in sales.columns:
+        orders = sales.groupBy(*PRODUCT_GRAIN).agg(_orders(sales).alias("order_count"))
+    by_power = add_up(
+        sales, (*PRODUCT_GRAIN, "rating_power"),
+        **{name: F.sum(name) for name in (
+            "sales", "revenue", "items", "reviews", "rating_sum", "rated_sales", "rating_digits")},
+        least_endless=F.min("endless_rating"), most_endless=F.max("endless_rating"))
+    groups = add_up(
+        by_power, PRODUCT_GRAIN,
+        total_revenue=F.sum("revenue"), total_sales_quantity=F.sum("items"),
+        order_count=F.sum("sales"), total_reviews=F.sum("reviews"),
+        rating_sum=F.sum("rating_sum"), rated_sales=F.sum("rated_sales"),
+        least_endless=F.min("least_endless"), most_endless=F.max("most_endless"),
+        # One for each power that occurs, at most a few hundred.
+        rating_parts=F.collect_list(F.when(F.col("rating_power").isNotNull(), F.struct(
+            F.col("rating_power").alias("power"), F.col("rating_digits").alias("digits")))))
+    if orders is not None:
+        groups = lookup(groups.drop("order_count"), orders, PRODUCT_GRAIN)
+    return groups.select(
+        *PRODUCT_GRAIN, "total_revenue", "total_sales_quantity", "order_count",
+        _mean_rating().alias("avg_rating"), "total_reviews")
 
 
 def product_sales(groups: DataFrame, work: Workspace) -> DataFrame:

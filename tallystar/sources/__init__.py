@@ -5,11 +5,12 @@ from tallystar.sources.stores import (
     CatalogStore,
     FolderStore,
     JdbcStore,
+    PublishedStore,
     create_namespace,
     in_storage_order,
 )
 
 __all__ = [
-    "CatalogStore", "FolderStore", "HexSplit", "JdbcStore", "JdbcTarget", "RangeSplit",
+    "CatalogStore", "FolderStore", "HexSplit", "JdbcStore", "JdbcTarget", "PublishedStore", "RangeSplit",
     "create_namespace", "in_storage_order", "read_jdbc", "read_raw_csv", "write_jdbc",
 ]

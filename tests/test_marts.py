@@ -1,6 +1,9 @@
 """Reports against a plain Python reading of their rules."""
+import math
+import random
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.errors import PySparkException
@@ -286,3 +289,35 @@ def test_repeated_sales_are_one_order(raw):
     dataset = sales_dataset(star_of(stage(raw({}, {"id": "2"}))))
     row = marts.store_groups(measures_of(dataset.unionByName(dataset))).first()
     assert (row.order_count, row.total_items, float(row.total_revenue)) == (2, 8, 40.0)
+
+
+def test_means_of_odd_ratings_do_not_hang_on_the_order(raw):
+    """Doubles of all sizes: the same bits however the sales are dealt, and the right ones."""
+    rng = random.Random(3)
+    ratings = [repr(rng.uniform(-1, 1) * 10.0 ** rng.randint(-9, 18)) for _ in range(120)]
+    changes = [{"id": str(i), "product_rating": r, "product_description": str(i),
+                "product_name": f"P{i % 2}"} for i, r in enumerate(ratings)]
+    expected = {}
+    for name in ("P0", "P1"):
+        own = [Fraction(c["product_rating"]) for c in changes if c["product_name"] == name]
+        expected[name] = float(sum(own) / len(own))
+    seen = set()
+    for seed, parts in ((0, 1), (1, 3), (2, 7)):
+        random.Random(seed).shuffle(changes)
+        star = star_of(stage(raw(*changes).repartition(parts)))
+        groups = marts.product_groups(measures_by(star, "product")).collect()
+        got = {r.product_name: r.avg_rating for r in groups}
+        assert got == pytest.approx(expected, rel=1e-12)
+        seen.add(tuple(sorted(got.items())))
+    assert len(seen) == 1
+
+
+@pytest.mark.parametrize("ratings, expected", [
+    (["1e400", "2"], math.inf), (["1e400", "-1e400"], math.nan), (["NaN", "1e400"], math.nan),
+    (["-1e400", "5"], -math.inf), (["NaN"], math.nan), (["", "4.1234567"], 4.12)])
+def test_endless_ratings(raw, ratings, expected):
+    changes = [{"id": str(i), "product_rating": r, "product_description": str(i)}
+               for i, r in enumerate(ratings)]
+    star = star_of(stage(raw(*changes)))
+    (row,) = marts.product_groups(measures_by(star, "product")).collect()
+    assert row.avg_rating == pytest.approx(expected, nan_ok=True)

@@ -17,7 +17,7 @@ from tallystar.plans.pipeline import (
     star_in,
 )
 from tallystar.plans.star import STAR_KEYS, key_splits
-from tallystar.sources import CatalogStore, FolderStore
+from tallystar.sources import CatalogStore, FolderStore, PublishedStore
 
 
 @pytest.fixture
@@ -105,3 +105,42 @@ def test_reports_read_few_fact_columns(spark, raw, stores):
 
 def test_key_splits_cover_the_hashed_tables():
     assert set(key_splits(4)) == set(STAR_KEYS) - {"dim_date"}
+
+
+def test_a_failed_run_changes_nothing_for_readers(spark, raw, tmp_path):
+    store = PublishedStore(spark, f"{tmp_path}/lake")
+    assert store.tables() == {}
+    with store.draft() as draft:
+        run_all(raw({}, {"id": "2"}), draft, draft)
+    first = rows_of(store, (*STAR_KEYS, *MARTS))
+    assert len(first) == 13 and len(first["fact_sales"]) == 2
+    broken = raw({}, {"id": "3", "store_name": "Else"})
+    with pytest.raises(RuntimeError, match="between tables"), store.draft() as draft:
+        write, done = draft.write, []
+
+        def fail_later(df, table, *more):
+            if len(done) == 9:
+                raise RuntimeError("between tables")
+            done.append(table)
+            write(df, table, *more)
+
+        draft.write = fail_later
+        run_all(broken, draft, draft)
+    assert rows_of(store, (*STAR_KEYS, *MARTS)) == first
+    reader = store.read("dim_store")
+    with store.draft() as draft:
+        run_all(broken, draft, draft)
+    assert store.read("dim_store").count() == 2 and len(store.editions()) == 2
+    assert reader.count() == 1  # a reader that began before goes on with what it saw
+    store.forget(keep=1)
+    assert len(store.editions()) == 1 and store.read("fact_sales").count() == 2
+    assert len(os.listdir(tmp_path / "lake" / "dim_store")) == 2  # the failed run's is not listed
+
+
+def test_two_runs_do_not_publish_over_each_other(spark, raw, tmp_path):
+    store = PublishedStore(spark, f"{tmp_path}/lake")
+    with store.draft() as draft:
+        draft.write(spark.range(3), "three")
+    with store.draft() as draft:
+        draft.write(spark.range(4), "four")
+    assert sorted(store.tables()) == ["four", "three"] and store.read("three").count() == 3
