@@ -1,0 +1,99 @@
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tallystar.llm import wavelet
+from tallystar.llm.blocks import blocks
+
+SPLIT = {
+    "line": r"[^\n]*\n|[^\n]+",
+    "word": r"[^\x20\x09-\x0D]*[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+",
+}
+
+
+def brute(doc_id, text, rate=100, suffix_first=50):
+    text = text or ""
+    units = re.findall(SPLIT["line"], text)
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * k:8 * k + 8], 16) for k in range(4)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    prefix, middle, suffix = ("".join(u) for u in (units[:a], units[a:b], units[b:]))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return doc_id, len(units), "plain", None, None, text
+    if h[3] % 100 < suffix_first:
+        return (doc_id, len(units), "spm", len(prefix), len(middle),
+                f"<S>{suffix}<P>{prefix}<M>{middle}")
+    return (doc_id, len(units), "psm", len(prefix), len(middle),
+            f"<P>{prefix}<S>{suffix}<M>{middle}")
+
+
+TEXTS = [
+    None, "", "\n", "\n\n\n", "one", "one\n", "one\ntwo", "é\nüb\n日本\n😀", "a\r\nb\r\n", " \n x",
+    "has <M> mark\nx", "<P\n<S\n>", "<<P\n<P", "x\n" * 500, "word " * 3000, "\x0b\x0c\n\t\n",
+    "no end\n\n", "ends. Here!\nAnd? here.\n",
+]
+
+
+def rows():
+    return [(i, t) for i in range(40) for t in (TEXTS[i % len(TEXTS)], TEXTS[(i * 7) % len(TEXTS)])
+            ] + [(None, "a\nb\nc\n"), (None, None)]
+
+
+@pytest.mark.parametrize("rate,suffix_first", [(100, 50), (60, 0), (0, 50), (100, 100)])
+def test_brute_force_and_round_trip(documents, rate, suffix_first):
+    docs = documents(rows())
+    for name in ("n", "form", "output", "_row", "draw_one", "order"):
+        docs = docs.withColumn(name, F.lit(name))
+    cut = wavelet.fill_in_middle(docs, rate=rate, suffix_first=suffix_first)
+    got = cut.withColumn("back", wavelet.restored(F.col("output"), F.col("form"))).collect()
+    expected = [brute(i, t, rate, suffix_first) for i, t in rows()]
+    assert sorted((tuple(r)[:-1] for r in got), key=str) == sorted(expected, key=str)
+    assert sorted(str((r.doc_id, r.back)) for r in got) == sorted(
+        str((i, t or "")) for i, t in rows())
+
+
+def test_empty_table(documents):
+    assert wavelet.fill_in_middle(documents([]).limit(0)).count() == 0
+
+
+def block_of(texts):
+    return next(blocks(pa.array(texts), 1 << 20))
+
+
+def test_ranks_against_counting():
+    rng = np.random.RandomState(2)
+    values = rng.randint(0, 8, 700).astype(np.uint8)
+    matrix = wavelet.WaveletMatrix(values)
+    places = rng.randint(0, 701, 300)
+    for value in range(8):
+        assert matrix.rank(value, places).tolist() == [
+            int((values[:p] == value).sum()) for p in places]
+    empty = wavelet.WaveletMatrix(values[:0])
+    assert empty.rank(3, np.array([0])).tolist() == [0]
+
+
+@pytest.mark.parametrize("unit", ["line", "word"])
+def test_units_and_cuts(unit):
+    texts = ["a b\nc", "", " lead", "é ü\n\n日本 x\n", "one"]
+    if unit == "word":  # white space before the first word is of no unit, so leave it out
+        texts = [re.sub(r"\s+", " ", t).lstrip() for t in texts]
+    units = wavelet.Units(block_of(texts), unit)
+    expected = [re.findall(SPLIT[unit], t) for t in texts]
+    assert units.count.tolist() == [len(e) for e in expected]
+    for k in range(5):
+        cut = units.after(np.full(len(texts), k))
+        got = [t.encode()[:c - f].decode() for t, c, f in zip(texts, cut, units.first)]
+        assert got == ["".join(e[:k]) for e in expected]
+        assert units.code_points(units.first, cut).tolist() == [len(g) for g in got]
+
+
+def test_sentences():
+    texts = ["One. Two three! 3.5 four?", "No end", "A.B. C"]
+    units = wavelet.Units(block_of(texts), "sentence")
+    assert units.count.tolist() == [3, 1, 2]
+    first = units.after(np.ones(3, np.int64))
+    assert [t[:c - f] for t, c, f in zip(texts, first, units.first)] == ["One.", "No end", "A.B."]
