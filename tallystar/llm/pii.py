@@ -3,16 +3,20 @@
 Patterns find emails, IP addresses, card and phone numbers. Each distinct value is a
 protected entity. The corpus says how strongly a word reveals an entity: the pointwise
 mutual information of the two, counted in whole documents, as a share of the entity's own
-information. Words in too many documents to reach the lower threshold are left out first. At a share of 1 whoever reads the word knows the entity. In documents
-that mention the entity, words over the upper threshold are removed and words between the
+information. At a share of 1 whoever reads the word knows the entity. In documents that
+mention the entity, words over the upper threshold are removed and words between the
 thresholds are generalised to what kind of word they are. Everything is SQL expressions.
+
+Words in too many documents to reach the lower threshold are left out first. Entities found
+in the same documents are counted as one, and so are words: a document with very many of
+both has few such groups, and no pair of an entity and a word is written.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.shared import written
+from tallystar.llm.shared import keyed, lower_words, packed, unpacked, written
 
 # The patterns of the kinds, in the order in which spans are listed. A match
 # that could begin further left would, unless it follows another one (\G), so starting
@@ -26,7 +30,6 @@ PATTERNS = {
 # What a text must match for a pattern to be tried.
 NEEDED = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
 TERM = "term"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-case text
 
 SUPPORT = 3
 GENERALISE = 0.7
@@ -89,45 +92,78 @@ def _entity(span: Column) -> Column:
     return F.concat(span.kind, F.lit(":"), F.lower(span.value))
 
 
+DOC = ["doc_id", "mark"]
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """``rows`` with those that repeat in id and text once. Only rows that do are moved."""
+    repeated = written(rows.groupBy(*DOC).agg(F.count("*").alias("n")).where("n > 1").select(*DOC),
+                       "pii-repeated")
+    if repeated.isEmpty():
+        return rows
+    return keyed(rows, repeated, DOC, "left_anti").unionByName(
+        keyed(rows, repeated, DOC).dropDuplicates(DOC))
+
+
 def _words_of(text: str) -> Column:
     """One row for each distinct word of a text."""
-    return F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))))
+    return F.explode(F.array_distinct(lower_words(F.col(text))))
+
+
+def _grouped(pairs: DataFrame, name: str) -> DataFrame:
+    """``doc`` and ``name`` pairs with the group of names found in the very same documents:
+    128 bits of the set of those and its size."""
+    groups = pairs.groupBy(name).agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("one"),
+        F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("two"))
+    return pairs.join(groups.select(name, F.struct("n", "one", "two").alias(f"{name}_group")), name)
 
 
 def disclosing_terms(
     docs: DataFrame, found: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
 ) -> DataFrame:
-    """``entity``, ``term`` and ``share``: how much of the entity's information the term
-    gives away, for terms that stand in at least ``support`` documents with the entity and
-    have a share of at least ``generalise``. Counted over all documents.
-
-    ``found`` has the documents with spans: ``doc_id``, ``mark``, ``text`` and ``spans``.
-    A term of n documents shares at most log2(all / n) with an entity, which bounds n.
+    """``doc_id``, ``mark``, ``term`` and ``share`` for the documents that mention an entity:
+    the terms that give one of theirs away, and the largest share of an entity's information
+    that the term has, of at least ``generalise``. Terms have to stand in at least
+    ``support`` documents with the entity. Counted over all documents.
+
+    ``docs`` has ``doc_id``, ``mark`` and ``text`` of each document once, ``found`` those with
+    spans: also ``spans``. A term of n documents shares at most log2(all / n) with an
+    entity, which bounds n.
     """
     n_docs = F.lit(float(docs.count()))
-    mentions = found.select("doc_id", "mark", F.explode("spans").alias("s")).select(
-        "doc_id", "mark", _entity(F.col("s")).alias("entity")).distinct()
-    entities = mentions.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(
-        F.col("n_entity") >= support).withColumn("most", (1 + 1e-9) * F.pow(
-            n_docs, F.lit(1.0 - generalise)) * F.pow("n_entity", F.lit(generalise)))
-    mentions = written(mentions.join(entities, "entity"), "pii-mentions")
-    most = mentions.agg(F.max("most")).first()[0] or 0.0
+    doc = F.struct(*DOC).alias("doc")
+    mentions = written(found.select(doc, F.explode("spans").alias("s")).select(
+        "doc", _entity(F.col("s")).alias("entity")).distinct(), "pii-mentions")
+    most = (1 + 1e-9) * F.pow(n_docs, F.lit(1.0 - generalise)) * F.pow(
+        "entity_group.n", F.lit(generalise))
+    entities = written(_grouped(mentions, "entity").where(
+        F.col("entity_group.n") >= support).select("doc", "entity_group", most.alias("most"))
+        .distinct(), "pii-entities")
+    limit = entities.agg(F.max("most")).first()[0] or 0.0
     counts = docs.select(_words_of("text").alias("term")).groupBy("term").agg(
-        F.count("*").alias("n_term")).filter(F.col("n_term").between(support, most))
-    words = found.join(
-        mentions.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left_semi",
-    ).select("doc_id", "mark", _words_of("text").alias("term")).join(counts, "term").select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "term", "n_term")
-    known = mentions.join(
-        words, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
-        & (F.col("n_term") <= F.col("most"))).groupBy(
-        "entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both")).filter(
-        F.col("n_both") >= support)
-    own = F.log2(n_docs / F.col("n_entity"))
-    shared = F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term")))
-    return known.withColumn("share", F.when(own > 0, shared / own).otherwise(0.0)).filter(
-        F.col("share") >= generalise).select("entity", "term", "share")
+        F.count("*").alias("n_term")).where(F.col("n_term").between(support, limit))
+    words = written(found.select(doc, "text").join(
+        entities.select(F.col("doc").alias("of")).distinct(), F.col("doc").eqNullSafe(F.col("of")),
+        "left_semi").select("doc", _words_of("text").alias("term")).join(counts, "term"),
+        "pii-words")
+    # Documents without an entity count for a term, but in no pair: the term's group is that
+    # of its documents with one, beside the number of all.
+    terms = written(_grouped(words, "term").select(
+        "doc", "term", F.struct("term_group", "n_term").alias("term_group")), "pii-terms")
+    either = terms.select(F.col("doc").alias("of"), "term_group").distinct()
+    pairs = entities.join(either, F.col("doc").eqNullSafe(F.col("of")) & (
+        F.col("term_group.n_term") <= F.col("most"))).groupBy("entity_group", "term_group").agg(
+        F.count("*").alias("n_both")).where(F.col("n_both") >= support)
+    n_entity, n_term = F.col("entity_group.n"), F.col("term_group.n_term")
+    own = F.log2(n_docs / n_entity)
+    shared = F.log2(F.col("n_both") * n_docs / (n_entity * n_term))
+    telling = pairs.withColumn("share", F.when(own > 0, shared / own).otherwise(0.0)).where(
+        F.col("share") >= generalise).select("entity_group", "term_group", "share")
+    here = entities.join(telling, "entity_group").groupBy("doc", "term_group").agg(
+        F.max("share").alias("share")).withColumnRenamed("doc", "of")
+    return terms.join(here, "term_group").where(F.col("doc").eqNullSafe(F.col("of"))).select(
+        "doc.doc_id", "doc.mark", "term", "share")
 
 
 def find_personal_data(
@@ -144,16 +180,12 @@ def find_personal_data(
     searched = rows.withColumn("spans", base_spans())
     every = written(searched.select(
         "doc_id", "mark", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")), "pii")
-    found = every.filter("size(spans) > 0").dropDuplicates(["doc_id", "mark"])
-    terms = disclosing_terms(rows, found, support, generalise)
-    mentioned = found.select("doc_id", "mark", F.explode("spans").alias("s")).select(
-        "doc_id", "mark", _entity(F.col("s")).alias("entity")).distinct()
-    by_doc = mentioned.join(terms, "entity").groupBy("doc_id", "mark", "term").agg(
-        F.max("share").alias("share")).groupBy("doc_id", "mark").agg(
-        F.collect_set(F.struct("term", "share")).alias("terms"))
-    keyed = by_doc.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "terms")
+    found = every.filter("size(spans) > 0").dropDuplicates(DOC)
+    by_doc = disclosing_terms(_once(rows), found, support, generalise).groupBy(*DOC).agg(
+        F.collect_list(F.struct("term", "share")).alias("terms"))
+    of = by_doc.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "terms")
     joined = every.join(
-        keyed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+        of, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
     pattern = r"""concat(r'(?iu)(?<![^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])(?:',
         array_join(transform(terms, t -> t.term), '|'),
         r')(?![^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])')"""
@@ -202,21 +234,16 @@ def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
 
     Only rows with something to replace are joined with their spans.
     """
-    found = find_personal_data(docs, **thresholds).filter("size(spans) > 0").dropDuplicates(
-        ["doc_id", "mark"]).select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans"))
-    keyed = docs.withColumn("_own", F.xxhash64("text"))
-    joined = keyed.join(
-        found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark")), "left")
-    changed = joined.withColumn("_text", F.when(
-        F.col("_spans").isNull(), F.col("text")).otherwise(sanitised("text", "_spans")))
-    columns = []
-    for name, kind in docs.dtypes:
-        if name == "text":
-            columns.append(F.col("_text").alias("text"))
-        elif name == "n_chars":
-            columns.append(F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
-                F.length("_text")).cast(kind).alias("n_chars"))
-        else:
-            columns.append(F.col(name))
-    return changed.select(columns)
+    found = find_personal_data(docs, **thresholds).filter("size(spans) > 0").dropDuplicates(DOC)
+    rows = packed(docs, doc_id=F.col("doc_id"), own=F.xxhash64("text"), text=F.col("text"))
+    spans = found.select(F.col("doc_id").alias("of"), "mark", "spans")
+    joined = rows.join(
+        spans, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("own") == F.col("mark")), "left")
+    clean = joined.withColumn("clean", F.when(
+        F.col("spans").isNull(), F.col("text")).otherwise(sanitised("text", "spans")))
+    changed = {"text": F.col("clean")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(F.col("spans").isNull(), F.col("row.n_chars")).otherwise(
+            F.length("clean").cast(kind))
+    return unpacked(clean, docs.columns, **changed)

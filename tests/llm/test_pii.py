@@ -1,3 +1,5 @@
+import math
+import random
 import re
 
 import pytest
@@ -82,6 +84,67 @@ def test_terms_far_from_the_entity(documents):
         assert "often" not in terms and "common" not in terms
 
 
+def test_repeated_rows_change_no_span(documents):
+    rows = [(i, f"write to x@y.zz about zanzibar {i}") for i in range(5)]
+    rows += [(10 + i, f"the common words of text {i}") for i in range(40)]
+    once = {r.doc_id: r.spans for r in pii.find_personal_data(documents(rows)).collect()}
+    assert any(s.kind == pii.TERM for s in once[0])
+    for copies in ([rows[0]] * 30, [rows[20]] * 400):
+        got = pii.find_personal_data(documents(rows + copies)).collect()
+        assert len(got) == len(rows) + len(copies)
+        assert all(r.spans == once[r.doc_id] for r in got)
+
+
+def test_terms_against_counting(documents):
+    """Shares worked out pair by pair give the same terms."""
+    rng = random.Random(12)
+    mails = [f"m{i}@x.yy" for i in range(6)]
+    words = [f"word{i}" for i in range(14)]
+    rows = []
+    for i in range(90):
+        held = rng.sample(range(6), rng.choice([0, 0, 0, 1, 2]))
+        own = {w for m in held for w in words[2 * m:2 * m + 2] if rng.random() < 0.9}
+        own |= set(rng.sample(words, rng.choice([0, 1, 3])))
+        rows.append((i, " ".join([*(mails[m] for m in held), *sorted(own)])))
+    docs = [(i, {m for m in mails if m in t}, set(re.findall("[a-z0-9]+", t))) for i, t in rows]
+    expected = {}
+    for mail in mails:
+        n_entity = sum(mail in m for _, m, _ in docs)
+        for term in {w for _, _, ws in docs for w in ws}:
+            n_term = sum(term in ws for _, _, ws in docs)
+            both = sum(mail in m and term in ws for _, m, ws in docs)
+            if both < 3 or n_entity < 3:
+                continue
+            share = math.log2(both * 90 / (n_entity * n_term)) / math.log2(90 / n_entity)
+            if share >= pii.GENERALISE:
+                for i, m, ws in docs:
+                    if mail in m and term in ws:
+                        expected[i, term] = max(share, expected.get((i, term), 0))
+    table = documents(rows).select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    found = table.withColumn("spans", pii.base_spans()).filter("size(spans) > 0")
+    got = {(r.doc_id, r.term): r.share for r in pii.disclosing_terms(table, found).collect()}
+    assert len(expected) > 30 and got == pytest.approx(expected)
+
+
+def test_entities_and_words_of_one_document_are_not_paired(documents):
+    """Groups of those found in the same documents are counted, not each with each."""
+    text = " ".join(f"a{i}@x.yy w{i}" for i in range(900))
+    rows = [(i, f"{text} {i}") for i in range(3)] + [(10 + i, f"text {i}") for i in range(40)]
+    found = {r.doc_id: r.spans for r in pii.find_personal_data(documents(rows)).collect()}
+    assert sum(s.kind == pii.TERM for s in found[0]) >= 900 and not found[10]
+
+
+@pytest.mark.parametrize("names", [("_mark", "_id", "_own"), ("row", "own", "of", "clean", "spans"),
+                                   ("mark", "terms", "doc", "term", "_text", "key_0")])
+def test_clashing_names(documents, names):
+    docs = documents(reveal()).withColumns({name: F.lit(name) for name in names})
+    got = pii.sanitise(docs)
+    plain = {r.doc_id: r.text for r in pii.sanitise(documents(reveal())).collect()}
+    assert got.columns == docs.columns
+    for r in got.collect():
+        assert [r[n] for n in names] == list(names) and r.text == plain[r.doc_id]
+
+
 def test_rare_pairs_reveal_nothing(documents):
     rows = [(1, "qwxyz a@b.cd"), (2, "qwxyz a@b.cd"), (3, "nothing")]
     assert all(s.kind == "email" for r in pii.find_personal_data(documents(rows)).collect()
