@@ -207,8 +207,9 @@ def near_words(words: DataFrame, state_words: int = STATE_WORDS) -> DataFrame:
     links, depth, open_ = [], 0, words
     while True:
         placed = open_.withColumn("state", F.substring("word", 1, depth))
-        crowded = placed.groupBy("state").agg(F.count("*").alias("words")).filter(
-            F.col("words") > state_words).select("state")
+        # A stored table of known size, so that words are not moved by state to find it.
+        crowded = written(placed.groupBy("state").agg(F.count("*").alias("words")).filter(
+            F.col("words") > state_words).select("state"), f"spelling-crowded-{depth}")
         sized = written(placed.join(crowded.withColumn("crowded", F.lit(True)), "state", "left"),
                         f"spelling-states-{depth}")
         links.append(_enumerated(sized.filter("crowded is null").drop("crowded")))
