@@ -10,14 +10,17 @@ weighted by how well they did there, are combined into one score for every docum
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallystar.llm.blocks import LOWER, VISIBLE, Block, blocks, column_of, word_hashes
-from tallystar.llm.shared import written
+from tallystar.llm.shared import packed, written
 
 LABELLED = 20000
 ROUNDS = 3
@@ -102,6 +105,15 @@ def page_features(block: Block, batch: pa.RecordBatch) -> np.ndarray:
     return np.column_stack(parts)
 
 
+def _described_by(docs: DataFrame) -> dict[str, Column]:
+    """What the features of a document are made of."""
+    def slot(name):
+        return F.coalesce(F.pmod(F.hash(F.lower(name)), F.lit(HASHED)), F.lit(-1))
+
+    return {"text": F.col("text"), "n_chars": F.col("n_chars").cast("double"),
+            "_source": slot("source"), "_lang": slot("lang")}
+
+
 def described(docs: DataFrame) -> DataFrame:
     """Both views of every document as arrays of numbers. Nulls count as empty or 0."""
 
@@ -117,14 +129,10 @@ def described(docs: DataFrame) -> DataFrame:
                      pa.array(rows.ravel()), CONTENT + PAGE).cast(pa.list_(pa.float32()))],
                 ["_row", "doc_id", "views"])
 
-    def slot(name):
-        return F.coalesce(F.pmod(F.hash(F.lower(name)), F.lit(HASHED)), F.lit(-1))
-
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select(
-        F.xxhash64("doc_id", "text", "lang", "source", "n_chars").alias("_row"), "doc_id", "text",
-        F.col("n_chars").cast("double").alias("n_chars"),
-        slot("source").alias("_source"), slot("lang").alias("_lang"),
+        F.xxhash64("doc_id", "text", "lang", "source", "n_chars").alias("_row"), "doc_id",
+        *(value.alias(name) for name, value in _described_by(docs).items()),
     ).mapInArrow(describe, f"_row long, doc_id {kind}, views array<float>")
 
 
@@ -190,38 +198,65 @@ def _matrix(table: pa.Table, name: str = "views") -> np.ndarray:
     return values.values.to_numpy().reshape(len(values), -1).astype(float)
 
 
-def surest(described_docs: DataFrame, seen: DataFrame, view: View, count: int) -> pa.Table:
-    """The ``count`` documents without label that the view is surest are good, and as many
-    that are bad, of all documents; bounded by ``2 * count``."""
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            logits = view.logits(_matrix(pa.Table.from_batches([batch])))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(logits)], [*batch.schema.names, "logit"])
+PICKED = "view int, logit double, _row long, doc_id {kind}, views array<float>"
 
-    open_rows = described_docs.join(seen, "doc_id", "left_anti")
-    scored = open_rows.mapInArrow(
-        score, f"{_ddl(open_rows)}, logit double").dropDuplicates(["_row"])
-    good = scored.filter("logit > 0").orderBy(F.desc("logit"), "_row").limit(count)
-    bad = scored.filter("logit < 0").orderBy("logit", "_row").limit(count)
-    return good.unionByName(bad).orderBy("logit", "_row").toArrow()
 
+def surest(table: DataFrame, taken: pa.Table, views: list[View], count: int) -> list[pa.Table]:
+    """For each view the ``count`` documents without label that it is surest are good, and as
+    many that are bad, of all documents that are not ``taken``; at most ``2 * count`` rows.
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
+    One sweep serves all views and both ends: every task keeps its own surest rows, equal
+    ones once, and only those are compared between tasks.
+    """
+    kind = table.schema["doc_id"].dataType.simpleString()
+    rows_taken, ids_taken = taken.column("_row"), taken.column("doc_id").drop_null()
 
-def train(described_docs: DataFrame, labels: DataFrame, labelled: int = LABELLED,
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[pa.Table] = [None] * (2 * len(views))
+        for batch in batches:
+            own = pa.Table.from_batches([batch])
+            for used, name in ((rows_taken, "_row"), (ids_taken, "doc_id")):
+                if len(used):
+                    own = own.filter(pc.invert(pc.fill_null(
+                        pc.is_in(own.column(name), value_set=used.combine_chunks()), False)))
+            features = _matrix(own)
+            for k, view in enumerate(views):
+                logits = view.logits(features)
+                for end, sign in enumerate((1, -1)):
+                    fit = own.filter(pa.array(sign * logits > 0)).append_column(
+                        "rank", pa.array(-sign * logits[sign * logits > 0]))
+                    at = 2 * k + end
+                    every = fit if best[at] is None else pa.concat_tables([best[at], fit])
+                    order = np.lexsort((every.column("_row"), every.column("rank")))
+                    row = every.column("_row").to_numpy()[order]
+                    fresh = np.append(True, row[1:] != row[:-1])[:len(row)]
+                    best[at] = every.take(order[fresh][:count])
+        for at, kept in enumerate(best):
+            if kept is not None and len(kept):
+                sign = -1.0 if at % 2 == 0 else 1.0
+                yield from pa.table({
+                    "view": pa.array([at // 2] * len(kept), pa.int32()),
+                    "logit": pc.multiply(kept.column("rank"), sign),
+                    **{n: kept.column(n) for n in ("_row", "doc_id", "views")}}).to_batches()
+
+    kept = written(table.filter("quality is null").select("_row", "doc_id", "views").mapInArrow(
+        pick, PICKED.format(kind=kind)).dropDuplicates(["view", "_row"]), "quality-surest")
+    ends = [kept.filter(f"view = {k} and logit {sign} 0").orderBy(order, "_row").limit(count)
+            for k in range(len(views))
+            for sign, order in ((">", F.desc("logit")), ("<", F.asc("logit")))]
+    found = reduce(DataFrame.unionByName, ends).orderBy("view", "logit", "_row").toArrow()
+    return [found.filter(pc.equal(found.column("view"), k)) for k in range(len(views))]
+
+
+def train(described_docs: DataFrame, labelled: int = LABELLED,
           rounds: int = ROUNDS, per_round: int = PER_ROUND) -> list[View]:
-    """Co-train both views. At most ``labelled`` labelled documents are used, taken by hash
+    """Co-train both views on documents with their views and, where known, ``quality``. At most ``labelled`` labelled documents are used, taken by hash
     of their ids; a fifth of them is kept for calibration. In each of ``rounds`` rounds
     each view hands the other at most ``2 * per_round`` documents, the surest of all that
     have no label, and no more than a fifth of the labelled ones."""
-    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
-        F.max("quality").alias("quality"))
-    chosen = known.orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(labelled)
-    table = described_docs.join(F.broadcast(chosen), "doc_id").select(
-        "_row", "views", "quality").orderBy("_row").limit(labelled).toArrow()
+    table = described_docs.filter("quality is not null").orderBy(
+        F.xxhash64(F.lit("quality"), "doc_id"), "doc_id", "_row").limit(labelled).select(
+        "_row", "views", "quality").toArrow().sort_by("_row")
     rows = _matrix(table)
     marks = np.array(table.column("quality").to_pylist(), float) > 0
     held = np.arange(len(marks)) % 5 == 0
@@ -230,20 +265,20 @@ def train(described_docs: DataFrame, labels: DataFrame, labelled: int = LABELLED
     if not len(marks):
         pools = [(np.zeros((1, CONTENT + PAGE)), np.ones(1, bool)) for _ in columns]
     views = [View(c, *pool) for c, pool in zip(columns, pools, strict=True)]
-    seen = known.select("doc_id")
     gift_size = min(per_round, len(marks) // 10)
+    empty = described_docs.select("_row", "doc_id").limit(0).toArrow()
+    taken = empty
     for _ in range(rounds if gift_size else 0):
-        gifts = [surest(described_docs, seen, view, gift_size) for view in views]
+        gifts = surest(described_docs, taken, views, gift_size)
         for k, gift in enumerate(gifts):
             other = 1 - k
             logits = np.array(gift.column("logit").to_pylist(), float)
             pools[other] = (np.vstack([pools[other][0], _matrix(gift)]),
                             np.append(pools[other][1], logits > 0))
-        given = {d for gift in gifts for d in gift.column("doc_id").to_pylist() if d is not None}
-        if not given:
+        given = pa.concat_tables([g.select(["_row", "doc_id"]).cast(empty.schema) for g in gifts])
+        if not len(given):
             break
-        seen = seen.unionByName(described_docs.sparkSession.createDataFrame(
-            [(d,) for d in sorted(given)], described_docs.select("doc_id").schema))
+        taken = pa.concat_tables([taken, given])
         views = [View(c, *pool) for c, pool in zip(columns, pools, strict=True)]
     for view in views:
         view.calibrate(rows[held], marks[held])
@@ -260,10 +295,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     not used; ids labelled twice count as good if any label says so.
     """
     names = ("content_score", "page_score", "score", "good")
-    rows = docs.select([c for c in docs.columns if c not in names])
-    views_of = written(described(rows), "quality-views")
-    views = train(views_of, labels, **training)
-    carried = rows.columns
+    own = [c for c in docs.columns if c not in names]
+    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
+        F.max("quality").alias("quality"))
+    views = train(written(described(docs).join(known, "doc_id", "left"), "quality-views"),
+                  **training)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,14 +311,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
             shares = np.array([view.share for view in views])
             both = sum(s * x for s, x in zip(shares / shares.sum(), logits, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(carried)],
-                 *(pa.array(_sigmoid(x)) for x in (*logits, both))],
-                [*carried, *names[:3]])
-
-    def slot(name):
-        return F.coalesce(F.pmod(F.hash(F.lower(name)), F.lit(HASHED)), F.lit(-1))
+                [batch.column("row"), *(pa.array(_sigmoid(x)) for x in (*logits, both))],
+                ["row", *names[:3]])
 
-    ready = rows.withColumns({"_source": slot("source"), "_lang": slot("lang")})
-    return ready.mapInArrow(
-        score, f"{_ddl(rows)}, content_score double, page_score double, score double",
-    ).withColumn("good", F.col("score") >= threshold)
+    ready = packed(docs.select(*own), **_described_by(docs))
+    schema = T.StructType([ready.schema["row"]] + [T.StructField(n, T.DoubleType()) for n in names[:3]])
+    scored = ready.mapInArrow(score, schema).withColumn("good", F.col("score") >= threshold)
+    return scored.select(*(F.col("row").getField(c).alias(c) for c in own), *names)

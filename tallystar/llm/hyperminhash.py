@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tallystar.llm.blocks import (
     LOWER, VISIBLE, Block, blocks, column_of, mixed, shingle_hashes, word_hashes,
 )
-from tallystar.llm.shared import dropped, written
+from tallystar.llm.shared import dropped, packed, unpacked, written
 
 SHINGLE = 5
 PERCENT = 80
@@ -327,17 +327,17 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     share the least id of a group but not their text all stay.
     """
     found = near_duplicates(docs, size, percent).filter("kept and n_shingles > 0")
-    marked = docs.withColumn("_mark", F.xxhash64("text"))
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    parts = [marked.filter(~worded)]
-    keys = found.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_own")).distinct()
-    once = Window.partitionBy("_mark", "doc_id").orderBy(F.lit(1))
+    marked = packed(docs, doc_id=F.col("doc_id"), mark=F.xxhash64("text"), worded=worded)
+    parts = [marked.filter("not worded")]
+    keys = found.select(F.col("doc_id").alias("of"), F.col("mark").alias("own")).distinct()
+    first = Window.partitionBy("mark", "doc_id").orderBy(F.lit(1))
     for own, match in (
-        (F.col("doc_id").isNotNull(), F.col("doc_id") == F.col("_id")),
-        (F.col("doc_id").isNull(), F.col("_id").isNull()),
+        (F.col("doc_id").isNotNull(), F.col("doc_id") == F.col("of")),
+        (F.col("doc_id").isNull(), F.col("of").isNull()),
     ):
-        rows = marked.filter(worded & own).join(
-            keys, (F.col("_mark") == F.col("_own")) & match, "left_semi")
-        parts.append(rows.withColumn("_copy", F.row_number().over(once)).filter(
-            "_copy = 1").drop("_copy"))
-    return reduce(DataFrame.unionByName, parts).drop("_mark")
+        rows = marked.filter(F.col("worded") & own).join(
+            keys, (F.col("mark") == F.col("own")) & match, "left_semi")
+        parts.append(rows.withColumn("copy", F.row_number().over(first)).filter(
+            "copy = 1").drop("copy"))
+    return unpacked(reduce(DataFrame.unionByName, parts), docs.columns)

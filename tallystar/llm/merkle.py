@@ -139,9 +139,10 @@ def with_next(docs: DataFrame) -> DataFrame:
     for each range.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = [c for c in docs.columns if c not in ("next_text", "_mark", "_bucket", "_head")]
-    rows = docs.select(*[c for c in own if c != "text"], text.alias("text")).withColumn(
-        "_mark", F.xxhash64("text"))
+    own = [c for c in docs.columns if c != "next_text"]
+    rows = docs.select(F.struct(*(c for c in own if c != "text")).alias("row"), "doc_id",
+                       text.alias("text"))
+    rows = rows.withColumn("_mark", F.xxhash64("text"))
     rows = rows.withColumn("_bucket", _bucket(rows))
     order = (F.col("doc_id").desc_nulls_last(), F.col("_mark").desc())
     tops = rows.groupBy("_bucket").agg(F.max("doc_id").alias("_top"))
@@ -160,7 +161,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     ahead = Window.partitionBy("_bucket").orderBy(*order)
     following = rows.withColumn("next_text", F.lead("text").over(ahead))
     joined = following.join(heads, F.col("_bucket") == F.col("_b"), "left")
-    return joined.select(*own, F.coalesce("next_text", "_head").alias("next_text"))
+    return joined.select(
+        *(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in own),
+        F.coalesce("next_text", "_head").alias("next_text"))
 
 
 def edited(text: Column, next_text: Column) -> Column:

@@ -103,9 +103,9 @@ def _rounder(level: int, last: bool, seed: int):
     """Round one bucket; a row that stays fractional keeps its part, others get 0 or 1."""
 
     def apply(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        parts = column_of(table, "_part").to_numpy(zero_copy_only=False).copy()
-        sizes = column_of(table, "_size").to_numpy(zero_copy_only=False)
-        marks = column_of(table, "_mark").to_numpy(zero_copy_only=False)
+        parts = column_of(table, "part").to_numpy(zero_copy_only=False).copy()
+        sizes = column_of(table, "size").to_numpy(zero_copy_only=False)
+        marks = column_of(table, "mark").to_numpy(zero_copy_only=False)
         order = np.lexsort((marks, -sizes))
         source = key[0].as_py()
         name = f"{seed}|{level}|{key[1].as_py()}|{source is None}|{source}".encode()
@@ -114,11 +114,30 @@ def _rounder(level: int, last: bool, seed: int):
         if held >= 0 and last:
             parts[held] = float(draws[-1] < parts[held])
         return table.set_column(
-            table.schema.get_field_index("_part"), "_part", pa.array(parts, pa.float64()))
+            table.schema.get_field_index("part"), "part", pa.array(parts, pa.float64()))
 
     return apply
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Add ``copy``: rows with equal ``mark`` are numbered from 0. They are counted where they
+    were read first, so that no task sees all copies of a row."""
+    repeated = written(rows.groupBy("mark").agg(F.count("*").alias("n")).where(
+        "n > 1").select("mark"), "mix-repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("copy", F.lit(0).cast("long"))
+    here = F.shiftright("place", 33).alias("part")  # which task numbered the row
+    few = rows.join(repeated, "mark", "left_semi").withColumn("part", here)
+    earlier = Window.partitionBy("mark").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = few.groupBy("mark", "part").agg(F.count("*").alias("n")).select(
+        "mark", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    own = Window.partitionBy("mark", "part").orderBy("place")
+    counted = few.withColumn("within", F.row_number().over(own) - 1).join(
+        before, ["mark", "part"]).withColumn("copy", F.col("before") + F.col("within"))
+    return rows.join(repeated, "mark", "left_anti").withColumn(
+        "copy", F.lit(0).cast("long")).unionByName(counted.drop("part", "before", "within"))
+
+
 def mix(
     docs: DataFrame, size: Column, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
     most: int = MOST_COPIES, seed: int = SEED,
@@ -129,49 +148,57 @@ def mix(
     than ``most`` copies. Documents of size 0 are drawn one by one. A null source is a
     source of its own. Order and draws hang on the rows' contents, so reruns agree; equal
     rows are drawn separately and may differ. No rows give no rows.
+
+    Only sizes and sources go through the rounding; texts wait in a written table.
     """
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    rows = docs.withColumn("_size", F.coalesce(size, F.lit(0)).cast("long")).select(*own, "_size")
+    held = written(docs.select(
+        F.struct(*own).alias("row"), "source",
+        F.coalesce(size, F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(F.lit(seed), *own).alias("mark"),
+        F.monotonically_increasing_id().alias("place")), "mix-rows")
+    rows = _numbered(held.select("place", "source", "size", "mark")).withColumn(
+        "mark", F.xxhash64("mark", "size", "copy")).drop("copy")
     sources = written(source_targets(
-        rows.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("_rows")),
+        rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")),
         weights, share, most).withColumn(
-        "_buckets", F.ceil(F.col("_rows") / BUCKET_ROWS).cast("long")), "mix-sources")
-    most_buckets = sources.agg(F.max("_buckets")).first()[0] or 1
+        "buckets", F.ceil(F.col("rows") / BUCKET_ROWS).cast("long")), "mix-sources")
+    most_buckets = sources.agg(F.max("buckets")).first()[0] or 1
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    table = sources.withColumn("_rate", rate).withColumnRenamed("source", "_source").drop("_rows")
-    chance = F.col("_rate") - F.floor("_rate")
-    uniform = F.pmod(F.xxhash64(F.lit("empty"), F.lit(seed), "_mark"), F.lit(1 << 30)) / (1 << 30)
+    table = sources.withColumn("rate", rate).withColumnRenamed("source", "of").drop("rows")
+    chance = F.col("rate") - F.floor("rate")
+    uniform = F.pmod(F.xxhash64(F.lit("empty"), F.lit(seed), "mark"), F.lit(1 << 30)) / (1 << 30)
     rows = (
-        rows.join(table, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_mark", F.xxhash64(F.lit(seed), *own, "_size"))
-        .withColumn("_part", F.when(F.col("_size") > 0, chance).otherwise(
+        rows.join(table, F.col("source").eqNullSafe(F.col("of")))
+        .withColumn("part", F.when(F.col("size") > 0, chance).otherwise(
             (uniform < chance).cast("double")))
-        .withColumn("_bucket", F.pmod(F.xxhash64(F.lit("bucket"), "_mark"), F.col("_buckets")))
-        .drop("_source", "_buckets")
+        .withColumn("bucket", F.pmod(F.xxhash64(F.lit("bucket"), "mark"), F.col("buckets")))
+        .select("place", "source", "size", "mark", "part", "bucket", "rate", "source_size", "target")
     )
     last = most_buckets == 1
     rounded = written(
-        rows.groupBy("source", "_bucket").applyInArrow(_rounder(0, last, seed), rows.schema), "mix")
+        rows.groupBy("source", "bucket").applyInArrow(_rounder(0, last, seed), rows.schema), "mix")
     if not last:
-        left = rounded.filter("_part > 0 and _part < 1").select(
-            "source", "_bucket", "_part", "_size", F.lit(0).cast("long").alias("_node"),
-            F.col("_bucket").alias("_mark")).withColumn("_node", F.col("_bucket"))
+        left = rounded.filter("part > 0 and part < 1").select(
+            "source", "bucket", "part", "size", F.col("bucket").alias("node"),
+            F.col("bucket").alias("mark"))
         done, levels = None, max(1, math.ceil(math.log(most_buckets, FAN_IN) - 1e-9))
         for level in range(1, levels + 1):
-            left = left.withColumn("_node", F.floor(F.col("_node") / FAN_IN))
-            left = written(left.groupBy("source", "_node").applyInArrow(
+            left = left.withColumn("node", F.floor(F.col("node") / FAN_IN))
+            left = written(left.groupBy("source", "node").applyInArrow(
                 _rounder(level, level == levels, seed), left.schema), f"mix-level{level}")
-            whole = left.filter("not (_part > 0 and _part < 1)")
+            whole = left.filter("not (part > 0 and part < 1)")
             done = whole if done is None else done.unionByName(whole)
-            left = left.filter("_part > 0 and _part < 1")
-        settled = done.select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"),
-                              F.col("_part").alias("_settled"))
+            left = left.filter("part > 0 and part < 1")
+        settled = done.select(F.col("source").alias("of"), F.col("bucket").alias("in_bucket"),
+                              F.col("part").alias("settled"))
         rounded = rounded.join(
             settled,
-            F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))
-            & (F.col("_part") > 0) & (F.col("_part") < 1), "left",
-        ).withColumn("_part", F.coalesce("_settled", "_part"))
-    return rounded.select(
-        *own, F.col("_size").alias("size"), "source_size", "target",
-        (F.floor("_rate") + F.round("_part")).cast("long").alias("copies"),
-    )
+            F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("in_bucket"))
+            & (F.col("part") > 0) & (F.col("part") < 1), "left",
+        ).withColumn("part", F.coalesce("settled", "part"))
+    copies = rounded.select(
+        "place", "source_size", "target",
+        (F.floor("rate") + F.round("part")).cast("long").alias("copies"))
+    return held.drop("source").join(copies, "place").select(
+        *(F.col("row").getField(c).alias(c) for c in own), "size", "source_size", "target", "copies")

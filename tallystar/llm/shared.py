@@ -2,7 +2,7 @@
 apart."""
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -62,3 +62,31 @@ def keyed(df: DataFrame, other: DataFrame, keys: Sequence[str] | Mapping[str, Co
     right = other.select(*(F.col(name).alias(f"of_{i}") for i, name in enumerate(own)))
     match = reduce(and_, (F.col(f"key_{i}").eqNullSafe(F.col(f"of_{i}")) for i in range(len(own))))
     return unpacked(left.join(right, match, how), df.columns)
+
+
+def once(rows: DataFrame, keys: Mapping[str, Column]) -> tuple[DataFrame, Callable]:
+    """``rows`` with those that agree in all ``keys`` once, the keys and ``times`` added; and
+    what gives rows with the keys back as often as they came.
+
+    Only rows that repeat are moved, and they are combined before; so a row that is a third
+    of a table is no hot key later.
+    """
+    names = list(keys)
+    # With expressions in place, columns of the same name stay as they are.
+    named = rows.withColumns({name: value for name, value in keys.items()})
+    repeated = written(named.groupBy(*names).agg(F.count("*").alias("times")).where(
+        "times > 1"), "repeated")
+    if repeated.isEmpty():
+        return named.withColumn("times", F.lit(1).cast("long")), lambda df: df
+    match = reduce(and_, (F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in names))
+    of = repeated.withColumnsRenamed({name: f"of_{name}" for name in names})
+    few = named.join(of, match).drop(*(f"of_{name}" for name in names)).dropDuplicates(names)
+    single = named.join(of, match, "left_anti").withColumn("times", F.lit(1).cast("long"))
+
+    def again(df: DataFrame) -> DataFrame:
+        counted = df.join(of, match, "left")
+        return counted.withColumn("copy", F.explode(F.sequence(
+            F.lit(1).cast("long"), F.coalesce("times", F.lit(1).cast("long"))))).drop(
+            "copy", "times", *(f"of_{name}" for name in names))
+
+    return single.unionByName(few), again

@@ -5,8 +5,17 @@ among it included. The risk of a classifier is prior * (loss of positives as pos
 max(0, loss of unlabelled as negative - prior * loss of positives as negative): the
 bracket is the risk on negatives that were never seen, and where it falls below zero, the
 step goes back instead, so that the classifier does not explain away the positives hidden
-in the unlabelled text. Several linear classifiers are trained with numpy on bounded
-samples and averaged; every document is scored.
+in the unlabelled text.
+
+The unlabelled side is all text outside the held-out fold, in sums that Spark adds up:
+
+- how many documents have each feature, which chooses features and bounds the prior;
+- the second moments of the chosen features, which is all that the squared loss of a linear
+  classifier needs, so several are trained with numpy without going through the text again;
+- how many documents get each value of their mean, over which a slope and an intercept are
+  trained in the same way under logistic loss, which makes the value a probability.
+
+Only the positives are a bounded sample. Every document is scored.
 """
 from __future__ import annotations
 
@@ -18,15 +27,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.llm.blocks import ALPHANUMERIC, LOWER, Block, blocks, column_of, word_hashes
+from tallystar.llm.shared import written
 
 BITS = 18
 STEM_BYTES = (4, 5, 6)
 POSITIVES = 5000
-UNLABELLED = 12000
+FEATURES = 768  # width of the linear classifiers
 CLASSIFIERS = 3
-STEPS = 300
-PENALTY = 1e-5
+STEPS = 600
+PENALTY = 1e-4
 LEAST_DEVIATIONS = 4.0
+BINS = 4096  # values of the linear mean that are told apart
+ROWS_AT_ONCE = 2048
+ADDERS = 32
 
 
 def fold(doc_id: Column, folds: int = 5) -> Column:
@@ -52,8 +65,8 @@ def features(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return (keys & np.uint64((1 << (BITS + 2)) - 1)).astype(np.int32), cuts
 
 
-def _sampled(docs: DataFrame, ids: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-    """Features and marks of the documents in ``ids`` (at most the stated sample sizes)."""
+def _found(docs: DataFrame) -> DataFrame:
+    """The features of each document, as bytes, beside its id."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,112 +75,237 @@ def _sampled(docs: DataFrame, ids: DataFrame) -> tuple[list[np.ndarray], np.ndar
                 found, cuts = features(block)
                 rows += [found[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.binary()), batch.column("positive")], ["found", "positive"])
+                [batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "found"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(extract, f"doc_id {kind}, found binary")
+
+
+def _frequencies(docs: DataFrame, wanted: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many documents have each wanted feature, and how many documents there are."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(len(wanted), np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for block in blocks(column_of(batch, "text")):
+                found, _ = features(block)
+                total += np.bincount(found, minlength=len(wanted))
+        at = np.flatnonzero(wanted & (total > 0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(at, -1)), pa.array(np.append(total[at], rows))], ["feature", "n"])
+
+    rows = docs.select("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(
+        F.sum("n").alias("n")).toArrow()  # at most one row a feature
+    at, n = (rows.column(c).to_numpy() for c in ("feature", "n"))
+    total = np.zeros(len(wanted), np.int64)
+    total[at[at >= 0]] = n[at >= 0]
+    return total, int(n[at < 0].sum())
+
 
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    table = sample.mapInArrow(extract, "found binary, positive boolean").toArrow()
-    found = [np.frombuffer(x, np.int32) for x in table.column("found").to_pylist()]
-    marks = np.array(table.column("positive").to_pylist(), bool)
-    order = sorted(range(len(found)), key=lambda i: (marks[i], found[i].tobytes()))
-    return [found[i] for i in order], marks[order]
+def _matrix(found: list[np.ndarray], place: np.ndarray, width: int) -> np.ndarray:
+    """One row of zeros and ones for each document, a last column of ones beside."""
+    out = np.zeros((len(found), width + 1))
+    out[:, width] = 1
+    for i, own in enumerate(found):
+        kept = place[own]
+        out[i, kept[kept >= 0]] = 1
+    return out
 
 
-class _Rows:
-    """Sparse 0/1 rows over the features kept."""
+def _chosen(docs: DataFrame, place: np.ndarray) -> DataFrame:
+    """The chosen features of each document, as a written table."""
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for block in blocks(column_of(batch, "text")):
+                found, cuts = features(block)
+                own = place[found]
+                rows += [x[x >= 0].astype(np.int16).tobytes() for x in np.split(own, cuts[1:-1])]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["kept"])
+
+    return written(docs.select("text").mapInArrow(extract, "kept binary"), "toxicity-features")
+
+
+def _added(table: DataFrame, shape: tuple[int, ...], part_of) -> np.ndarray:
+    """The sum over all rows of a table of arrays of one shape; ``part_of`` gives that of some
+    rows. Tasks add up their own, a few tasks add up those."""
+
+    def fold_rows(batches: Iterator[pa.RecordBatch], add) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for batch in batches:
+            total += add(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sum"])
 
-    def __init__(self, found: list[np.ndarray], kept: np.ndarray):
-        rows = [kept[x][kept[x] >= 0] for x in found]
-        self.lengths = np.array([len(x) for x in rows], np.int64)
-        self.columns = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        self.owner = np.repeat(np.arange(len(rows)), self.lengths)
+    def of_sums(batch: pa.RecordBatch) -> np.ndarray:
+        return sum((np.frombuffer(x).reshape(shape) for x in batch.column(0).to_pylist()),
+                   np.zeros(shape))
 
-    def times(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, weights[self.columns], len(self.lengths))
+    first = table.mapInArrow(lambda rows: fold_rows(rows, part_of), "sum binary")
+    second = first.repartition(ADDERS).mapInArrow(lambda rows: fold_rows(rows, of_sums), "sum binary")
+    return sum((np.frombuffer(r["sum"]).reshape(shape) for r in second.collect()), np.zeros(shape))
 
-    def transposed_times(self, values: np.ndarray, width: int) -> np.ndarray:
-        return np.bincount(self.columns, values[self.owner], width)
+
+def _kept_rows(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int16) for x in batch.column("kept").to_pylist()]
+
+
+def _moments(table: DataFrame, width: int) -> np.ndarray:
+    """Sum over all documents of the products of each two of their columns, ones included."""
+    same = np.arange(width)
+
+    def products(batch: pa.RecordBatch) -> np.ndarray:
+        rows, total = _kept_rows(batch), np.zeros((width + 1, width + 1))
+        for at in range(0, len(rows), ROWS_AT_ONCE):
+            own = _matrix(rows[at:at + ROWS_AT_ONCE], same, width)
+            total += own.T @ own
+        return total
+
+    return _added(table, (width + 1, width + 1), products)
+
+
+def _values(rows: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """What a linear classifier gives documents; its last weight is the intercept."""
+    lengths = np.array([len(r) for r in rows], np.int64)
+    sums = np.append(0.0, np.cumsum(weights[np.concatenate(rows)] if len(rows) else []))
+    ends = np.cumsum(lengths)
+    return sums[ends] - sums[ends - lengths] + weights[-1]
+
+
+def _bins(values: np.ndarray) -> np.ndarray:
+    """Bins of values from -4 to 4, what lies beyond in the last ones."""
+    return np.clip(((values + 4) * (BINS / 8)).astype(np.int64), 0, BINS - 1)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_non_negative(positive: _Rows, unlabelled: _Rows, prior: float, width: int,
-                     seed: int, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a linear classifier with the least non-negative risk
-    under logistic loss, by full-batch Adam over a bootstrap of either sample."""
-    rng = np.random.RandomState(seed)
-    draw = [rng.multinomial(len(x.lengths), np.full(len(x.lengths), 1 / len(x.lengths)))
-            / len(x.lengths) for x in (positive, unlabelled)]
-    weights, bias = np.zeros(width), float(np.log(prior / (1 - prior)))
-    first, second = np.zeros(width + 1), np.zeros(width + 1)
+def _descend(gradient_of, width: int, steps: int, rate: float) -> np.ndarray:
+    """Full-batch Adam from zero."""
+    weights, first, second = np.zeros(width), np.zeros(width), np.zeros(width)
     for step in range(1, steps + 1):
-        score_p, score_u = positive.times(weights) + bias, unlabelled.times(weights) + bias
-        as_negative = (draw[1] * np.logaddexp(0, score_u)).sum() - prior * (
-            draw[0] * np.logaddexp(0, score_p)).sum()
-        pull_u = draw[1] * _sigmoid(score_u)
-        pull_p = -prior * draw[0] * _sigmoid(score_p)
-        if as_negative >= 0:
-            pull_p = pull_p - prior * draw[0] * _sigmoid(-score_p)
-        else:
-            pull_p, pull_u = -pull_p, -pull_u
-        gradient = np.append(
-            positive.transposed_times(pull_p, width) + unlabelled.transposed_times(pull_u, width)
-            + PENALTY * weights, pull_p.sum() + pull_u.sum())
+        gradient = gradient_of(weights)
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
-        change = 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-        weights, bias = weights - change[:-1], bias - change[-1]
-    return weights, bias
+        weights = weights - rate * (first / (1 - 0.9**step)) / (
+            np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+    return weights
+
+
+def squared_risk(weights: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float):
+    """Positive and negative part of the risk under squared loss, from mean second moments
+    whose last row are the means, and their gradients."""
+    p, u = positive @ weights, unlabelled @ weights
+    as_positive = 1 - 2 * p[-1] + weights @ p
+    p_negative, u_negative = 1 + 2 * p[-1] + weights @ p, 1 + 2 * u[-1] + weights @ u
+    return (prior * as_positive / 4, (u_negative - prior * p_negative) / 4,
+            prior * (p - positive[-1]) / 2,
+            (u + unlabelled[-1] - prior * (p + positive[-1])) / 2)
+
+
+def logistic_risk(line: np.ndarray, values: np.ndarray, positive: np.ndarray,
+                  unlabelled: np.ndarray, prior: float):
+    """The same under logistic loss for slope and intercept over the shares of values."""
+    score = line[0] * values + line[1]
+    chance = _sigmoid(score)
+    loss, anti = np.logaddexp(0, score), np.logaddexp(0, -score)
+    pull_p, pull_n = prior * positive * (chance - 1), (unlabelled - prior * positive) * chance
+    return (prior * (positive * anti).sum(), ((unlabelled - prior * positive) * loss).sum(),
+            np.array([pull_p @ values, pull_p.sum()]), np.array([pull_n @ values, pull_n.sum()]))
+
+
+def non_negative(risk, penalty: float):
+    """The gradient to go by: of the whole risk, and back where its negative part is below
+    zero, which no classifier's can be."""
+    def gradient(weights: np.ndarray) -> np.ndarray:
+        _, negative, pull_p, pull_n = risk(weights)
+        return (pull_p + pull_n if negative >= 0 else -pull_n) + penalty * weights
+    return gradient
+
+
+def estimated_prior(with_p: np.ndarray, n_p: int, with_u: np.ndarray, n_u: int) -> float:
+    """The largest share of positives that the unlabelled text leaves room for: any feature
+    is at least as frequent there as the prior times its frequency among positives. Only
+    features that many positives have speak."""
+    common = with_p >= max(3, 0.2 * n_p)
+    room = (with_u[common] + 1) / (n_u + 1) / (with_p[common] / n_p)
+    return float(np.clip(room.min() if len(room) else 0.5, 1 / (n_u + 1), 0.5))
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
-          unlabelled: int = UNLABELLED) -> tuple[np.ndarray, float]:
-    """Train on documents outside fold 0: at most ``positives`` toxic and ``unlabelled``
-    other ones, taken by hash of their ids. The class prior is the share of toxic rows
-    among all labelled rows outside fold 0. Only features whose share among the positives
-    is several standard deviations above that among the unlabelled are kept. Without
-    positives every document gets the prior."""
-    known = labels.filter(F.coalesce(fold(F.col("doc_id")) != 0, F.lit(False))).groupBy(
-        "doc_id").agg(F.max("toxic").alias("toxic"))
+          prior: float | None = None) -> tuple[np.ndarray, float]:
+    """Weights of all features and intercept, learnt from documents outside fold 0: at most
+    ``positives`` toxic ones, taken by hash of their ids, and all as unlabelled.
+
+    ``prior`` is the share of toxic ones among those; by default their share among labelled
+    rows that also name clean ones, and without clean ones an estimate from the text. Only
+    features whose share among the positives is several standard deviations above that in
+    all text are kept, the ``FEATURES`` furthest of them. Without positives all scores are
+    near 0."""
+    outside = F.coalesce(fold(F.col("doc_id")) != 0, F.lit(False))
+    known = labels.filter(outside).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, toxic = known.agg(F.count("toxic"), F.sum("toxic")).first()
     weights = np.zeros(1 << (BITS + 2), np.float32)
-    prior = (toxic or 0) / n if n else 0.0
-    if not toxic or toxic == n:
-        return weights, -8.0 if not toxic else 8.0
+    text = docs.filter(outside)
     mark = F.xxhash64(F.lit("toxicity"), "doc_id")
-    yes = known.filter("toxic = 1").orderBy(mark, "doc_id").limit(positives).select(
-        "doc_id", F.lit(True).alias("positive"))
-    other = docs.filter(F.coalesce(fold(F.col("doc_id")) != 0, F.lit(False))).select(
-        "doc_id").orderBy(mark, "doc_id").limit(unlabelled).distinct().select(
-        "doc_id", F.lit(False).alias("positive"))
-    found, marks = _sampled(docs, yes.unionByName(other))
-    if marks.all() or not marks.any():
+    # The bound on the positives bounds what is broadcast and brought to the driver.
+    yes = known.filter("toxic = 1").orderBy(mark, "doc_id").limit(positives).select("doc_id")
+    sample = _found(text.select("doc_id", "text").join(F.broadcast(yes), "doc_id")).toArrow()
+    found = sorted(sample.column("found").to_pylist())
+    found = [np.frombuffer(x, np.int32) for x in found]
+    if not toxic or not any(len(x) for x in found):
+        return weights, -8.0
+    n_p = len(found)
+    with_p = np.bincount(np.concatenate(found), minlength=len(weights))
+    with_u, n_u = _frequencies(text, with_p >= min(3, n_p))
+    if prior is None:
+        prior = toxic / n if toxic < n else estimated_prior(with_p, n_p, with_u, n_u)
+    share = (with_p + with_u + 1.0) / (n_p + n_u + 2.0)
+    spread = np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
+    gain = (with_p / n_p - with_u / n_u) / spread
+    gain[with_p < min(3, n_p)] = 0
+    best = np.argsort(-gain, kind="stable")[:FEATURES]
+    chosen = np.sort(best[gain[best] > LEAST_DEVIATIONS])
+    if not len(chosen):
         return weights, float(np.log(prior / (1 - prior)))
-    with_it = [np.bincount(np.concatenate([x for x, m in zip(found, marks, strict=True) if m == k]),
-                           minlength=len(weights)) for k in (True, False)]
-    n_yes, n_other = int(marks.sum()), int((~marks).sum())
-    share = (with_it[0] + with_it[1] + 1.0) / (len(marks) + 2.0)
-    spread = np.sqrt(share * (1 - share) * (1 / n_yes + 1 / n_other))
-    gain = with_it[0] / n_yes - with_it[1] / n_other
-    chosen = np.flatnonzero((gain > LEAST_DEVIATIONS * spread) & (with_it[0] >= 3))
-    kept = np.full(len(weights), -1, np.int32)
-    kept[chosen] = np.arange(len(chosen))
-    p = _Rows([x for x, m in zip(found, marks, strict=True) if m], kept)
-    u = _Rows([x for x, m in zip(found, marks, strict=True) if not m], kept)
-    fits = [fit_non_negative(p, u, prior, len(chosen), seed) for seed in range(CLASSIFIERS)]
-    weights[chosen] = np.mean([w for w, _ in fits], axis=0)
-    return weights, float(np.mean([b for _, b in fits]))
-
-
-def score_toxicity(docs: DataFrame, labels: DataFrame, **sample: int) -> DataFrame:
+    place = np.full(len(weights), -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    table = _chosen(text, place)
+    width = len(chosen)
+    unlabelled = _moments(table, width) / n_u
+    rows, rng = _matrix(found, place, width), np.random.RandomState(0)
+    fits = []
+    for _ in range(CLASSIFIERS):
+        draw = rng.multinomial(n_p, np.full(n_p, 1 / n_p)) / n_p
+        positive = rows.T @ (rows * draw[:, None])
+        fits.append(_descend(non_negative(
+            lambda w, p=positive: squared_risk(w, p, unlabelled, prior), PENALTY),
+            width + 1, STEPS, 0.02))
+    linear = np.mean(fits, axis=0)
+
+    def histogram(batch: pa.RecordBatch) -> np.ndarray:
+        return np.bincount(_bins(_values(_kept_rows(batch), linear)), minlength=BINS).astype(float)
+
+    in_bins = _added(table, (BINS,), histogram) / n_u
+    positive = np.bincount(_bins(rows @ linear), minlength=BINS) / n_p
+    middles = (np.arange(BINS) + 0.5) * (8 / BINS) - 4
+    slope, intercept = _descend(non_negative(
+        lambda line: logistic_risk(line, middles, positive, in_bins, prior), 1e-6),
+        2, 4 * STEPS, 0.05)
+    weights[chosen] = slope * linear[:-1]
+    return weights, float(slope * linear[-1] + intercept)
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """``doc_id``, ``held_out`` (fold 0), ``score`` (0 to 1) and ``predicted`` of every row.
 
     Only texts are scored; labels, language and source are not looked at. Null and empty
     texts get the score of a text without words. Repeated rows get equal scores. Labels
     without a document and labels or documents without an id are not learnt from.
     """
-    weights, bias = train(docs, labels, **sample)
+    weights, bias = train(docs, labels, **how)
     model = docs.sparkSession.sparkContext.broadcast((weights, bias))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
