@@ -1,42 +1,45 @@
 """Language-model scores from a probabilistic suffix tree over bytes.
 
 A text is spelled as its lower-case words, each followed by a space, and an end mark. The
-tree holds contexts of up to six bytes. A context is counted only if the shorter one
-inside it is frequent, level by level over the whole corpus, and it is kept if the bytes
-that follow it diverge significantly from what its longest kept suffix predicts. What
-follows a context is smoothed towards that suffix. To score, an automaton over the kept
-contexts always stands in the longest one that the text so far ends in.
-
-The unigram figures beside the score (how often each word was seen) come from exact
-counts over the whole corpus: every chunk of documents sends its distinct words to where
-they are added up and gets back the totals of those that other chunks have too.
+tree holds contexts of up to ``DEPTH`` bytes. A context seen ``LEAST_COUNT`` times is kept
+if the bytes that follow it diverge significantly from what its longest kept suffix
+predicts; nothing else prunes, at any corpus size. What follows a context is smoothed
+towards that suffix. A byte's probability is that of the longest kept context before it.
+
+The tree is never in one place. Every chunk of documents sends its distinct stretches of a
+context and the byte after it, with their counts in the texts learnt from, to where the
+last ``TOP + 1`` bytes of the context are dealt: with all longer contexts that end so, a
+task has a whole branch of the tree. It grows the branch, and answers each stretch with its
+probability. Shorter contexts than a branch's root, at most 256 ** ``TOP``, are counted
+first and broadcast. Chunks go to a branch in groups that are added up on the way, so a
+frequent branch gets distinct stretches, not all chunks' ones.
+
+The unigram figures beside the score (how often each word was seen) come from exact counts
+over the whole corpus, exchanged in the same way.
 """
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.blocks import (
-    BLOCK_BYTES, LOWER, VISIBLE, Block, blocks, column_of, mixed, word_hashes,
-)
-from tallystar.llm.shared import written
+from tallystar.llm.blocks import LOWER, VISIBLE, Block, blocks, column_of, mixed, word_hashes
+from tallystar.llm.shared import once, written
 
-DEPTH = 7
-LEAST_SHARE = 1e-5
+DEPTH = 6
+TOP = 2
 LEAST_COUNT = 12
-FIRST_LEVELS = 3
-CHUNK_BYTES = 16 << 20
-LANE = 512
-FILTER_BITS = 22
-WAITING = 1 << 21
-SCORED_BYTES = 1 << 20
+CHUNK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
+TEAM_CHUNKS = 64
 SPACE, END, PAD = 0x20, 0x0A, 0x00
 
+_EIGHT = np.uint64(8)
+
 
 def spelled(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All documents as bytes, each after ``DEPTH`` pads; where each begins and ends, and
@@ -56,230 +59,126 @@ def spelled(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return out, heads, heads + sizes, at + lengths + 1
 
 
-def _recent(out: np.ndarray) -> np.ndarray:
-    """The eight bytes up to each position, the newest lowest."""
-    key = out.astype(np.uint64)
-    for step in (1, 2, 4):
-        key[step:] |= key[:-step] << np.uint64(8 * step)
-    return key
-
-
-def _slot(contexts: np.ndarray) -> np.ndarray:
-    return (mixed(contexts) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def stretches(out: np.ndarray) -> np.ndarray:
+    """At each place the ``DEPTH`` bytes before it, the nearest highest, and its own lowest."""
+    keys = out.astype(np.uint64)
+    for back in range(1, DEPTH + 1):
+        keys[back:] |= out[:-back].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - back))
+    return keys
 
 
-def _low(keys: np.ndarray, count: int) -> np.ndarray:
-    return keys & np.uint64((1 << (8 * count)) - 1)
+def _real(out: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Which places are not pads."""
+    real = np.ones(len(out), bool)
+    real[(heads[:, None] - np.arange(1, DEPTH + 1)).ravel()] = False
+    return real
 
 
-def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([k for k, _ in parts])
-    counts = np.concatenate([c for _, c in parts])
+def _distinct(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    if not len(keys):
-        return keys, counts
-    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[heads], np.add.reduceat(counts, heads)
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))[:len(keys)]
+    return keys[heads], np.add.reduceat(counts, heads) if len(heads) else counts
 
 
-def _context_heads(keys: np.ndarray) -> np.ndarray:
-    """Where each context begins among sorted (context, next byte) keys."""
-    if not len(keys):
-        return np.zeros(0, np.int64)
-    return np.flatnonzero(np.append(True, np.diff(keys >> np.uint64(8)) != 0))
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers, compressed byte by byte: most of their high bytes are alike."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return len(values).to_bytes(8, "little") + pa.compress(
+        planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _dealt(group: np.ndarray, parts: int, *arrays: np.ndarray) -> Iterator[tuple]:
-    """Split arrays by ``group`` (0 to ``parts`` - 1); as bytes."""
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(parts + 1))
-    for k in range(parts):
-        if cuts[k] < cuts[k + 1]:
-            rows = order[cuts[k]:cuts[k + 1]]
-            yield k, *(a[rows].tobytes() for a in arrays)
+def _unpack(packed: bytes, kind: type) -> np.ndarray:
+    width, count = np.dtype(kind).itemsize, int.from_bytes(packed[:8], "little")
+    planes = np.frombuffer(pa.decompress(
+        packed[8:], decompressed_size=width * count, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, count).T).view(kind).ravel()
 
 
-def _grams(docs: DataFrame, depths: tuple[int, ...], inner: np.ndarray | None, parts: int) -> DataFrame:
-    """Counts of (context, next byte) for the given depths, added up within each task.
+def _pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending numbers as differences."""
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
 
-    ``inner`` holds the frequent contexts one byte shorter than the only depth asked for;
-    a context that has none at either end is not counted.
-    """
-    known = None
-    if inner is not None:
-        known = np.zeros(1 << FILTER_BITS, bool)
-        known[_slot(inner)] = True
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        deepest = max(depths)
-        sums: list[tuple[np.ndarray, np.ndarray]] = []
-        waiting: list[np.ndarray] = []
-
-        def add_up() -> None:
-            if waiting:
-                keys = np.sort(np.concatenate(waiting))
-                heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))[:len(keys)]
-                sums.append((keys[heads], np.diff(np.append(heads, len(keys)))))
-                waiting.clear()
-            if len(sums) >= 8:
-                sums[:] = [_added(sums)]
 
-        for batch in batches:
-            for block in blocks(column_of(batch, "text")):
-                out, heads, _, _ = spelled(block)
-                real = np.ones(len(out), bool)
-                real[(heads[:, None] - np.arange(1, DEPTH + 1)).ravel()] = False
-                own = _recent(out)[real]
-                if known is not None:
-                    newest = _low(own >> np.uint64(8), deepest - 1)
-                    own = own[known[_slot(newest)]]
-                    own = own[known[_slot(_low(own >> np.uint64(16), deepest - 1))]]
-                waiting.append(_low(own, deepest + 1))
-                if sum(map(len, waiting)) > WAITING:
-                    add_up()
-        add_up()
-        rows = []
-        for d in depths if sums else ():  # shorter contexts add up longer ones
-            found, counts = _added([(_low(k, d + 1), c) for k, c in sums])
-            group = (mixed((found >> np.uint64(8)) + np.uint64(d)) % np.uint64(parts)).astype(
-                np.int64)
-            rows += [(d, *row) for row in _dealt(group, parts, found, counts)]
-        yield pa.RecordBatch.from_pylist(
-            [dict(zip(("depth", "part", "keys", "counts"), row, strict=True)) for row in rows],
-            pa.schema([("depth", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()),
-                       ("counts", pa.binary())]))
-
-    return docs.select("text").mapInArrow(
-        count, "depth int, part int, keys binary, counts binary")
-
-
-def _frequent(grams: DataFrame, least: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Counts of all contexts seen at least ``least`` times, by depth. There are at most
-    1 / ``LEAST_SHARE`` of them at each depth, which bounds what the driver gets."""
+def _unpack_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(packed, np.uint64), dtype=np.uint64)
 
-    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        keys, counts = _added([
-            (np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)) for k, c in zip(
-                table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True)])
-        heads = _context_heads(keys)
-        sums = np.add.reduceat(counts, heads)
-        often = np.repeat(sums >= least, np.diff(np.append(heads, len(keys))))
-        return pa.table({"depth": pa.array([key[0].as_py()], pa.int32()),
-                         "keys": [keys[often].tobytes()], "counts": [counts[often].tobytes()]})
-
-    rows = grams.groupBy("depth", "part").applyInArrow(
-        add, "depth int, keys binary, counts binary").collect()
-    found = {}
-    for d in {row.depth for row in rows}:
-        found[d] = _added([(np.frombuffer(row["keys"], np.uint64),
-                            np.frombuffer(row["counts"], np.int64))
-                           for row in rows if row.depth == d])
-    return found
-
-
-class SuffixTree:
-    """Kept contexts as an automaton: ``step[state, symbol]`` and ``log10[state, symbol]``."""
-
-    def __init__(self, counts: dict[int, tuple[np.ndarray, np.ndarray]]):
-        root = np.zeros(256)
-        if 0 in counts:
-            root[counts[0][0].astype(np.int64)] = counts[0][1]
-        chance = (root + 0.5) / (root.sum() + 128.0)
-        kept: dict[bytes, np.ndarray] = {b"": chance}
-        for depth in range(1, DEPTH + 1):
-            keys, sums = counts.get(depth, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
-            heads = _context_heads(keys)
-            for a, b in zip(heads, np.append(heads[1:], len(keys))[:len(heads)], strict=True):
-                context = int(keys[a] >> np.uint64(8)).to_bytes(depth, "big")
-                symbols = (keys[a:b] & np.uint64(255)).astype(np.int64)
-                own = sums[a:b].astype(float)
-                shorter = next(kept[context[i:]] for i in range(1, depth + 1)
-                               if context[i:] in kept)
-                total = own.sum()
-                diverges = 2 * (own * np.log(own / total / shorter[symbols])).sum()
-                if diverges > 20 + 2 * len(symbols):
-                    chance = shorter * len(symbols)
-                    chance[symbols] += own
-                    kept[context] = chance / (total + len(symbols))
-        states = sorted({c[:i] for c in kept for i in range(len(c) + 1)},
-                        key=lambda s: (len(s), s))
-        number = {s: i for i, s in enumerate(states)}
-        used = np.flatnonzero(root > 0)
-        used = np.union1d(used, [PAD])
-        self.symbol = np.zeros(256, np.int32)  # symbol 0: any byte that was never seen
-        self.symbol[used] = np.arange(1, len(used) + 1)
-        width = len(used) + 1
-        unseen = int(np.setdiff1d(np.arange(256), used)[0]) if len(used) < 256 else int(used[0])
-        columns = np.append(unseen, used)
-        self.step = np.zeros((len(states), width), np.int32)
-        self.log10 = np.zeros((len(states), width), np.float32)
-        fail = np.zeros(len(states), np.int64)
-        children: dict[int, list[tuple[int, int]]] = {}
-        for s in states[1:]:
-            children.setdefault(number[s[:-1]], []).append((int(self.symbol[s[-1]]), number[s]))
-        for i, s in enumerate(states):  # shorter ones first
-            if s:
-                self.step[i] = self.step[fail[i]]
-            for symbol, child in children.get(i, ()):
-                fail[child] = self.step[fail[i], symbol] if s else 0
-                self.step[i, symbol] = child
-            self.log10[i] = (np.log10(kept[s])[columns] if s in kept else self.log10[fail[i]])
-        self.contexts = len(kept)
-
-    def running_log10(self, out: np.ndarray) -> np.ndarray:
-        """Sums of the log10 probabilities of all bytes before each place. The bytes are
-        walked in lanes of equal length; a lane begins ``DEPTH`` bytes early, after which
-        its state is the right one."""
-        symbols = self.symbol[out]
-        lanes = max(1, -(-len(out) // LANE))
-        padded = np.full(DEPTH + lanes * LANE, self.symbol[PAD], np.int32)
-        padded[DEPTH:DEPTH + len(out)] = symbols
-        starts = np.arange(lanes) * LANE
-        width = self.step.shape[1]
-        step, log10 = self.step.ravel(), self.log10.ravel()
-        state = np.zeros(lanes, np.int64)
-        chances = np.zeros((LANE, lanes), np.float32)
-        for t in range(DEPTH + LANE):
-            at = state * width + padded[starts + t]
-            if t >= DEPTH:
-                chances[t - DEPTH] = log10[at]
-            state = step[at].astype(np.int64)
-        return np.append(0.0, np.cumsum(chances.T.ravel(), dtype=np.float64))
-
-
-def train(docs: DataFrame, parts: int) -> SuffixTree:
-    """Learn from all rows of ``docs`` (``text``), one pass for the first levels and one
-    for each further level."""
-    grams = _grams(docs, tuple(range(FIRST_LEVELS + 1)), None, parts)
-    counts = _frequent(grams, LEAST_COUNT)
-    total = int(counts[0][1].sum()) if 0 in counts else 0
-    least = max(LEAST_COUNT, LEAST_SHARE * total)
-    for d in list(counts):
-        if d:
-            counts[d] = _pruned(*counts[d], least)
-    for d in range(FIRST_LEVELS + 1, DEPTH + 1):
-        inner = np.unique(counts[d - 1][0] >> np.uint64(8)) if d - 1 in counts else None
-        if inner is None or not len(inner):
-            break
-        counts.update(_frequent(_grams(docs, (d,), inner, parts), least))
-    return SuffixTree(counts)
-
-
-def _pruned(keys: np.ndarray, sums: np.ndarray, least: float):
-    if not len(keys):
-        return keys, sums
-    heads = _context_heads(keys)
-    often = np.repeat(np.add.reduceat(sums, heads) >= least,
-                      np.diff(np.append(heads, len(keys))))
-    return keys[often], sums[often]
-
-
-def _chunk_words(table: pa.Table, limit: int = BLOCK_BYTES) -> tuple[np.ndarray, np.ndarray, list]:
+
+def _branch(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part that the branch of each stretch is dealt to."""
+    return (mixed(keys >> np.uint64(8 * (DEPTH - TOP))) % np.uint64(parts)).astype(np.int64)
+
+
+def _cuts(part: np.ndarray, parts: int) -> list[tuple[int, slice]]:
+    """Slices of the parts that occur in an ascending array of parts."""
+    edges = np.searchsorted(part, np.arange(parts + 1))
+    return [(p, slice(edges[p], edges[p + 1])) for p in range(parts) if edges[p] < edges[p + 1]]
+
+
+# --- the tree ---------------------------------------------------------------------------
+
+
+def _shorter(codes: np.ndarray) -> np.ndarray:
+    """The same stretches without the farthest byte of their context."""
+    return ((codes >> np.uint64(16)) << _EIGHT) | (codes & np.uint64(255))
+
+
+def _followed(codes: np.ndarray, counts: np.ndarray, base: np.ndarray):
+    """Probabilities of sorted (context, byte) ``codes`` from their counts and from those the
+    next shorter contexts give (``base``), and which contexts are kept."""
+    if not len(codes):
+        return base, np.zeros(0, bool), codes
+    context = codes >> _EIGHT
+    heads = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+    sizes = np.diff(np.append(heads, len(codes)))
+    total = np.add.reduceat(counts, heads)
+    symbols = np.add.reduceat((counts > 0).astype(np.int64), heads)
+    each = np.repeat(total, sizes)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(counts > 0, counts * np.log(counts / each / base), 0.0)
+    divergence = 2 * np.add.reduceat(gain, heads)
+    keep = (total >= LEAST_COUNT) & (divergence > 20 + 2 * symbols)
+    weight = np.repeat(symbols, sizes)
+    smoothed = (counts + weight * base) / np.maximum(each + weight, 1)
+    return np.where(np.repeat(keep, sizes), smoothed, base), keep, context[heads]
+
+
+def grow(codes: np.ndarray, counts: np.ndarray, depth: int, root: int, base_of):
+    """Probability of each of sorted (context of ``depth`` bytes, byte) ``codes``, and the
+    kept contexts by their length. ``base_of`` gives the probabilities at ``root`` bytes."""
+    levels = [(codes, counts, None)]
+    for _ in range(depth - root - 1):
+        found, place = np.unique(_shorter(levels[-1][0]), return_inverse=True)
+        sums = np.bincount(place, levels[-1][1], len(found)).astype(np.int64)
+        levels.append((found, sums, place))
+    value = base_of(_shorter(levels[-1][0]))
+    kept = {}
+    for up in range(len(levels) - 1, -1, -1):
+        own, sums, _ = levels[up]
+        value, keep, contexts = _followed(own, sums, value)
+        kept[depth - up] = contexts[keep]
+        if up:
+            value = value[levels[up][2]]
+    return value, kept
+
+
+def top_of(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Probabilities after contexts of ``TOP`` bytes, for sorted distinct ``codes``."""
+    root = np.zeros(256)
+    np.add.at(root, (codes & np.uint64(255)).astype(np.int64), counts)
+    chance = (root + 0.5) / (root.sum() + 128.0)
+    return grow(codes, counts, TOP, 0, lambda short: chance[short.astype(np.int64)])[0]
+
+
+# --- what chunks exchange ---------------------------------------------------------------
+
+
+def _chunk_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list]:
     """Words of a chunk's documents: hashes end to end, bounds, and the blocks."""
     hashes, bounds, cut = [], [np.zeros(1, np.int64)], []
     at = 0
-    for block in blocks(column_of(table, "text"), limit):
+    for block in blocks(column_of(table, "text"), BLOCK_BYTES):
         starts, ends, own = block.words(VISIBLE)
         hashes.append(word_hashes(LOWER[block.data], starts, ends))
         bounds.append(own[1:] + at)
@@ -289,24 +188,117 @@ def _chunk_words(table: pa.Table, limit: int = BLOCK_BYTES) -> tuple[np.ndarray,
             np.concatenate(bounds), cut)
 
 
-def _word_counts(rows: DataFrame, parts: int) -> DataFrame:
-    """Each chunk's distinct words with their counts in its training documents."""
+GRAMS, WORDS, SHORT = range(3)
+SENT = "kind int, part int, chunk long, keys binary, counts binary"
+_SENT = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("chunk", pa.int64()),
+                   ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _sent(rows: DataFrame, parts: int) -> DataFrame:
+    """What each chunk sends: its distinct stretches by branch, its distinct words and its
+    counts of the shortest contexts, all with how often they were learnt."""
+
+    def send(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        chunk, out = key[0].as_py(), []
+        times = np.where(column_of(table, "learnt").to_numpy(zero_copy_only=False),
+                         column_of(table, "times").to_numpy(zero_copy_only=False), 0)
+        words, bounds, cut = _chunk_words(table)
+        found, counts = _distinct(words, np.repeat(times, np.diff(bounds)).astype(np.int64))
+        part = (found % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        for p, own in _cuts(part[order], parts):
+            out.append((WORDS, p, _pack_sorted(found[order][own]), _pack(counts[order][own])))
+        # Stretches that count alike are sorted together, which is quicker than sorting pairs.
+        alike: dict[int, list[np.ndarray]] = {}
+        for block in cut:
+            text, heads, tails, _ = spelled(block)
+            own = stretches(text)[_real(text, heads)]
+            weights = times[block.first:block.first + len(block)]
+            each = np.repeat(weights, tails - heads)
+            for weight in np.unique(weights):
+                alike.setdefault(int(weight), []).append(own[each == weight])
+        sums = []
+        for weight, found in alike.items():
+            own = np.sort(np.concatenate(found))
+            edges = np.flatnonzero(np.append(True, own[1:] != own[:-1]))[:len(own)]
+            sums.append((own[edges], weight * np.diff(np.append(edges, len(own)))))
+        keys, counts = _distinct(np.concatenate([k for k, _ in sums]),
+                                 np.concatenate([c for _, c in sums]).astype(np.int64))
+        part = _branch(keys, parts)
+        order = np.argsort(part, kind="stable")
+        for p, own in _cuts(part[order], parts):
+            out.append((GRAMS, p, _pack_sorted(keys[order][own]), _pack(counts[order][own])))
+        short = (keys >> np.uint64(8 * (DEPTH + 1 - TOP)) << _EIGHT) | (keys & np.uint64(255))
+        found, counts = _distinct(short, counts)
+        out.append((SHORT, -1, _pack_sorted(found), _pack(counts)))
+        kinds, part, keys, counts = zip(*out, strict=True)
+        return pa.table([kinds, part, [chunk] * len(out), keys, counts], schema=_SENT)
+
+    return rows.groupBy("chunk").applyInArrow(send, SENT)
+
+
+def _top(sent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shortest contexts with the bytes after them, and their probabilities."""
+
+    def spread(batches):
+        for batch in batches:
+            found, counts = _added(batch)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.astype(np.int64)), pa.array(counts)], ["code", "n"])
+
+    # At most 256 ** (TOP + 1) rows; about twenty thousand for text.
+    rows = sent.filter(F.col("kind") == SHORT).select("keys", "counts").mapInArrow(
+        spread, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    codes, counts = _distinct(rows.column("code").to_numpy().astype(np.uint64),
+                              rows.column("n").to_numpy().astype(np.int64))
+    return codes, top_of(codes, counts)
+
+
+def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of all rows and the sums of their counts."""
+    keys = [_unpack_sorted(k) for k in table.column("keys").to_pylist()]
+    counts = [_unpack(c, np.int64) for c in table.column("counts").to_pylist()]
+    return _distinct(np.concatenate(keys or [np.zeros(0, np.uint64)]),
+                     np.concatenate(counts or [np.zeros(0, np.int64)]))
 
-    def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        words, bounds, _ = _chunk_words(table)
-        learnt = np.repeat(column_of(table, "learnt").to_numpy(zero_copy_only=False),
-                           np.diff(bounds))
-        found, place = np.unique(words, return_inverse=True)
-        counts = np.bincount(place, learnt, len(found)).astype(np.int64)
-        dealt = list(_dealt((found % np.uint64(parts)).astype(np.int64), parts, found, counts))
+
+def _answers(grams: DataFrame, codes, values, parts: int) -> DataFrame:
+    """``chunk``, ``part`` and the log10 probabilities of the stretches it sent there. Teams of
+    chunks are added up before they meet at a branch, about as many as there are in a team."""
+    top = grams.sparkSession.sparkContext.broadcast((codes, values))
+    team = max(TEAM_CHUNKS, math.isqrt(parts))
+    grouped = grams.withColumn("team", F.floor(F.col("chunk") / team).cast("long"))
+
+    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        keys, counts = _added(table)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()),
+                         "team": pa.array([key[1].as_py()], pa.int64()),
+                         "keys": [_pack_sorted(keys)], "counts": [_pack(counts)]})
+
+    def learn(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        known, chance = top.value
+        keys, counts = _added(table)
+        value, _ = grow(keys, counts, DEPTH, TOP,
+                        lambda short: chance[np.searchsorted(known, short)])
+        logs = np.log10(value).astype(np.float32)
         return pa.table({
-            "part": pa.array([d[0] for d in dealt], pa.int32()),
-            "chunk": pa.array([key[0].as_py()] * len(dealt), pa.int64()),
-            "words": pa.array([d[1] for d in dealt], pa.binary()),
-            "counts": pa.array([d[2] for d in dealt], pa.binary())})
+            "part": table.column("part"), "team": table.column("team"),
+            "logs": [_pack(logs[np.searchsorted(keys, _unpack_sorted(own))])
+                     for own in table.column("keys").to_pylist()]})
+
+    def reply(key, ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        own = [_unpack_sorted(k) for k in ours.column("keys").to_pylist()]
+        every = np.unique(np.concatenate(own))
+        logs = _unpack(theirs.column("logs")[0].as_py(), np.float32)
+        return pa.table({
+            "chunk": ours.column("chunk"), "part": ours.column("part"),
+            "logs": [_pack(logs[np.searchsorted(every, k)]) for k in own]})
 
-    return rows.groupBy("chunk").applyInArrow(
-        count, "part int, chunk long, words binary, counts binary")
+    teams = grouped.groupBy("part", "team").applyInArrow(
+        add, "part int, team long, keys binary, counts binary")
+    learnt = teams.groupBy("part").applyInArrow(learn, "part int, team long, logs binary")
+    return grouped.groupBy("part", "team").cogroup(learnt.groupBy("part", "team")).applyInArrow(
+        reply, "chunk long, part int, logs binary")
 
 
 def _word_totals(counts: DataFrame) -> DataFrame:
@@ -315,8 +307,8 @@ def _word_totals(counts: DataFrame) -> DataFrame:
 
     def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         chunks = table.column("chunk").to_pylist()
-        words = [np.frombuffer(x, np.uint64) for x in table.column("words").to_pylist()]
-        counts = [np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()]
+        words = [_unpack_sorted(x) for x in table.column("keys").to_pylist()]
+        counts = [_unpack(x, np.int64) for x in table.column("counts").to_pylist()]
         found, place, times = np.unique(
             np.concatenate(words), return_inverse=True, return_counts=True)
         sums = np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64)
@@ -325,7 +317,7 @@ def _word_totals(counts: DataFrame) -> DataFrame:
         for chunk, own in zip(chunks, words, strict=True):
             index = place[at:at + len(own)]
             index = index[times[index] > 1]
-            rows.append((chunk, found[index].tobytes(), sums[index].tobytes(), 0, 0, 0))
+            rows.append((chunk, _pack_sorted(found[index]), _pack(sums[index]), 0, 0, 0))
             at += len(own)
         names = ("chunk", "words", "totals", "distinct", "tokens", "once")
         return pa.Table.from_pylist(
@@ -337,71 +329,101 @@ def _word_totals(counts: DataFrame) -> DataFrame:
         add, "chunk long, words binary, totals binary, distinct long, tokens long, once long")
 
 
+def word_log10(spelling: np.ndarray, known: np.ndarray, fresh: float) -> np.ndarray:
+    """log10 probabilities of words from those of their spelling: at every place for a word
+    it is another one than those learnt with probability ``fresh``, and else spelled out."""
+    return np.where(known, spelling + math.log10(1 - fresh), math.log10(fresh))
+
+
 def score_texts(docs: DataFrame, learnt: Column) -> DataFrame:
     """``doc_id``, ``learnt``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and
     ``score`` of every row; the rows for which ``learnt`` holds are learnt from.
 
     ``base_score`` is the smoothed unigram log10 probability of the words and the end.
     ``score`` is the tree's, over the same symbols: the words learnt, each spelled out, one
-    symbol for all other words, and the end. The other words' share is estimated by that
-    of the words seen once (Good and Turing). A null text is empty and still has
-    its end. Repeated rows count as often as they occur. If nothing is learnt, every byte
-    is equally likely. Other columns are not read.
+    symbol for all other words, and the end, all spelled out unless the next word is another
+    one. The other words' share is estimated by that of the words seen once (Good and
+    Turing). A null text is empty and still has its end. Repeated rows count as often as
+    they occur. If nothing is learnt, every byte is equally likely. Other columns are not read.
     """
-    rows = docs.select(
-        "doc_id", "text", F.coalesce(learnt, F.lit(False)).alias("learnt"))
+    rows = docs.select("doc_id", "text", F.coalesce(learnt, F.lit(False)).alias("learnt"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(size / CHUNK_BYTES))
-    tree = train(rows.filter("learnt"), parts)
-    model = docs.sparkSession.sparkContext.broadcast(
-        (tree.symbol, tree.step, tree.log10))  # at most DEPTH / LEAST_SHARE states
-    chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)))
-    totals = written(_word_totals(_word_counts(chunked, parts)), "word-totals")
-    distinct, tokens, once = totals.filter("chunk = -1").agg(
+    single, again = once(rows, {"doc_id": F.col("doc_id"), "learnt": F.col("learnt"),
+                                "one": F.xxhash64("text"), "two": F.xxhash64("text", F.lit(1))})
+    chunked = single.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)))
+    sent = written(_sent(chunked, parts), "suffix-tree-sent", compression="none")
+    codes, values = _top(sent)
+    totals = written(_word_totals(sent.filter(F.col("kind") == WORDS)), "word-totals")
+    distinct, tokens, seen_once = totals.filter("chunk = -1").agg(
         F.sum("distinct"), F.sum("tokens"), F.sum("once")).first()
-    fresh = ((once or 0) + 0.5) / ((tokens or 0) + 1.0)
+    fresh = ((seen_once or 0) + 0.5) / ((tokens or 0) + 1.0)
     ends = rows.filter("learnt").count()
     train_tokens = (tokens or 0) + ends
     scale = train_tokens + 0.5 * ((distinct or 0) + (ends > 0) + 1)
+    answers = _answers(sent.filter(F.col("kind") == GRAMS).drop("kind"), codes, values, parts)
 
     def score(key, ours: pa.Table, theirs: pa.Table) -> pa.Table:
-        walker = SuffixTree.__new__(SuffixTree)
-        walker.symbol, walker.step, walker.log10 = model.value
-        words, bounds, cut = _chunk_words(ours, SCORED_BYTES)  # many lanes at once
-        learnt_rows = column_of(ours, "learnt").to_numpy(zero_copy_only=False)
-        found, place = np.unique(words, return_inverse=True)
-        seen = np.bincount(place, np.repeat(learnt_rows, np.diff(bounds)), len(found))
-        shared = [np.frombuffer(x, np.uint64) for x in theirs.column("words").to_pylist()]
+        words, bounds, cut = _chunk_words(ours)
+        learnt_times = np.where(column_of(ours, "learnt").to_numpy(zero_copy_only=False),
+                                column_of(ours, "times").to_numpy(zero_copy_only=False), 0)
+        place, found = pd.factorize(words)
+        seen = np.bincount(place, np.repeat(learnt_times, np.diff(bounds)), len(found))
+        replies = theirs.to_pylist()
+        shared = [r for r in replies if r["words"] is not None]
         if shared:
-            sums = [np.frombuffer(x, np.int64) for x in theirs.column("totals").to_pylist()]
-            seen[np.searchsorted(found, np.concatenate(shared))] = np.concatenate(sums)
+            names = np.concatenate([_unpack_sorted(r["words"]) for r in shared])
+            order = np.argsort(found)
+            seen[order[np.searchsorted(found, names, sorter=order)]] = np.concatenate(
+                [_unpack(r["totals"], np.int64) for r in shared])
         logs = np.append(0.0, np.cumsum(np.log10((seen[place] + 0.5) / scale)))
         known = np.append(0, np.cumsum(seen[place] > 0))
         end = math.log10((ends + 0.5) / scale)
-        scores = np.zeros(ours.num_rows)
+
+        spellings, stretched = [], []
         for block in cut:
-            rows = slice(block.first, block.first + len(block))
+            text, heads, tails, word_ends = spelled(block)
+            real = _real(text, heads)
+            stretched.append(stretches(text)[real])
+            spellings.append((real, heads, tails, word_ends))
+        numbers, every = pd.factorize(np.concatenate(stretched))
+        del stretched
+        ascending = np.argsort(every)
+        order = ascending[np.argsort(_branch(every[ascending], parts), kind="stable")]
+        chance = np.empty(len(every), np.float32)
+        chance[order] = np.concatenate([_unpack(r["logs"], np.float32) for r in sorted(
+            (r for r in replies if r["logs"] is not None), key=lambda r: r["part"])])
+        logs_at, done = chance[numbers], 0
+        del numbers
+        scores = np.zeros(ours.num_rows)
+        for block, (real, heads, tails, word_ends) in zip(cut, spellings, strict=True):
             own = bounds[block.first:block.first + len(block) + 1]
-            out, heads, tails, word_ends = spelled(block)
-            total = walker.running_log10(out)
+            steps = np.zeros(len(real))
+            steps[real] = logs_at[done:done + np.count_nonzero(real)]
+            done += np.count_nonzero(real)
+            total = np.append(0.0, np.cumsum(steps))
             before = np.append(0, word_ends)[:-1]
             first = np.diff(own) > 0
             before[own[:-1][first] - own[0]] = heads[first]
-            word = np.where(seen[place[own[0]:own[-1]]] > 0,
-                            total[word_ends] - total[before] + math.log10(1 - fresh),
-                            math.log10(fresh))
+            word = word_log10(total[word_ends] - total[before],
+                              seen[place[own[0]:own[-1]]] > 0, fresh)
             sums = np.append(0.0, np.cumsum(word))[own - own[0]]
-            scores[rows] = np.diff(sums) + total[tails] - total[tails - 1]
+            scores[block.first:block.first + len(block)] = (
+                np.diff(sums) + total[tails] - total[tails - 1] + math.log10(1 - fresh))
         return pa.table({
             "doc_id": ours.column("doc_id"), "learnt": ours.column("learnt"),
+            "one": ours.column("one"), "two": ours.column("two"),
             "n_tokens": np.diff(bounds) + 1,
             "n_known": known[bounds[1:]] - known[bounds[:-1]] + int(ends > 0),
             "base_score": logs[bounds[1:]] - logs[bounds[:-1]] + end,
             "score": scores})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = chunked.groupBy("chunk").cogroup(
-        totals.filter("chunk >= 0").groupBy("chunk")).applyInArrow(
-        score, f"doc_id {kind}, learnt boolean, n_tokens long, n_known long, "
+    replies = answers.unionByName(
+        totals.filter("chunk >= 0").select("chunk", "words", "totals"), allowMissingColumns=True)
+    scored = chunked.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
+        score, f"doc_id {kind}, learnt boolean, one long, two long, n_tokens long, n_known long, "
                "base_score double, score double")
-    return scored.withColumn("train_tokens", F.lit(train_tokens).cast("long"))
+    return again(scored).select(
+        "doc_id", "learnt", "n_tokens", "n_known",
+        F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -1,9 +1,10 @@
 """The trained operators: language model, quality, toxicity."""
 import math
 import os
+import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -44,40 +45,118 @@ def test_base_scores(documents):
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
-def test_tree_and_walk(documents, monkeypatch):
+def spelled_out(text):
+    return b"\0" * suffix_tree.DEPTH + b"".join(w.encode() + b" " for w in re.findall(
+        r"[^\x20\x09-\x0D]+", low(text))) + b"\n"
+
+
+class Tree:
+    """The suffix tree by its definition: contexts as bytes, in dictionaries."""
+
+    def __init__(self, texts, least):
+        self.counts = defaultdict(Counter)
+        for text in texts:
+            out = spelled_out(text)
+            for i in range(suffix_tree.DEPTH, len(out)):
+                for depth in range(suffix_tree.DEPTH + 1):
+                    self.counts[out[i - depth:i]][out[i]] += 1
+        root = self.counts[b""]
+        total = sum(root.values())
+        self.kept = {b"": [(root[x] + .5) / (total + 128) for x in range(256)]}
+        for context in sorted(self.counts, key=len)[1:]:
+            own = self.counts[context]
+            n, base = sum(own.values()), self.after(context[1:])
+            gain = 2 * sum(c * math.log(c / n / base[x]) for x, c in own.items())
+            if n >= least and gain > 20 + 2 * len(own):
+                self.kept[context] = [
+                    (own[x] + len(own) * base[x]) / (n + len(own)) for x in range(256)]
+
+    def after(self, context):
+        while context not in self.kept:
+            context = context[1:]
+        return self.kept[context]
+
+
+def learnt(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 != 1
+
+
+@pytest.mark.parametrize("chunk, copies", [(1 << 20, 0), (600, 0), (600, 50)])
+def test_scores_against_a_tree_of_dictionaries(documents, monkeypatch, chunk, copies):
     monkeypatch.setattr(suffix_tree, "LEAST_COUNT", 3)
-    monkeypatch.setattr(suffix_tree, "LANE", 16)
-    docs = documents(corpus())
-    tree = suffix_tree.train(docs, 3)
-    assert tree.contexts > 10
-    unseen = 256 - (tree.step.shape[1] - 1)
-    chances = 10.0 ** tree.log10.astype(float)
-    assert np.allclose(chances[:, 1:].sum(axis=1) + unseen * chances[:, 0], 1, atol=1e-4)
-    block, = blocks(pa.array([t for _, t in corpus()], pa.string()))
-    out, heads, tails, _ = suffix_tree.spelled(block)
-    total = tree.running_log10(out)
-    for head, tail in list(zip(heads, tails))[::9]:
-        state, expected = 0, 0.0
-        for byte in [0] * suffix_tree.DEPTH + out[head:tail].tolist():
-            symbol = tree.symbol[byte]
-            step = tree.log10[state, symbol]
-            state, expected = tree.step[state, symbol], expected + float(step)
-        pads, state = 0.0, 0
-        for _ in range(suffix_tree.DEPTH):
-            pads += float(tree.log10[state, tree.symbol[0]])
-            state = tree.step[state, tree.symbol[0]]
-        assert total[tail] - total[head] == pytest.approx(expected - pads, abs=1e-3)
-
-
-def test_counts_of_contexts(documents):
-    docs = documents(corpus())
-    counts = suffix_tree._frequent(suffix_tree._grams(docs, (0, 1, 2, 3), None, 4), 1)
-    spelled = [b"\0" * 7 + b"".join(w.encode() + b" " for w in re.findall(
-        r"[^\x20\x09-\x0D]+", low(t))) + b"\n" for _, t in corpus()]
-    for depth in range(4):
-        brute = Counter(s[i - depth:i + 1] for s in spelled for i in range(7, len(s)))
-        keys, sums = counts[depth]
-        assert {int(k).to_bytes(depth + 1, "big"): int(n) for k, n in zip(keys, sums)} == brute
+    monkeypatch.setattr(suffix_tree, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(suffix_tree, "TEAM_CHUNKS", 2)
+    rows = corpus() + [corpus()[3]] * copies
+    tree = Tree([t for d, t in rows if learnt(d)], 3)
+    assert len(tree.kept) > 30 and max(map(len, tree.kept)) == suffix_tree.DEPTH
+    seen = Counter(w for d, t in rows if learnt(d)
+                   for w in re.findall(r"[^\x20\x09-\x0D]+", low(t)))
+    fresh = (sum(n == 1 for n in seen.values()) + .5) / (sum(seen.values()) + 1)
+
+    def score(text):
+        out, at = spelled_out(text), suffix_tree.DEPTH
+        total = 0.0
+        for word in [*re.findall(r"[^\x20\x09-\x0D]+", low(text)), None]:
+            end = at + (1 if word is None else len(word.encode()) + 1)
+            if word is None or seen[word]:
+                total += math.log10(1 - fresh) + sum(
+                    math.log10(tree.after(out[i - suffix_tree.DEPTH:i])[out[i]])
+                    for i in range(at, end))
+            else:
+                total += math.log10(fresh)
+            at = end
+        return total
+
+    got = suffix_tree.score_texts(documents(rows), toxicity.fold(F.col("doc_id")) != 1).collect()
+    expected = sorted((str(d), score(t)) for d, t in rows)
+    found = sorted((str(r.doc_id), r.score) for r in got)
+    assert [d for d, _ in found] == [d for d, _ in expected]
+    assert [s for _, s in found] == pytest.approx([s for _, s in expected], abs=1e-3)
+    for context in list(tree.kept)[::7]:
+        assert sum(tree.kept[context]) == pytest.approx(1)
+
+
+def test_all_that_can_follow_adds_up_to_one(documents, monkeypatch):
+    """At the start of a text: the end, every known word and one unknown word."""
+    monkeypatch.setattr(suffix_tree, "LEAST_COUNT", 2)
+    words = ["ab", "abc", "b", "ca"]
+    rows = [(i, words[i % 4]) for i in range(400)] + [(500, "once"), (501, "seen")]
+    asked = [(1000 + i, t) for i, t in enumerate(["", *words, "once", "seen", "zzz"])]
+    learn = F.col("doc_id") < 1000
+    got = {r.doc_id: r for r in suffix_tree.score_texts(
+        documents(rows + asked), learn).collect()}
+    # Texts of one word go on with the end, which has a share of its own.
+    empty = 10 ** got[1000].score
+    unknown = (2 + .5) / (402 + 1)
+    known = [10 ** got[1000 + i].score for i in range(1, 7)]
+    assert empty + unknown + sum(known) <= 1 + 1e-6
+    assert empty + unknown + sum(known) > 0.9
+    # Words that cannot be told from the end by the model do not add to it.
+    rows = [(i, "") for i in range(300)] + [(300 + i, f"w{i}") for i in range(200)]
+    asked = [(1000, ""), (1001, "zzzz")]
+    got = {r.doc_id: 10 ** r.score for r in suffix_tree.score_texts(
+        documents(rows + asked), learn).collect()}
+    assert got[1000] + got[1001] <= 1
+
+
+def test_kept_contexts_grow_with_the_text():
+    """More text of the same kind keeps all contexts and finds further ones."""
+    rng = random.Random(1)
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    vocabulary = ["".join(rng.choices(syllables, k=rng.randint(2, 4))) for _ in range(4000)]
+    sizes = []
+    for n in (4000, 16000, 64000):
+        rng = random.Random(2)
+        text = " ".join(rng.choices(vocabulary, k=n))
+        block, = blocks(pa.array([text]), 1 << 30)
+        out, heads, _, _ = suffix_tree.spelled(block)
+        keys = suffix_tree.stretches(out)[suffix_tree._real(out, heads)]
+        keys, counts = np.unique(keys, return_counts=True)
+        _, kept = suffix_tree.grow(keys, counts, suffix_tree.DEPTH, 0, lambda short: np.full(
+            len(short), 1 / 256))
+        sizes.append({d: set(k.tolist()) for d, k in kept.items()})
+    totals = [sum(map(len, s.values())) for s in sizes]
+    assert totals[1] > 1.5 * totals[0] and totals[2] > 1.5 * totals[1]
 
 
 def test_nothing_to_learn(documents):
@@ -145,13 +224,97 @@ def test_toxicity_edges(spark, documents):
     assert toxicity.score_toxicity(documents([]).limit(0), labels).count() == 0
 
 
-def test_non_negative_risk_finds_hidden_positives():
-    rng = np.random.RandomState(0)
-    yes = [np.unique(rng.choice(10, 4)).astype(np.int32) for _ in range(200)]
-    no = [np.unique(rng.choice(np.arange(8, 30), 4)).astype(np.int32) for _ in range(300)]
-    hidden = [np.unique(rng.choice(10, 4)).astype(np.int32) for _ in range(100)]
-    kept = np.arange(30, dtype=np.int32)
-    weights, bias = toxicity.fit_non_negative(
-        toxicity._Rows(yes, kept), toxicity._Rows(no + hidden, kept), 0.25, 30, seed=0)
-    score = lambda rows: np.array([weights[r].sum() + bias for r in rows])
-    assert (score(hidden) > 0).mean() > 0.9 and (score(no) < 0).mean() > 0.9
+def test_only_positives_are_labelled(spark, documents):
+    """The setting the method is for: some confirmed toxic documents and other text."""
+    rng = random.Random(3)
+    plain = [f"word{i}" for i in range(60)]
+    bad = ["rotter", "vile", "scum", "louse"]
+    text = lambda k: " ".join(rng.choices(plain, k=20) + rng.sample(bad, k))
+    rows = [(i, text(2 if i < 120 else 0)) for i in range(700)]
+    labels = spark.createDataFrame(
+        [(i, 1, 1) for i in range(60)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_toxicity(documents(rows), labels).collect()}
+    assert sum(got[i].predicted for i in range(120)) >= 118
+    assert sum(got[i].predicted for i in range(120, 700)) <= 2
+    told = toxicity.score_toxicity(documents(rows), labels, prior=120 / 700).collect()
+    assert sum(r.predicted != (r.doc_id < 120) for r in told) <= 3
+
+
+def test_estimated_prior():
+    """No feature can be rarer in the text than among its share of positives."""
+    with_p, with_u = np.array([50, 40, 100, 1]), np.array([99, 200, 900, 1])
+    assert toxicity.estimated_prior(with_p, 100, with_u, 999) == pytest.approx(0.1 / 0.5)
+
+
+def dense(seed, rows, width):
+    rng = np.random.RandomState(seed)
+    x = np.hstack([(rng.rand(rows, width) < 0.3).astype(float), np.ones((rows, 1))])
+    return x, x.T @ x / rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_squared_risk_against_summing_over_documents(seed):
+    (p, moments_p), (u, moments_u) = dense(seed, 40, 6), dense(seed + 9, 90, 6)
+    weights, prior = np.random.RandomState(seed).randn(7), 0.3
+
+    def parts(w):
+        def loss(x, y):
+            return ((1 - y * (x @ w)) ** 2 / 4).mean()
+        return prior * loss(p, 1), loss(u, -1) - prior * loss(p, -1)
+
+    *risks, pull_p, pull_n = toxicity.squared_risk(weights, moments_p, moments_u, prior)
+    assert risks == pytest.approx(parts(weights))
+    for k in range(7):
+        step = np.eye(7)[k] * 1e-6
+        ahead, back = parts(weights + step), parts(weights - step)
+        assert pull_p[k] == pytest.approx((ahead[0] - back[0]) / 2e-6, abs=1e-4)
+        assert pull_n[k] == pytest.approx((ahead[1] - back[1]) / 2e-6, abs=1e-4)
+
+
+def test_logistic_risk_against_summing_over_documents():
+    rng = np.random.RandomState(5)
+    values = np.linspace(-1, 1, 9)
+    p, u, prior = rng.randint(0, 9, 50), rng.randint(0, 9, 200), 0.2
+    shares = [np.bincount(x, minlength=9) / len(x) for x in (p, u)]
+
+    def parts(line):
+        s = [line[0] * values[x] + line[1] for x in (p, u)]
+        return (prior * np.log1p(np.exp(-s[0])).mean(),
+                np.log1p(np.exp(s[1])).mean() - prior * np.log1p(np.exp(s[0])).mean())
+
+    line = np.array([1.3, -0.4])
+    *risks, pull_p, pull_n = toxicity.logistic_risk(line, values, *shares, prior)
+    assert risks == pytest.approx(parts(line))
+    for k in range(2):
+        step = np.eye(2)[k] * 1e-6
+        ahead, back = parts(line + step), parts(line - step)
+        assert pull_p[k] == pytest.approx((ahead[0] - back[0]) / 2e-6, abs=1e-5)
+        assert pull_n[k] == pytest.approx((ahead[1] - back[1]) / 2e-6, abs=1e-5)
+
+
+def test_steps_go_back_below_zero():
+    """Where the risk on negatives is below zero, its gradient alone is followed, upwards."""
+    for negative, expected in ((0.5, [4.0, 6.0]), (-0.5, [-3.0, -4.0])):
+        gradient = toxicity.non_negative(
+            lambda w, n=negative: (0.1, n, np.array([1.0, 2.0]), np.array([3.0, 4.0])), 0.0)
+        assert gradient(np.zeros(2)).tolist() == expected
+
+
+def test_sums_over_all_text_against_numpy(spark, documents):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices("abcdefghij", k=rng.randint(0, 6)))) for i in range(150)]
+    docs = documents(rows + [(None, None), (200, "")]).repartition(5)
+    block, = blocks(pa.array([t for _, t in rows]), 1 << 20)
+    found, cuts = toxicity.features(block)
+    wanted = np.zeros(1 << (toxicity.BITS + 2), bool)
+    wanted[found] = True
+    counts, n = toxicity._frequencies(docs, wanted)
+    assert n == 152 and (counts == np.bincount(found, minlength=len(wanted))).all()
+    chosen = np.unique(found)[:7]
+    place = np.full(len(wanted), -1, np.int32)
+    place[chosen] = np.arange(7)
+    x = toxicity._matrix([found[a:b] for a, b in zip(cuts[:-1], cuts[1:])], place, 7)
+    extra = np.zeros((2, 8))
+    extra[:, 7] = 1
+    x = np.vstack([x, extra])
+    assert toxicity._moments(toxicity._chosen(docs, place), 7) == pytest.approx(x.T @ x)
