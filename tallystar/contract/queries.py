@@ -538,10 +538,12 @@ _DIRT = {
 }
 
 
-@_register("select {} from raw".format(", ".join(
+_RAW_WITH_DIRT = "select {} from raw".format(", ".join(
     f"nullif({_DIRT[name][1] if name in _DIRT else name}, '') as {name}"
-    for name in oracle.RAW_COLUMNS)))
-def ingest_raw(spark, folder):
+    for name in oracle.RAW_COLUMNS))
+
+
+def _taken_in(spark, folder, split):
     """Feed text with commas, quotes and line breaks, written as CSV files and taken into a
     raw table that already holds something else. Empty text comes in as null."""
     path = scratch_folder(spark, "csv")
@@ -554,10 +556,21 @@ def ingest_raw(spark, folder):
     store = FolderStore(spark, scratch_folder(spark, "raw"))
     store.write(dirty.limit(3), RAW_TABLE)
     for _ in range(2):
-        take_in(spark, path, store)
+        take_in(spark, path, store, split=split)
     return store.read(RAW_TABLE)
 
 
+@_register(_RAW_WITH_DIRT)
+def ingest_raw(spark, folder):
+    return _taken_in(spark, folder, split=False)
+
+
+@_register(_RAW_WITH_DIRT)
+def ingest_raw_split(spark, folder):
+    """The same by blocks of the files, not whole files."""
+    return _taken_in(spark, folder, split=True)
+
+
 @_register("""select product_group_key, coalesce(product_name, '') as product_name,
     coalesce(product_brand, '') as product_brand,
     coalesce(product_category, '') as product_category,
@@ -575,6 +588,21 @@ def mart_sink(spark, folder):
     return store.read(name)
 
 
+@_register("""select product_group_key, coalesce(product_name, '') as product_name,
+    highest_rating_rank from report_product_quality qualify product_group_key =
+    min(product_group_key) over () or product_group_key = max(product_group_key) over ()""")
+def find_in_mart(spark, folder):
+    """The first and the last key of a stored report, looked up in the files that hold them."""
+    name = "report_product_quality"
+    store = FolderStore(spark, scratch_folder(spark, "sink"))
+    write_mart(_report(spark, folder, name), store, name)
+    ends = store.read(name).agg(
+        F.min("product_group_key"), F.max("product_group_key")).first()
+    found = store.find(name, product_group_key=ends[0]).unionByName(
+        store.find(name, product_group_key=ends[1]))
+    return found.select("product_group_key", "product_name", "highest_rating_rank").distinct()
+
+
 def _raw_table(spark, folder):
     """The feed as a stored raw table, replaced as a whole."""
     store = FolderStore(spark, scratch_folder(spark, "raw"))

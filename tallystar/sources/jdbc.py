@@ -2,10 +2,12 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallystar.session import setting
 
@@ -74,16 +76,60 @@ class HexSplit:
         return clauses
 
 
+def _literal(value: object) -> str:
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+@dataclass(frozen=True)
+class QuantileSplit:
+    """Parallel scan in even parts over a skewed column: ranges of ``column`` and, within one
+    value of it, of ``tie``. ``edges`` are the first (column, tie) of every part but the first.
+    """
+
+    column: str
+    tie: str
+    edges: Sequence[tuple[object, object]]
+
+    @classmethod
+    def of_sample(cls, sample: DataFrame, column: str, tie: str, parts: int,
+                  most: int = 20_000) -> QuantileSplit:
+        """Edges at the quantiles of a sample of the table, of which at most ``most`` rows are
+        looked at. A value that many rows share is cut by ``tie``, best a unique column."""
+        rows = sample.select(column, tie).where(
+            F.col(column).isNotNull() & F.col(tie).isNotNull()).limit(most).collect()
+        pairs = sorted(tuple(row) for row in rows)
+        cuts = {pairs[len(pairs) * part // parts] for part in range(1, parts)} if pairs else set()
+        return cls(column, tie, sorted(cuts))
+
+    def predicates(self) -> list[str]:
+        """SQL conditions of which exactly one holds for any row, nulls among them."""
+        def before(edge):
+            value, tie = map(_literal, edge)
+            return (f"({self.column} IS NULL OR {self.column} < {value} OR ({self.column} = {value}"
+                    f" AND ({self.tie} IS NULL OR {self.tie} < {tie})))")
+
+        def from_(edge):
+            value, tie = map(_literal, edge)
+            return (f"({self.column} > {value} OR ({self.column} = {value}"
+                    f" AND {self.tie} >= {tie}))")
+
+        edges = list(self.edges)
+        return [" AND ".join([*([from_(low)] if low else []), *([before(high)] if high else [])])
+                or "1 = 1" for low, high in zip([None, *edges], [*edges, None], strict=True)]
+
+
 def read_jdbc(
     spark: SparkSession,
     target: JdbcTarget,
     table: str,
-    split: RangeSplit | HexSplit | None = None,
+    split: RangeSplit | HexSplit | QuantileSplit | None = None,
     fetch_rows: int = FETCH_ROWS,
 ) -> DataFrame:
     """Scan a table; without ``split`` the whole table comes through one connection."""
     fetch = {"fetchsize": str(fetch_rows)}
-    if isinstance(split, HexSplit):
+    if isinstance(split, (HexSplit, QuantileSplit)):
         return spark.read.jdbc(
             target.url, table, predicates=split.predicates(),
             properties={**target.properties(), **fetch},

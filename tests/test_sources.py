@@ -1,5 +1,8 @@
+import random
+
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
@@ -11,13 +14,16 @@ from tallystar.sources import (
     HexSplit,
     JdbcStore,
     JdbcTarget,
+    QuantileSplit,
     RangeSplit,
     create_namespace,
     in_storage_order,
     read_jdbc,
     read_raw_csv,
+    read_split_csv,
     write_jdbc,
 )
+from tallystar.sources.csv_folder import RAW_SCHEMA
 
 HEADER = ",".join(RAW_COLUMNS)
 
@@ -225,3 +231,61 @@ def test_session_takes_its_settings_from_the_environment(monkeypatch):
     assert "spark.sql.adaptive.coalescePartitions.initialPartitionNum" not in asked
     build_session("job", None, {})
     assert (asked["master"], asked["spark.sql.session.timeZone"]) == ("local[*]", "UTC")
+
+
+def test_quantile_split_covers_each_row_once_in_even_parts(spark):
+    """Half of the rows share one value, some have nulls."""
+    rng = random.Random(6)
+    rows = [(None if i % 50 == 0 else 7 if rng.random() < 0.5 else int(rng.paretovariate(0.7)) % 10**6,
+             None if i % 70 == 0 else f"k'{rng.randrange(10**6):06d}") for i in range(8000)]
+    table = spark.createDataFrame(rows, "a long, key string")
+    split = QuantileSplit.of_sample(table.sample(0.25, seed=1), "a", "key", 8)
+    predicates = split.predicates()
+    assert len(predicates) == 8
+    counts = [table.where(p).count() for p in predicates]
+    assert sum(counts) == 8000 and max(counts) <= 2 * 1000
+    held = sum((F.expr(f"({p})").eqNullSafe(F.lit(True))).cast("int") for p in predicates)
+    assert table.where(held != 1).count() == 0
+    assert QuantileSplit.of_sample(table.limit(0), "a", "key", 4).predicates() == ["1 = 1"]
+
+
+def test_a_lookup_reads_the_files_that_can_hold_the_key(spark, settings, tmp_path):
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    store = FolderStore(spark, f"{tmp_path}/lake")
+    rows = spark.range(4000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("key"), (F.col("id") % 5).alias("b"), "id")
+    store.write(rows, "t", order=("key", "b"))
+    assert len(store.read("t").inputFiles()) > 2
+    for n in (0, 17, 3999):
+        (key,) = rows.where(F.col("id") == n).select("key").first()
+        found = store.find("t", key=key, b=n % 5)
+        assert [r.id for r in found.collect()] == [n] and len(found.inputFiles()) == 1
+    assert store.find("t", key="~").count() == 0
+    assert store.find("t", b=3).count() == 800  # not a leading column: all files
+
+
+def test_split_csv_equals_whole_files(spark, settings, tmp_path):
+    rng = random.Random(2)
+    values = ["", "plain", 'say ""hi""', "two\nlines", "a\n\nb", "comma, inside", '""', "é\n"]
+    width = len(RAW_SCHEMA)
+    for part in range(2):
+        with open(tmp_path / f"p{part}.csv", "w", newline="") as file:
+            file.write(",".join(RAW_SCHEMA.names) + "\n")
+            for _ in range(150):
+                file.write(",".join(
+                    f'"{rng.choice(values)}"' if rng.random() < 0.5 else str(rng.randrange(99))
+                    for _ in range(width)) + "\n")
+    whole = sorted(map(str, read_raw_csv(spark, str(tmp_path)).collect()))
+    settings("spark.sql.files.maxPartitionBytes", "9000")
+    settings("spark.sql.files.openCostInBytes", "0")
+    split = read_split_csv(spark, str(tmp_path))
+    assert sorted(map(str, split.collect())) == whole and len(whole) == 300
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 6
+    assert split.schema == RAW_SCHEMA
+
+
+def test_split_csv_stops_at_a_bad_record(spark, raw, tmp_path):
+    names = ",".join(RAW_SCHEMA.names)
+    (tmp_path / "bad.csv").write_text(f"{names}\n1,2,3\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_split_csv(spark, str(tmp_path)).collect()
