@@ -149,8 +149,79 @@ select f.word, f.form, arg_max(c.reached, c.hops) as root, f.n, cast(f.n_near as
 from forms f join chains c using (word) group by all
 """
 
+# Similarity counts shared shingles of a window and an item, each as often as it occurs.
+OP9 = r"""
+with docs as (
+  select row_number() over () as row, doc_id, words, len(words) as n_words from (
+    select distinct doc_id, text, regexp_extract_all(
+      lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents)),
+items as (
+  select row_number() over () as item, item_id, words, len(words) as n, least(5, len(words)) as k
+  from (select distinct item_id, regexp_extract_all(
+      lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark)
+  where len(words) > 0),
+theirs as (
+  select item, k, shingle, count(*) as times from (
+    select item, k, unnest([array_to_string(words[j:j + k - 1], ' ')
+      for j in range(1, n - k + 2)]) as shingle from items)
+  group by all),
+ours as (
+  select row, k, place, array_to_string(words[place + 1:place + k], ' ') as shingle from (
+    select row, words, k, unnest(range(0, n_words - k + 1)) as place
+    from docs, (select distinct k from items) where n_words >= k)),
+hits as (
+  select row, item, n, k, n_words, shingle, times, place, greatest(0, n_words - n) as last
+  from ours join theirs using (k, shingle) join items using (item, k) join docs using (row)),
+held as (
+  select row, item, n, k, n_words, start, shingle, least(count(*), times) as shared from (
+    select *, unnest(range(greatest(0, place + k - n), least(place, last) + 1)) as start from hits)
+  group by row, item, n, k, n_words, start, shingle, times),
+windows as (
+  select row, item, n, start, sum(shared) as shared,
+    (n - k + 1) + (least(n, n_words) - k + 1) as had
+  from held group by row, item, n, k, n_words, start)
+select doc_id, item_id, max(cast(shared as double) / (had - shared)) as similarity,
+  cast(min(start) as bigint) as first_word, cast(max(w.n) as bigint) as n_words,
+  count(*) as windows
+from windows w join docs using (row) join items using (item)
+where cast(shared as double) / (had - shared) >= 0.8 - 1e-9
+group by doc_id, item_id
+"""
+
+OP10 = r"""
+with recursive docs as (
+  select row_number() over () as row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as words
+  from documents),
+sets as (
+  select row, doc_id, list_distinct(case when len(words) = 0 then []
+    when len(words) < 4 then [array_to_string(words, ' ')]
+    else [array_to_string(words[i:i + 3], ' ') for i in range(1, len(words) - 2)] end) as shingles
+  from docs),
+members as (select row, unnest(shingles) as shingle from sets),
+pairs as (
+  select a.row as one, b.row as two, count(*) as shared
+  from members a join members b on a.shingle = b.shingle and a.row < b.row group by all),
+links as (
+  select one, two from pairs join sets a on a.row = one join sets b on b.row = two
+  where 100 * shared >= 80 * (len(a.shingles) + len(b.shingles) - shared)),
+either as (select one, two from links union all select two, one from links),
+reached as (
+  select row, row as other from sets
+  union select r.row, e.two from reached r join either e on e.one = r.other),
+components as (
+  select r.row, min(s.doc_id) as component_id
+  from reached r join sets s on s.row = r.other group by r.row)
+select doc_id, cast(len(shingles) as bigint) as n_shingles, component_id,
+  doc_id = component_id as kept
+from sets join components using (row)
+"""
+
 ORACLES: dict[str, str] = {
     "op5_suffix_array": OP5,
+    "op9_decontamination": OP9,
+    "op10_hyperminhash": OP10,
     "op11_recompression": OP11,
     "op12_wavelet": OP12,
     "op13_spelling": OP13,
