@@ -1,9 +1,10 @@
 """Document fingerprints: Merkle trees over sections, paragraphs and their pieces.
 
 A text is cut into sections (at blank lines, and after every eighth paragraph),
-paragraphs (at line ends) and pieces (sentences, at most 64 characters long). Pieces are
-hashed, a paragraph hashes its pieces, a section its paragraphs and the root its sections.
-Equal roots mean equal texts; where roots differ, the branches that differ say where the
+paragraphs (at line ends) and pieces (sentences, at most 64 characters long). A paragraph
+hashes its pieces whole, a section its paragraphs and the root its sections, each with 256
+bits; pieces also have short hashes of their own, which likeness compares. Equal roots mean
+equal texts; where roots differ, the branches that differ say where the
 texts do. Everything is SQL expressions.
 """
 from __future__ import annotations
@@ -32,13 +33,13 @@ def merkle_tree(text: Column) -> Column:
     """
 
     def paragraph(part: Column) -> Column:
+        # Its pieces are all of a paragraph, so this hashes them whole, one after another.
         pieces = F.regexp_extract_all(part, F.lit(PIECE), F.lit(0))
-        return F.transform(pieces, lambda piece: F.substring(F.md5(piece), 1, LEAF_HEX))
+        return F.struct(F.sha2(part, 256).alias("hash"), F.transform(
+            pieces, lambda piece: F.substring(F.md5(piece), 1, LEAF_HEX)).alias("leaves"))
 
     def hashed_paragraphs(group: Column) -> Column:
-        with_leaves = F.transform(group, paragraph)
-        return F.transform(with_leaves, lambda leaves: F.struct(
-            F.sha2(F.array_join(leaves, ""), 256).alias("hash"), leaves.alias("leaves")))
+        return F.transform(group, paragraph)
 
     def groups(section: Column) -> Column:
         paragraphs = _kept(F.split(section, r"(?<=\n)"))
