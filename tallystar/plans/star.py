@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import cache, reduce
-from operator import and_, or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,67 +151,60 @@ def settled_sales(staged: DataFrame, columns: Sequence[str]) -> DataFrame:
     return staged.select("sale_key", *columns).distinct()
 
 
-# The parts of a sale's key that cost no hashing.
-_PLAIN_PARTS = ("source_row_id", "date_key", "sale_quantity", "sale_total_price")
+# Source numbers are compared together as one decimal of 38 digits: three of 42 bits. One more
+# than the number, as 0 stands for null.
+_BITS = 42
+_MOST = (1 << _BITS) - 2
 
 
-def renumbered(staged: DataFrame) -> DataFrame:
-    """Where copies of a sale can differ in their source numbers: the plain key parts of
-    rows that agree on them and not on the numbers. No key is worked out for this."""
-    copies = staged.groupBy(*_PLAIN_PARTS).agg(
-        F.count("*").alias("rows"),
-        *(f(name).alias(f"{label}_{name}") for name in _NUMBERS
-          for label, f in (("least", F.min), ("most", F.max), ("known", F.count))))
-    differ = " or ".join(
-        f"least_{name} < most_{name} or known_{name} between 1 and rows - 1" for name in _NUMBERS)
-    return copies.where(differ).select(*_PLAIN_PARTS)
+def _packed_numbers() -> Column:
+    """The three numbers, in order, as one; null if one of them is too large or negative."""
+    parts = [F.coalesce(F.col(name) + 1, F.lit(0)).cast("decimal(13,0)") for name in _NUMBERS]
+    steps = [F.lit(str(1 << _BITS * (2 - i))).cast(f"decimal({(26, 13, 1)[i]},0)")
+             for i in range(3)]
+    packed = reduce(add, (
+        (part * step).cast("decimal(38,0)") for part, step in zip(parts, steps, strict=True)))
+    return F.when(~_too_large(), packed.cast("decimal(38,0)"))
 
 
-def _fact(sales: DataFrame, numbers: Sequence[Column]) -> DataFrame:
-    return sales.groupBy("sale_key", *SETTLED).agg(*numbers)
+def _too_large() -> Column:
+    return reduce(or_, (~F.coalesce(F.col(name), F.lit(0)).between(0, _MOST) for name in _NUMBERS))
 
 
-def fact_sales(staged: DataFrame, columns: Sequence[str] | None = None,
-               work: Workspace | None = None) -> DataFrame:
+def _unpacked_number(place: int) -> Column:
+    """One of the three again."""
+    above, own = (F.lit(str(1 << _BITS * k)).cast("decimal(38,0)") for k in (3 - place, 2 - place))
+    rest = F.col("packed") if place == 0 else F.col("packed") % above
+    number = F.call_function("div", rest, own).cast("bigint")
+    return F.nullif(number, F.lit(0)) - 1
+
+
+def fact_sales(staged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per sale.
 
     The sale key is made of values that hold no separator, so it settles every column but
-    the three source numbers; those are kept together as the smallest of the copies. A
-    first narrow pass finds out where copies differ in them. Those few sales are settled
-    apart and held by ``work`` (by default in the run folder); all other copies agree, so
-    one grouping by hash settles them.
+    the three source numbers; those are kept together as the smallest of the copies. One
+    grouping by hash does it, with one exchange: copies are combined before it, and the
+    numbers are compared as one packed decimal. Where a number is negative or above 2 ** 42
+    each is the smallest for itself.
     """
     if columns is not None and not {*columns} & {*_NUMBERS, "unit_price", "loaded_at"}:
         return settled_sales(staged, columns)
-    work = work or run_workspace(staged.sparkSession)
-    # Stored tables, so Spark broadcasts the places only while they are few.
-    places = work.hold(renumbered(staged), "renumbered")
-    each = [F.min(name).alias(name) for name in _NUMBERS]
-    if places.isEmpty():
-        sales = _fact(staged, each)
-    else:
-        together = [F.min(F.struct(*_NUMBERS)).alias("numbers")]
-        few = work.hold(_fact(_at(staged, places, "left_semi"), together).select(
-            "sale_key", *SETTLED, "numbers.*"), "renumbered-sales")
-        sales = _fact(_at(staged, places, "left_anti"), each).unionByName(few)
-    sales = sales.select(
-        "sale_key", "source_row_id", *_NUMBERS, *SETTLED[1:],
+    grouped = staged.groupBy("sale_key", *SETTLED).agg(
+        F.min(_packed_numbers()).alias("packed"), F.max(_too_large()).alias("too_large"),
+        *(F.min(name).alias(name) for name in _NUMBERS))
+    numbers = [F.when(F.col("too_large"), F.col(name)).otherwise(_unpacked_number(i)).alias(name)
+               for i, name in enumerate(_NUMBERS)]
+    sales = grouped.select(
+        "sale_key", "source_row_id", *numbers, *SETTLED[1:],
         unit_price().alias("unit_price"), F.current_timestamp().alias("loaded_at"),
     )
     return sales if columns is None else sales.select("sale_key", *columns)
 
 
-def _at(staged: DataFrame, places: DataFrame, how: str) -> DataFrame:
-    """Rows at the places, or elsewhere. The join comes before any key is worked out."""
-    renamed = places.withColumnsRenamed({name: f"place_{name}" for name in _PLAIN_PARTS})
-    match = reduce(and_, (
-        F.col(name).eqNullSafe(F.col(f"place_{name}")) for name in _PLAIN_PARTS))
-    return staged.join(renamed, match, how)
-
-
 # Each takes staging and, optionally, the columns wanted beside the key. Those in ``HOLDING``
 # also take a workspace.
-HOLDING = ("dim_product", "fact_sales")
+HOLDING = ("dim_product",)
 BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "dim_customer": dim_customer,
     "dim_seller": dim_seller,

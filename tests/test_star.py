@@ -10,7 +10,7 @@ from tallystar.plans.columns import ENTITIES, RAW_COLUMNS, attributes_of
 from tallystar.plans.dataset import DATASET_COLUMNS, sales_dataset
 from tallystar.plans.staging import stage
 from tallystar.plans.star import (
-    BUILDERS, STAR_KEYS, combined, renumbered, staged_columns, star_of,
+    BUILDERS, STAR_KEYS, combined, staged_columns, star_of,
 )
 
 # The star's schema.
@@ -206,15 +206,22 @@ def test_products_that_collide_share_one_row(raw):
             "dim_product", "product_name").collect()) == ["a", "a|c", "plain"]
 
 
-def test_copies_that_differ_in_numbers_are_found_by_the_plain_parts(raw):
-    staged = stage(raw(
-        {"id": "1"}, {"id": "1"}, {"id": "2"}, {"id": "2", "sale_customer_id": "5"},
-        {"id": "3"}, {"id": "3", "sale_seller_id": ""}, {"id": "4", "sale_product_id": ""},
-        {"id": "4", "sale_product_id": "x"}, {"id": "", "sale_customer_id": "8"}, {"id": ""}))
-    assert sorted(str(r.source_row_id) for r in renumbered(staged).collect()) == ["2", "3", "None"]
-    fact = {r.source_row_id: (r.source_customer_id, r.source_seller_id, r.source_product_id)
-            for r in star_of(staged)["fact_sales"].collect()}
-    assert fact == {1: (1, 1, 1), 2: (1, 1, 1), 3: (1, None, 1), 4: (1, 1, None), None: (1, 1, 1)}
+def test_numbers_of_copies_are_kept_together(raw):
+    """The smallest copy, null first; beyond 42 bits each number for itself."""
+    def numbers(*copies):
+        names = ("sale_customer_id", "sale_seller_id", "sale_product_id")
+        rows = [dict(zip(names, copy)) for copy in copies]
+        (row,) = star_of(stage(raw(*rows)))["fact_sales"].collect()
+        return row.source_customer_id, row.source_seller_id, row.source_product_id
+
+    top = str(2**42 - 2)
+    assert numbers(("5", "1", "1"), ("4", "9", "9")) == (4, 9, 9)
+    assert numbers(("4", "", "7"), ("4", "0", "1"), ("4", "", "8")) == (4, None, 7)
+    assert numbers(("", "", "")) == (None, None, None)
+    assert numbers((top, top, top)) == (2**42 - 2,) * 3
+    assert numbers((top, "3", top), (top, "3", "0")) == (2**42 - 2, 3, 0)
+    assert numbers(("-1", "2", "9223372036854775807")) == (-1, 2, 2**63 - 1)
+    assert numbers(("1", "9", "5"), ("2", "-3", "")) == (1, -3, 5)
 
 
 def test_one_pass_feeds_all_tables(raw, spark):
