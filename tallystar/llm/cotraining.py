@@ -250,9 +250,9 @@ def surest(table: DataFrame, taken: pa.Table, views: list[View], count: int) ->
 
 def train(described_docs: DataFrame, labelled: int = LABELLED,
           rounds: int = ROUNDS, per_round: int = PER_ROUND) -> list[View]:
-    """Co-train both views on documents with their views and, where known, ``quality``. At most ``labelled`` labelled documents are used, taken by hash
-    of their ids; a fifth of them is kept for calibration. In each of ``rounds`` rounds
-    each view hands the other at most ``2 * per_round`` documents, the surest of all that
+    """Co-train both views on documents with their views and, where known, ``quality``. At
+    most ``labelled`` labelled documents are used, taken by hash of their ids; a fifth of
+    them is kept for calibration. In each of ``rounds`` rounds each view hands the other at most ``2 * per_round`` documents, the surest of all that
     have no label, and no more than a fifth of the labelled ones."""
     table = described_docs.filter("quality is not null").orderBy(
         F.xxhash64(F.lit("quality"), "doc_id"), "doc_id", "_row").limit(labelled).select(

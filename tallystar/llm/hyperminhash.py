@@ -109,8 +109,8 @@ def estimate(ours: np.ndarray, theirs: np.ndarray, n_a: np.ndarray, n_b: np.ndar
 
 
 def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``mark`` (a hash of the text), ``n_shingles``, a 128-bit ``high``, ``low`` digest of the set of shingles
-    ``registers`` and ``fine`` registers of every row."""
+    """``doc_id``, ``mark`` (a hash of the text), ``n_shingles``, a 128-bit digest of the set of
+    shingles (``high``, ``low``), and ``registers`` and ``fine`` registers of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,7 +284,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     the smallest doc_id that links lead to; ``kept`` marks the row with that id. Null texts
     and texts without words are linked with nothing. Repeated rows are copies of each
     other. Rows without an id follow their copies that have one, and are linked with
-    nothing else. ``doc_id`` is a long; other columns are not read.
+    nothing else. Different texts under one id that is the least of its copies are one node:
+    what links to one of them links to all. ``doc_id`` is a long; other columns are not read.
     """
     least = percent / 100 - MARGIN
     sketched = written(sketches(docs, size), "sketches")
