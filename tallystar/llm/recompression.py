@@ -402,7 +402,7 @@ SENT = "chunk long, part int, keys binary, only binary"
 
 def _sent(chunk: int, keys: np.ndarray, only: np.ndarray, part: np.ndarray) -> pa.Table:
     names, heads = np.unique(part, return_index=True)
-    cuts = list(zip(heads, np.append(heads[1:], len(part)), strict=True))
+    cuts = list(zip(heads, np.append(heads[1:], len(part))[:len(heads)], strict=True))
     return pa.table({
         "chunk": pa.array([chunk] * len(cuts), pa.int64()), "part": pa.array(names, pa.int32()),
         "keys": pa.array([keys[a:b].tobytes() for a, b in cuts], pa.binary()),
