@@ -63,8 +63,7 @@ def corpus():
                    (9, "y" * 9000 + " " + "y" * 8999 + " end"), (10, ("q" * 3000 + " ") * 6)]
 
 
-@pytest.mark.parametrize("state_words", [2000, 3, 1])
-@pytest.mark.parametrize("every", [3, 0])
+@pytest.mark.parametrize("every, state_words", [(3, 2000), (0, 3), (3, 1)])
 def test_brute_force(documents, monkeypatch, every, state_words):
     monkeypatch.setattr(spelling.near_words, "__defaults__", (state_words,))
     rows = corpus()
