@@ -218,8 +218,9 @@ def _sent(rows: DataFrame, parts: int) -> DataFrame:
             for weight in np.unique(weights):
                 alike.setdefault(int(weight), []).append(own[each == weight])
         sums = []
-        for weight, found in alike.items():
-            own = np.sort(np.concatenate(found))
+        for weight in sorted(alike):
+            own = np.concatenate(alike.pop(weight))
+            own.sort()
             edges = np.flatnonzero(np.append(True, own[1:] != own[:-1]))[:len(own)]
             sums.append((own[edges], weight * np.diff(np.append(edges, len(own)))))
         keys, counts = _distinct(np.concatenate([k for k, _ in sums]),
@@ -384,23 +385,23 @@ def score_texts(docs: DataFrame, learnt: Column) -> DataFrame:
         for block in cut:
             text, heads, tails, word_ends = spelled(block)
             real = _real(text, heads)
-            stretched.append(stretches(text)[real])
-            spellings.append((real, heads, tails, word_ends))
-        numbers, every = pd.factorize(np.concatenate(stretched))
-        del stretched
-        ascending = np.argsort(every)
-        order = ascending[np.argsort(_branch(every[ascending], parts), kind="stable")]
+            numbers, found = pd.factorize(stretches(text)[real])
+            stretched.append(found)
+            spellings.append((numbers.astype(np.int32), real, heads, tails, word_ends))
+        # Stretches are numbered block by block; those of all blocks are merged without repeats.
+        every = np.concatenate(stretched)
+        every.sort()
+        every = every[np.flatnonzero(np.append(True, every[1:] != every[:-1]))[:len(every)]]
+        order = np.argsort(_branch(every, parts), kind="stable")
         chance = np.empty(len(every), np.float32)
         chance[order] = np.concatenate([_unpack(r["logs"], np.float32) for r in sorted(
             (r for r in replies if r["logs"] is not None), key=lambda r: r["part"])])
-        logs_at, done = chance[numbers], 0
-        del numbers
         scores = np.zeros(ours.num_rows)
-        for block, (real, heads, tails, word_ends) in zip(cut, spellings, strict=True):
+        for block, found, (numbers, real, heads, tails, word_ends) in zip(
+                cut, stretched, spellings, strict=True):
             own = bounds[block.first:block.first + len(block) + 1]
             steps = np.zeros(len(real))
-            steps[real] = logs_at[done:done + np.count_nonzero(real)]
-            done += np.count_nonzero(real)
+            steps[real] = chance[np.searchsorted(every, found)][numbers]
             total = np.append(0.0, np.cumsum(steps))
             before = np.append(0, word_ends)[:-1]
             first = np.diff(own) > 0
