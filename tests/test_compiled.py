@@ -5,9 +5,12 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from tallystar.contract import feed
 from tallystar.functions import to_int
+from tallystar.operators import Workspace, scratch_folder
+from tallystar.plans.checks import dangling_keys, repeated_keys, row_counts
 from tallystar.plans.staging import stage
-from tallystar.plans.star import combined, fact_sales
+from tallystar.plans.star import BUILDERS, Star, combined, fact_sales
 
 # A longer method is never compiled.
 MOST = 8000
@@ -47,3 +50,19 @@ def test_least_numbers_of_copies_stay_together(raw):
     found = fact_sales(stage(rows)).orderBy(F.col("source_row_id")).collect()
     assert [(r.source_customer_id, r.source_seller_id) for r in found] == [
         (1, 9), (None, 7), (4, 5)]
+
+
+def test_checks_move_only_keys(spark, raw):
+    asked = []
+
+    def open_table(table, columns):
+        asked.append(columns)
+        return BUILDERS[table](stage(raw({}, {"id": "2"}, {"id": "2"})), columns)
+
+    counts = {r.table_name: r.row_count for r in row_counts(Star(open_table)).collect()}
+    assert counts["fact_sales"] == 2 and counts["dim_product"] == 1
+    assert not repeated_keys(Star(open_table)).collect()
+    assert not dangling_keys(Star(open_table)).collect()
+    assert None not in asked
+    plan = open_table("dim_product", ())._jdf.queryExecution().optimizedPlan().toString()
+    assert "product_name" not in plan[:plan.index("Project")]
