@@ -66,3 +66,14 @@ def test_checks_move_only_keys(spark, raw):
     assert None not in asked
     plan = open_table("dim_product", ())._jdf.queryExecution().optimizedPlan().toString()
     assert "product_name" not in plan[:plan.index("Project")]
+
+
+def test_reports_hold_half_of_each_key(spark, raw, monkeypatch):
+    rows = stage(raw({}, {"id": "2"}, {"id": "2"}))
+    monkeypatch.setattr(feed, "staged_sales", lambda *_: rows)
+    with Workspace(spark, scratch_folder(spark, "held")) as work:
+        star = feed.held_star(spark, "", work, ("fact_sales", "dim_store"), ("store_key",))
+        found = star.columns("fact_sales", "store_key").collect()
+    whole = {bytes.fromhex(r.sale_key) for r in rows.collect()}
+    assert {bytes(r.sale_key) for r in found} == {key[:16] for key in whole}
+    assert len(found) == 2
