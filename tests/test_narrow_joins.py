@@ -4,9 +4,12 @@ import pytest
 
 from tallystar.contract import feed, queries
 from tallystar.functions.keys import key_bytes
+from tallystar.operators import Workspace
 from tallystar.plans.dataset import in_bytes
+from tallystar.plans.pipeline import build_star
 from tallystar.plans.staging import stage
 from tallystar.plans.star import star_of
+from tallystar.sources import FolderStore
 
 
 @pytest.fixture
@@ -80,3 +83,22 @@ def test_measures_move_keys_as_bytes(raw):
         "sale_key": "binary", "store_key": "binary"}
     joined = star["fact_sales"].join(star["dim_store"], "store_key")
     assert joined.count() == 2
+
+
+def test_one_pass_holds_keys_as_bytes(spark, raw, tmp_path, monkeypatch):
+    held, hold = {}, Workspace.hold
+
+    def noted(self, df, label, by=None):
+        held[label] = dict(df.dtypes)
+        return hold(self, df, label, by)
+
+    monkeypatch.setattr(Workspace, "hold", noted)
+    rows = raw({}, {"id": "2"}, {"id": "2"})
+    store = FolderStore(spark, str(tmp_path))
+    build_star(rows, store, hold=True)
+    assert held["combined"]["sale_key"] == held["combined"]["product_key"] == "binary"
+    plain = star_of(stage(rows))
+    for table in ("fact_sales", "dim_product", "dim_customer", "dim_supplier"):
+        shown = [c for c in plain[table].columns if c != "loaded_at"]
+        assert store.read(table).select(shown).exceptAll(plain[table].select(shown)).isEmpty()
+        assert store.read(table).count() == plain[table].count()
