@@ -1,4 +1,5 @@
 """Joined keys as bytes, whole datasets staged once, packed files."""
+import glob
 
 import pytest
 
@@ -9,7 +10,7 @@ from tallystar.plans.dataset import in_bytes
 from tallystar.plans.pipeline import build_star
 from tallystar.plans.staging import stage
 from tallystar.plans.star import star_of
-from tallystar.sources import FolderStore
+from tallystar.sources import FolderStore, PublishedStore
 
 
 @pytest.fixture
@@ -102,3 +103,19 @@ def test_one_pass_holds_keys_as_bytes(spark, raw, tmp_path, monkeypatch):
         shown = [c for c in plain[table].columns if c != "loaded_at"]
         assert store.read(table).select(shown).exceptAll(plain[table].select(shown)).isEmpty()
         assert store.read(table).count() == plain[table].count()
+
+
+def test_drafts_are_packed_well(spark, tmp_path):
+    with PublishedStore(spark, str(tmp_path)).draft() as draft:
+        draft.write(spark.range(3), "t")
+    assert glob.glob(f"{tmp_path}/t/*/*.zstd.parquet")
+
+
+def test_a_failing_run_reads_the_stored_feed(spark, monkeypatch):
+    made, read = [], []
+    monkeypatch.setattr(queries, "raw_sales", lambda *_: made.append(1) or spark.range(20))
+    monkeypatch.setattr(queries, "run_all", lambda *_: None)
+    monkeypatch.setattr(queries, "build_star", lambda raw, store: read.append(raw.count()))
+    with pytest.raises(KeyError):
+        queries.publish_everything(spark, "")
+    assert made == [1] and read == [9]
