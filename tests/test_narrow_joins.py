@@ -1,8 +1,11 @@
 """Joined keys as bytes, whole datasets staged once, packed files."""
 import glob
+import gzip
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tallystar.contract import feed, queries
 from tallystar.functions.keys import key_bytes
 from tallystar.operators import Workspace
@@ -11,6 +14,7 @@ from tallystar.plans.pipeline import build_star
 from tallystar.plans.staging import stage
 from tallystar.plans.star import star_of
 from tallystar.sources import FolderStore, PublishedStore
+from tallystar.sources.csv_folder import RAW_SCHEMA, read_raw_csv
 
 
 @pytest.fixture
@@ -119,3 +123,13 @@ def test_a_failing_run_reads_the_stored_feed(spark, monkeypatch):
     with pytest.raises(KeyError):
         queries.publish_everything(spark, "")
     assert made == [1] and read == [9]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_packed_csv_is_read(spark, tmp_path, multi_line):
+    names = ",".join(RAW_SCHEMA.names)
+    for name, begin in (("a.csv.gz", gzip.open), ("b.csv", open)):
+        with begin(tmp_path / name, "wt") as file:
+            file.write(f"{names}\n{name}{',' * (len(RAW_SCHEMA) - 1)}\n")
+    rows = read_raw_csv(spark, str(tmp_path), multi_line).select(F.col("id")).collect()
+    assert sorted(r.id for r in rows) == ["a.csv.gz", "b.csv"]
