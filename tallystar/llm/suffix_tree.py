@@ -194,6 +194,25 @@ _SENT = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("chunk", pa.int6
                    ("keys", pa.binary()), ("counts", pa.binary())])
 
 
+def _dealt(kind: int, keys: np.ndarray, counts: np.ndarray, part: np.ndarray,
+           parts: int) -> list[tuple]:
+    """Rows with the ascending keys of each part. They are put in order once, not for each
+    part: there are as many parts as chunks."""
+    order = np.argsort(part, kind="stable")
+    keys, counts = keys[order], counts[order]
+    return [(kind, p, _pack_sorted(keys[own]), _pack(counts[own]))
+            for p, own in _cuts(part[order], parts)]
+
+
+def _looked_up(known: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Values of ascending ``known`` keys for keys in any order. They are looked up in theirs:
+    neighbours are near each other in memory, which is several times quicker."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted), values.dtype)
+    out[order] = values[np.searchsorted(known, wanted[order])]
+    return out
+
+
 def _sent(rows: DataFrame, parts: int) -> DataFrame:
     """What each chunk sends: its distinct stretches by branch, its distinct words and its
     counts of the shortest contexts, all with how often they were learnt."""
@@ -205,9 +224,7 @@ def _sent(rows: DataFrame, parts: int) -> DataFrame:
         words, bounds, cut = _chunk_words(table)
         found, counts = _distinct(words, np.repeat(times, np.diff(bounds)).astype(np.int64))
         part = (found % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        for p, own in _cuts(part[order], parts):
-            out.append((WORDS, p, _pack_sorted(found[order][own]), _pack(counts[order][own])))
+        out += _dealt(WORDS, found, counts, part, parts)
         # Stretches that count alike are sorted together, which is quicker than sorting pairs.
         alike: dict[int, list[np.ndarray]] = {}
         for block in cut:
@@ -225,10 +242,7 @@ def _sent(rows: DataFrame, parts: int) -> DataFrame:
             sums.append((own[edges], weight * np.diff(np.append(edges, len(own)))))
         keys, counts = _distinct(np.concatenate([k for k, _ in sums]),
                                  np.concatenate([c for _, c in sums]).astype(np.int64))
-        part = _branch(keys, parts)
-        order = np.argsort(part, kind="stable")
-        for p, own in _cuts(part[order], parts):
-            out.append((GRAMS, p, _pack_sorted(keys[order][own]), _pack(counts[order][own])))
+        out += _dealt(GRAMS, keys, counts, _branch(keys, parts), parts)
         short = (keys >> np.uint64(8 * (DEPTH + 1 - TOP)) << _EIGHT) | (keys & np.uint64(255))
         found, counts = _distinct(short, counts)
         out.append((SHORT, -1, _pack_sorted(found), _pack(counts)))
@@ -401,7 +415,7 @@ def score_texts(docs: DataFrame, learnt: Column) -> DataFrame:
                 cut, stretched, spellings, strict=True):
             own = bounds[block.first:block.first + len(block) + 1]
             steps = np.zeros(len(real))
-            steps[real] = chance[np.searchsorted(every, found)][numbers]
+            steps[real] = _looked_up(every, chance, found)[numbers]
             total = np.append(0.0, np.cumsum(steps))
             before = np.append(0, word_ends)[:-1]
             first = np.diff(own) > 0
