@@ -4,6 +4,7 @@ from tallystar.operators.ranking import dense_ranks
 from tallystar.operators.totals import with_totals
 from tallystar.operators.workspace import (
     Workspace,
+    release_exchanges,
     remove_run_folder,
     run_folder,
     run_workspace,
@@ -11,6 +12,6 @@ from tallystar.operators.workspace import (
 )
 
 __all__ = [
-    "Workspace", "dense_ranks", "one_row_per_key", "remove_run_folder", "run_folder",
-    "run_workspace", "scratch_folder", "with_totals",
+    "Workspace", "dense_ranks", "one_row_per_key", "release_exchanges", "remove_run_folder",
+    "run_folder", "run_workspace", "scratch_folder", "with_totals",
 ]
